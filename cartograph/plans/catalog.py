@@ -10,7 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from cartograph.operators import cooccur as co
 from cartograph.operators import features as feat
+from cartograph.operators import index as ix
 from cartograph.plans.logs import events_clean, orders_clean, text_clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +31,23 @@ def queries() -> dict[str, Query]:
     q["user_features"] = lambda s, d: feat.user_features(orders_clean(s, d))
     q["user_features_events"] = lambda s, d: feat.user_features(events_clean(s, d))
     q["user_features_text"] = lambda s, d: feat.user_features(text_clean(s, d))
+    q["deep_edges"] = lambda s, d: ix.deep_edges(orders_clean(s, d))
+    q["item_degree"] = lambda s, d: ix.item_degrees(ix.deep_edges(orders_clean(s, d)))
+    q["inverted_index"] = lambda s, d: _index_rows(ix.inverted_index(orders_clean(s, d)))
+    q["inverted_index_split"] = lambda s, d: _index_rows(
+        ix.inverted_index(events_clean(s, d), max_users_per_row=16))
+    q["buy_baskets"] = lambda s, d: co.buy_baskets(orders_clean(s, d))
+    q["pair_counts"] = lambda s, d: co.pair_counts(orders_clean(s, d))
+    q["pair_counts_split"] = lambda s, d: co.pair_counts(events_clean(s, d), block_size=3)
+    q["top_pairs"] = lambda s, d: co.top_pairs(orders_clean(s, d))
+    q["top_pairs_events"] = lambda s, d: co.top_pairs(events_clean(s, d))
     return q
 
 
+def _index_rows(index: DataFrame) -> DataFrame:
+    return index.select("item_id", "part", F.size("users").cast("bigint").alias("n_users"),
+                        F.array_join(F.col("users").cast("array<string>"), ",").alias("users"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.user_features(orders_clean(spark, sf_dir))

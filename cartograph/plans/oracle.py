@@ -142,6 +142,51 @@ def user_features_sql(log: str) -> str:
 SELECT user_id, f1, f2, f3 FROM feat""")
 
 
+EDGES = """
+edges AS (SELECT DISTINCT item_id, user_id FROM log
+          WHERE user_id >= 0 AND behavior_type IN ('cart', 'fav', 'buy'))
+"""
+
+
+def _bucket(x: str, n: str) -> str:
+    """Same md5 bucket as functions.hashing.stable_bucket."""
+    return f"((('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 15))::BIGINT) % ({n}))"
+
+
+def inverted_index_sql(log: str, cap: int) -> str:
+    parts = f"greatest(1, CAST(ceil(degree / {float(cap)}) AS BIGINT))"
+    return with_log(log, f""", {EDGES.strip()},
+deg AS (SELECT item_id, count(*) AS degree FROM edges GROUP BY item_id),
+tagged AS (
+  SELECT e.item_id, e.user_id,
+         CASE WHEN {parts} > 1 THEN {_bucket('e.user_id', parts)} ELSE 0 END AS part
+  FROM edges e JOIN deg d ON e.item_id = d.item_id)
+SELECT item_id, part, count(*) AS n_users,
+       string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS users
+FROM tagged GROUP BY item_id, part""")
+
+
+BASKETS = """
+baskets AS (SELECT DISTINCT user_id, CAST(item_id AS VARCHAR) AS item FROM log
+            WHERE behavior_type = 'buy' AND user_id >= 0),
+pairs AS (SELECT a.item AS item_a, b.item AS item_b, count(*) AS cnt
+          FROM baskets a JOIN baskets b ON a.user_id = b.user_id AND a.item < b.item
+          GROUP BY a.item, b.item)
+"""
+
+
+def pair_counts_sql(log: str) -> str:
+    return with_log(log, f""", {BASKETS.strip()}
+SELECT item_a, item_b, cnt FROM pairs""")
+
+
+def top_pairs_sql(log: str, n: int = 1000) -> str:
+    return with_log(log, f""", {BASKETS.strip()}
+SELECT item_a, item_b, cnt,
+       row_number() OVER (ORDER BY cnt DESC, item_a, item_b) AS rank
+FROM pairs ORDER BY cnt DESC, item_a, item_b LIMIT {n}""")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_log_events"] = with_log("a", "SELECT * FROM log")
@@ -153,4 +198,14 @@ def oracle_sql() -> dict[str, str]:
     q["user_features"] = user_features_sql("b")
     q["user_features_events"] = user_features_sql("a")
     q["user_features_text"] = user_features_sql("c")
+    q["deep_edges"] = with_log("b", f", {EDGES.strip()}\nSELECT item_id, user_id FROM edges")
+    q["item_degree"] = with_log("b", f", {EDGES.strip()}\n"
+                                "SELECT item_id, count(*) AS degree FROM edges GROUP BY item_id")
+    q["inverted_index"] = inverted_index_sql("b", 100_000)
+    q["inverted_index_split"] = inverted_index_sql("a", 16)
+    q["buy_baskets"] = with_log("b", f", {BASKETS.strip()}\nSELECT user_id, item FROM baskets")
+    q["pair_counts"] = pair_counts_sql("b")
+    q["pair_counts_split"] = pair_counts_sql("a")
+    q["top_pairs"] = top_pairs_sql("b")
+    q["top_pairs_events"] = top_pairs_sql("a")
     return q
