@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartograph.operators import cooccur as co
 from cartograph.operators import features as feat
 from cartograph.operators import index as ix
+from cartograph.operators import kmeans as km
 from cartograph.plans.logs import events_clean, orders_clean, text_clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,9 +42,49 @@ def queries() -> dict[str, Query]:
     q["pair_counts_split"] = lambda s, d: co.pair_counts(events_clean(s, d), block_size=3)
     q["top_pairs"] = lambda s, d: co.top_pairs(orders_clean(s, d))
     q["top_pairs_events"] = lambda s, d: co.top_pairs(events_clean(s, d))
+    q["kmeans_init"] = lambda s, d: km.centers_frame(s, km.init_centers(_feats_b(s, d), K))
+    q["kmeans_assign"] = lambda s, d: km.labels(
+        _feats_b(s, d), km.init_centers(_feats_b(s, d), K))
+    q["kmeans_step"] = _kmeans_step
+    q["kmeans_centers"] = lambda s, d: _centres(s, km.fit(_feats_b(s, d), K).centers)
+    q["kmeans_labels"] = _kmeans_labels
+    q["kmeans_centers_events"] = lambda s, d: _centres(
+        s, km.fit(feat.user_features(events_clean(s, d)), K_EVENTS).centers)
+    q["kmeans_labels_events"] = lambda s, d: _kmeans_labels(s, d, events=True)
     return q
 
 
+# ---- fixed parameters of the registered queries ----
+K = 5
+K_EVENTS = 4
+# ----
+
+
+def _feats_b(s: SparkSession, d: str) -> DataFrame:
+    return feat.user_features(orders_clean(s, d))
+
+
+def _centres(s: SparkSession, centres) -> DataFrame:
+    df = km.centers_frame(s, centres)
+    return df.select("cluster_id", *[F.round(c, 6).alias(c) for c in ("f1", "f2", "f3")])
+
+
+def _kmeans_step(s: SparkSession, d: str) -> DataFrame:
+    f = _feats_b(s, d)
+    start = km.init_centers(f, K)
+    new, _, sizes = km.lloyd_step(f, start)
+    rows = [(i, *[round(v, 9) for v in c], n) for i, (c, n) in enumerate(zip(new, sizes))]
+    df = s.createDataFrame(rows, "cluster_id int, f1 double, f2 double, f3 double, n long")
+    return df.select("cluster_id", *[F.round(c, 9).alias(c) for c in ("f1", "f2", "f3")], "n")
+
+
+def _kmeans_labels(s: SparkSession, d: str, events: bool = False) -> DataFrame:
+    f = feat.user_features(events_clean(s, d)) if events else _feats_b(s, d)
+    f = km.cut_lineage(f)
+    model = km.fit(f, K_EVENTS if events else K, checkpoint=False)
+    return km.labels(f, model.centers)
+
+
 def _index_rows(index: DataFrame) -> DataFrame:
     return index.select("item_id", "part", F.size("users").cast("bigint").alias("n_users"),
                         F.array_join(F.col("users").cast("array<string>"), ",").alias("users"))

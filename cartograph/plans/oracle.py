@@ -187,6 +187,80 @@ SELECT item_a, item_b, cnt,
 FROM pairs ORDER BY cnt DESC, item_a, item_b LIMIT {n}""")
 
 
+def _dist(p: str, c: str) -> str:
+    terms = [f"({p}.f{i} - {c}.c{i}) * ({p}.f{i} - {c}.c{i})" for i in (1, 2, 3)]
+    return f"sqrt({terms[0]} + {terms[1]} + {terms[2]})"
+
+
+def _kmeans_ctes(log: str, k: int, rounds: int, seed: int = 42, tol: float = 1e-6) -> str:
+    """Feature CTEs, the k start centres (c0) and ``rounds`` unrolled Lloyd rounds (c1..)."""
+    key = f"md5('{seed}:' || CAST(user_id AS VARCHAR))"
+    parts = [f"WITH log AS ({LOGS[log]}), {user_features_body()}",
+             f"""c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY {key}, user_id) - 1 AS INTEGER) AS cid,
+         f1 AS c1, f2 AS c2, f3 AS c3, false AS done, 0 AS it
+  FROM feat ORDER BY {key}, user_id LIMIT {k})"""]
+    for i in range(1, rounds + 1):
+        prev = f"c{i - 1}"
+        parts.append(f"""a{i} AS (
+  SELECT p.user_id, p.f1, p.f2, p.f3, c.cid,
+         row_number() OVER (PARTITION BY p.user_id ORDER BY {_dist('p', 'c')}, c.cid) AS rn
+  FROM feat p CROSS JOIN {prev} c)""")
+        parts.append(f"""m{i} AS (
+  SELECT cid, sum(f1) / count(*) AS m1, sum(f2) / count(*) AS m2, sum(f3) / count(*) AS m3,
+         count(*) AS n
+  FROM a{i} WHERE rn = 1 GROUP BY cid)""")
+        parts.append(f"""n{i} AS (
+  SELECT c.cid, c.c1 AS o1, c.c2 AS o2, c.c3 AS o3, c.done, c.it,
+         coalesce(m.m1, c.c1) AS n1, coalesce(m.m2, c.c2) AS n2, coalesce(m.m3, c.c3) AS n3,
+         coalesce(m.n, 0) AS n
+  FROM {prev} c LEFT JOIN m{i} m ON c.cid = m.cid)""")
+        parts.append(f"""s{i} AS (
+  SELECT sum(sqrt((o1 - n1) * (o1 - n1) + (o2 - n2) * (o2 - n2) + (o3 - n3) * (o3 - n3)))
+         AS shift FROM n{i})""")
+        parts.append(f"""c{i} AS (
+  SELECT cid,
+         CASE WHEN done OR shift < {tol} THEN o1 ELSE n1 END AS c1,
+         CASE WHEN done OR shift < {tol} THEN o2 ELSE n2 END AS c2,
+         CASE WHEN done OR shift < {tol} THEN o3 ELSE n3 END AS c3,
+         done OR shift < {tol} AS done,
+         CASE WHEN done THEN it ELSE {i} END AS it, n, n1, n2, n3
+  FROM n{i} CROSS JOIN s{i})""")
+    return ",\n".join(parts)
+
+
+def kmeans_init_sql(log: str, k: int) -> str:
+    return _kmeans_ctes(log, k, 0) + "\nSELECT cid AS cluster_id, c1 AS f1, c2 AS f2, c3 AS f3 FROM c0"
+
+
+def _label_sql(centres: str) -> str:
+    return f"""
+SELECT user_id, cid AS cluster_id FROM (
+  SELECT p.user_id, c.cid,
+         row_number() OVER (PARTITION BY p.user_id ORDER BY {_dist('p', 'c')}, c.cid) AS rn
+  FROM feat p CROSS JOIN {centres} c) z WHERE rn = 1"""
+
+
+def kmeans_assign_sql(log: str, k: int) -> str:
+    return _kmeans_ctes(log, k, 0) + _label_sql("c0")
+
+
+def kmeans_step_sql(log: str, k: int) -> str:
+    return _kmeans_ctes(log, k, 1) + """
+SELECT cid AS cluster_id, round(n1, 9) AS f1, round(n2, 9) AS f2, round(n3, 9) AS f3,
+       CAST(n AS BIGINT) AS n FROM n1"""
+
+
+def kmeans_centers_sql(log: str, k: int, rounds: int = 30) -> str:
+    return _kmeans_ctes(log, k, rounds) + f"""
+SELECT cid AS cluster_id, round(c1, 6) AS f1, round(c2, 6) AS f2, round(c3, 6) AS f3
+FROM c{rounds}"""
+
+
+def kmeans_labels_sql(log: str, k: int, rounds: int = 30) -> str:
+    return _kmeans_ctes(log, k, rounds) + _label_sql(f"c{rounds}")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_log_events"] = with_log("a", "SELECT * FROM log")
@@ -208,4 +282,11 @@ def oracle_sql() -> dict[str, str]:
     q["pair_counts_split"] = pair_counts_sql("a")
     q["top_pairs"] = top_pairs_sql("b")
     q["top_pairs_events"] = top_pairs_sql("a")
+    q["kmeans_init"] = kmeans_init_sql("b", 5)
+    q["kmeans_assign"] = kmeans_assign_sql("b", 5)
+    q["kmeans_step"] = kmeans_step_sql("b", 5)
+    q["kmeans_centers"] = kmeans_centers_sql("b", 5)
+    q["kmeans_labels"] = kmeans_labels_sql("b", 5)
+    q["kmeans_centers_events"] = kmeans_centers_sql("a", 4)
+    q["kmeans_labels_events"] = kmeans_labels_sql("a", 4)
     return q
