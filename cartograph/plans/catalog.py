@@ -16,6 +16,7 @@ from cartograph.operators import cooccur as co
 from cartograph.operators import features as feat
 from cartograph.operators import index as ix
 from cartograph.operators import kmeans as km
+from cartograph.operators import personal_rank as prk
 from cartograph.plans.logs import events_clean, orders_clean, text_clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,15 +52,38 @@ def queries() -> dict[str, Query]:
     q["kmeans_centers_events"] = lambda s, d: _centres(
         s, km.fit(feat.user_features(events_clean(s, d)), K_EVENTS).centers)
     q["kmeans_labels_events"] = lambda s, d: _kmeans_labels(s, d, events=True)
+    q["graph_degree"] = lambda s, d: prk.node_degrees(ix.deep_edges(orders_clean(s, d)))
+    q["seen_items"] = lambda s, d: prk.seen_items(orders_clean(s, d), TARGET)
+    q["pr_step"] = lambda s, d: _pr_scores(s, d, 1)
+    q["pr_scores"] = lambda s, d: _pr_scores(s, d, 30)
+    q["recommend_top10"] = lambda s, d: _rounded(prk.recommend(orders_clean(s, d), TARGET))
+    q["recommend_top10_events"] = lambda s, d: _rounded(
+        prk.recommend(events_clean(s, d), TARGET_EVENTS))
+    q["recommend_cold_user"] = lambda s, d: _rounded(prk.recommend(orders_clean(s, d), COLD_TARGET))
+    q["recommend_line"] = lambda s, d: prk.recommendation_line(
+        prk.recommend(orders_clean(s, d), TARGET), TARGET)
     return q
 
 
 # ---- fixed parameters of the registered queries ----
 K = 5
 K_EVENTS = 4
+TARGET = 899          # binding B user with a full neighbourhood at sf0.01 and sf0.1
+TARGET_EVENTS = 7
+COLD_TARGET = -1      # no row in the log: every item scores 0.0
 # ----
 
 
+def _rounded(top: DataFrame) -> DataFrame:
+    return top.select("user_id", "rank", "item_id", F.round("score", 9).alias("score"))
+
+
+def _pr_scores(s: SparkSession, d: str, rounds: int) -> DataFrame:
+    g = prk.build_graph(ix.deep_edges(orders_clean(s, d)))
+    pr = prk.personal_rank(g, TARGET, iterations=rounds)
+    return prk.node_scores(g, pr).select("is_item", "node", F.round("score", 9).alias("score"))
+
+
 def _feats_b(s: SparkSession, d: str) -> DataFrame:
     return feat.user_features(orders_clean(s, d))
 

@@ -261,6 +261,52 @@ def kmeans_labels_sql(log: str, k: int, rounds: int = 30) -> str:
     return _kmeans_ctes(log, k, rounds) + _label_sql(f"c{rounds}")
 
 
+def _rank_ctes(log: str, target: int, rounds: int, alpha: float = 0.85) -> str:
+    return f"""WITH RECURSIVE log AS ({LOGS[log]}), {EDGES.strip()},
+g AS (SELECT true AS src_item, item_id AS src, false AS dst_item, user_id AS dst FROM edges
+      UNION ALL
+      SELECT false AS src_item, user_id AS src, true AS dst_item, item_id AS dst FROM edges),
+deg AS (SELECT src_item, src, count(*) AS degree FROM g GROUP BY src_item, src),
+ge AS (SELECT g.src_item, g.src, g.dst_item, g.dst, CAST(d.degree AS DOUBLE) AS deg
+       FROM g JOIN deg d ON g.src_item = d.src_item AND g.src = d.src),
+pr(it, is_item, node, score) AS (
+  SELECT 0, src_item, src,
+         CASE WHEN NOT src_item AND src = {target} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+  FROM deg
+  UNION ALL
+  SELECT p.it + 1, ge.dst_item, ge.dst,
+         sum({alpha} * (p.score / ge.deg))
+           + CASE WHEN NOT ge.dst_item AND ge.dst = {target} THEN {1 - alpha} ELSE 0.0 END
+  FROM pr p JOIN ge ON p.is_item = ge.src_item AND p.node = ge.src
+  WHERE p.it < {rounds}
+  GROUP BY p.it, ge.dst_item, ge.dst),
+final AS (SELECT is_item, node, score FROM pr WHERE it = {rounds}),
+seen AS (SELECT DISTINCT item_id FROM log WHERE user_id = {target}),
+cand AS (SELECT node AS item_id, score FROM final
+         WHERE is_item AND node NOT IN (SELECT item_id FROM seen)),
+top AS (SELECT item_id, score,
+               row_number() OVER (ORDER BY round(score, 12) DESC, item_id) AS rank
+        FROM cand ORDER BY round(score, 12) DESC, item_id LIMIT 10)"""
+
+
+def recommend_sql(log: str, target: int) -> str:
+    return _rank_ctes(log, target, 30) + f"""
+SELECT CAST({target} AS BIGINT) AS user_id, CAST(rank AS INTEGER) AS rank, item_id,
+       round(score, 9) AS score FROM top"""
+
+
+def recommend_line_sql(log: str, target: int) -> str:
+    return _rank_ctes(log, target, 30) + f"""
+SELECT '{target}' || chr(9) || coalesce(
+         (SELECT string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ','
+                            ORDER BY rank) FROM top), '') AS value"""
+
+
+def pr_scores_sql(log: str, target: int, rounds: int) -> str:
+    return _rank_ctes(log, target, rounds) + """
+SELECT is_item, node, round(score, 9) AS score FROM final"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_log_events"] = with_log("a", "SELECT * FROM log")
@@ -289,4 +335,15 @@ def oracle_sql() -> dict[str, str]:
     q["kmeans_labels"] = kmeans_labels_sql("b", 5)
     q["kmeans_centers_events"] = kmeans_centers_sql("a", 4)
     q["kmeans_labels_events"] = kmeans_labels_sql("a", 4)
+    q["graph_degree"] = with_log("b", f""", {EDGES.strip()},
+g AS (SELECT true AS src_item, item_id AS src FROM edges
+      UNION ALL SELECT false AS src_item, user_id AS src FROM edges)
+SELECT src_item AS is_item, src AS node, count(*) AS degree FROM g GROUP BY src_item, src""")
+    q["seen_items"] = with_log("b", "SELECT DISTINCT item_id FROM log WHERE user_id = 899")
+    q["pr_step"] = pr_scores_sql("b", 899, 1)
+    q["pr_scores"] = pr_scores_sql("b", 899, 30)
+    q["recommend_top10"] = recommend_sql("b", 899)
+    q["recommend_top10_events"] = recommend_sql("a", 7)
+    q["recommend_cold_user"] = recommend_sql("b", -1)
+    q["recommend_line"] = recommend_line_sql("b", 899)
     return q
