@@ -23,6 +23,7 @@ small and lets a lost executor restart from the last checkpoint instead of round
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -40,6 +41,8 @@ DEFAULT_TOP_N = 10
 
 DEFAULT_MAX_FANOUT = 50_000
 DEFAULT_CHECKPOINT_EVERY = 5
+# Rank vectors of at most this many nodes (about 40 bytes each) are broadcast.
+DEFAULT_BROADCAST_MAX_NODES = 2_000_000
 SCORE_ORDER_DIGITS = 12
 
 _KEY = ["src_item", "src", "salt"]
@@ -47,10 +50,21 @@ _KEY = ["src_item", "src", "salt"]
 
 @dataclass
 class RankGraph:
-    """Edge table (src_item, src, salt, dst_item, dst, dst_nsalt, deg) and node table
-    (is_item, node, degree, nsalt)."""
+    """Edge table (src_item, src, salt, dst_item, dst, dst_nsalt, deg), bucketed on
+    (src_item, src, salt), and node table (is_item, node, degree, nsalt)."""
     edges: DataFrame
     nodes: DataFrame
+    folder: str | None = None
+    table: str | None = None
+    n_nodes: int | None = None
+
+    def release(self) -> None:
+        """Drop the materialised tables (they live in the checkpoint folder)."""
+        if self.table:
+            self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+        if self.folder:
+            delete_path(self.edges.sparkSession, self.folder)
+        self.table = self.folder = None
 
 
 def directed_edges(item_user: DataFrame) -> DataFrame:
@@ -69,13 +83,37 @@ def node_degrees(item_user: DataFrame) -> DataFrame:
             .select(F.col("src_item").alias("is_item"), F.col("src").alias("node"), "degree"))
 
 
+def delete_path(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
-                checkpoint: bool = True) -> RankGraph:
+                buckets: int | None = None, materialize: bool = True) -> RankGraph:
+    """Node and edge tables of the walk, written once to the shared checkpoint folder.
+
+    The edge table is bucketed (and sorted) on the join key of the rounds, so a round reads
+    it with its hash partitioning and shuffles only the rank vector. Written tables also cut
+    the lineage: a lost executor re-reads files instead of recomputing the log.
+    """
     if max_fanout < 1:
         raise ValueError("max_fanout must be >= 1")
+    spark = item_user.sparkSession
     nsalt = F.greatest(F.lit(1).cast("bigint"),
                        F.ceil(F.col("degree") / F.lit(float(max_fanout))).cast("bigint"))
+    folder = table = n_nodes = None
+    if materialize:
+        # The distinct pairs are written once; nodes and edges both read them back instead
+        # of recomputing the log.
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rank-graph-{uuid.uuid4().hex}"
+        item_user.select("item_id", "user_id").write.parquet(f"{folder}/pairs")
+        item_user = spark.read.parquet(f"{folder}/pairs")
     nodes = node_degrees(item_user).withColumn("nsalt", nsalt)
+    if materialize:
+        nodes.write.parquet(f"{folder}/nodes")
+        nodes = spark.read.parquet(f"{folder}/nodes")
+        n_nodes = nodes.count()          # parquet footers only
     src = nodes.select(F.col("is_item").alias("src_item"), F.col("node").alias("src"),
                        F.col("degree").cast("double").alias("deg"), F.col("nsalt").alias("src_nsalt"))
     dst = nodes.select(F.col("is_item").alias("dst_item"), F.col("node").alias("dst"),
@@ -84,13 +122,14 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
                   F.pmod(F.xxhash64("dst_item", "dst"), F.col("src_nsalt"))
                   ).otherwise(F.lit(0).cast("bigint"))
     edges = (directed_edges(item_user).join(src, ["src_item", "src"]).join(dst, ["dst_item", "dst"])
-             .select("src_item", "src", salt.alias("salt"), "dst_item", "dst", "dst_nsalt", "deg")
-             .repartition(*_KEY))
-    if checkpoint:
-        ensure_checkpoint_dir(item_user.sparkSession)
-        edges = edges.checkpoint(eager=True)
-        nodes = nodes.checkpoint(eager=True)
-    return RankGraph(edges, nodes)
+             .select("src_item", "src", salt.alias("salt"), "dst_item", "dst", "dst_nsalt", "deg"))
+    if materialize:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"rank_edges_{uuid.uuid4().hex}"
+        (edges.repartition(n, *_KEY).write.bucketBy(n, *_KEY).sortBy(*_KEY)
+         .option("path", f"{folder}/edges").saveAsTable(table))
+        edges = spark.table(table)
+    return RankGraph(edges, nodes, folder, table, n_nodes)
 
 
 def _target_nsalt(graph: RankGraph, target: int) -> int:
@@ -100,16 +139,28 @@ def _target_nsalt(graph: RankGraph, target: int) -> int:
 
 
 def _restart(spark, target: int, nsalt: int, mass: float) -> DataFrame:
-    return spark.createDataFrame([(False, int(target), int(nsalt), float(mass))],
-                                 "is_item boolean, node long, nsalt long, pr double")
+    """One-row rank vector at the target, built JVM-side (no Python worker per round)."""
+    return spark.range(1).select(F.lit(False).alias("is_item"),
+                                 F.lit(int(target)).cast("bigint").alias("node"),
+                                 F.lit(int(nsalt)).cast("bigint").alias("nsalt"),
+                                 F.lit(float(mass)).alias("pr"))
 
 
 def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int,
-              alpha: float = DEFAULT_ALPHA) -> DataFrame:
+              alpha: float = DEFAULT_ALPHA,
+              broadcast_max_nodes: int = DEFAULT_BROADCAST_MAX_NODES) -> DataFrame:
     """One round: (is_item, node, nsalt, pr) -> the same for the next round."""
     spread = pr.where(F.col("pr") != 0).select(
         F.col("is_item").alias("src_item"), F.col("node").alias("src"), F.col("pr"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nsalt") - 1)).alias("salt"))
+    # The rank vector is a subset of the node table, so its size is bounded by the node count
+    # measured when the graph was built: broadcast it under that proven bound; beyond it,
+    # hash it by the join key and stream the bucketed edges in place. (Left to itself the
+    # planner would broadcast the edge table, whose compressed files look small.)
+    if graph.n_nodes is not None and graph.n_nodes <= broadcast_max_nodes:
+        spread = F.broadcast(spread)
+    else:
+        spread = spread.hint("shuffle_hash")
     share = spread.join(graph.edges, _KEY).select(
         F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
         F.col("dst_nsalt").alias("nsalt"),
@@ -158,6 +209,8 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
     """
     graph = graph or build_graph(deep_edges(clean), max_fanout)
     pr = personal_rank(graph, target, iterations, alpha, checkpoint_every)
+    if checkpoint_every:
+        pr = pr.checkpoint(eager=True)
     items = (node_scores(graph, pr).where(F.col("is_item"))
              .select(F.col("node").alias("item_id"), "score"))
     cand = items.join(seen_items(clean, target), "item_id", "left_anti")
