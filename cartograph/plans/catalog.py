@@ -17,7 +17,9 @@ from cartograph.operators import features as feat
 from cartograph.operators import index as ix
 from cartograph.operators import kmeans as km
 from cartograph.operators import personal_rank as prk
+from cartograph.plans import exports
 from cartograph.plans.logs import events_clean, orders_clean, text_clean
+from cartograph.sinks import writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +64,19 @@ def queries() -> dict[str, Query]:
     q["recommend_cold_user"] = lambda s, d: _rounded(prk.recommend(orders_clean(s, d), COLD_TARGET))
     q["recommend_line"] = lambda s, d: prk.recommendation_line(
         prk.recommend(orders_clean(s, d), TARGET), TARGET)
+    q["clean_lines"] = lambda s, d: writers.clean_lines(orders_clean(s, d))
+    q["feature_lines"] = lambda s, d: writers.feature_lines(_feats_b(s, d))
+    q["index_lines"] = lambda s, d: ix.index_lines(ix.inverted_index(orders_clean(s, d)))
+    q["pair_lines"] = lambda s, d: co.pair_lines(co.top_pairs(orders_clean(s, d)))
+    q["center_lines"] = lambda s, d: km.center_lines(
+        km.centers_frame(s, km.fit(_feats_b(s, d), K).centers))
+    q["label_lines"] = lambda s, d: km.label_lines(_kmeans_labels(s, d))
+    q["roundtrip_clean_text"] = exports.roundtrip_clean_text
+    q["roundtrip_features_text"] = exports.roundtrip_features_text
+    q["roundtrip_index_text"] = exports.roundtrip_index_text
+    q["stream_clean_events"] = exports.stream_clean_events
+    q["batch_text_recommendation"] = lambda s, d: exports.batch_text_recommendation(
+        s, d, TARGET_EVENTS)
     return q
 
 

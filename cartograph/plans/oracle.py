@@ -298,7 +298,7 @@ SELECT CAST({target} AS BIGINT) AS user_id, CAST(rank AS INTEGER) AS rank, item_
 def recommend_line_sql(log: str, target: int) -> str:
     return _rank_ctes(log, target, 30) + f"""
 SELECT '{target}' || chr(9) || coalesce(
-         (SELECT string_agg(CAST(item_id AS VARCHAR) || ':' || printf('%.3f', score), ','
+         (SELECT string_agg(CAST(item_id AS VARCHAR) || ':' || {java_fixed('score', 3)}, ','
                             ORDER BY rank) FROM top), '') AS value"""
 
 
@@ -307,6 +307,54 @@ def pr_scores_sql(log: str, target: int, rounds: int) -> str:
 SELECT is_item, node, round(score, 9) AS score FROM final"""
 
 
+def java_fixed(x: str, n: int) -> str:
+    """Text of x with n decimals, rounded half-up on its shortest decimal form (Java's %.nf)."""
+    return (f"CAST(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) "
+            f"AS DECIMAL(38, {n})) AS VARCHAR)")
+
+
+def clean_lines_sql(log: str) -> str:
+    return with_log(log, """SELECT concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR),
+  CAST(category_id AS VARCHAR), behavior_type, CAST(ts AS VARCHAR)) AS value FROM log""")
+
+
+def feature_lines_sql(log: str) -> str:
+    return with_log(log, f""", {user_features_body()}
+SELECT concat_ws(',', CAST(user_id AS VARCHAR), {java_fixed('f1', 4)}, {java_fixed('f2', 4)},
+                 {java_fixed('f3', 4)}) AS value FROM feat""")
+
+
+def features_roundtrip_sql(log: str) -> str:
+    back = [f"CAST({java_fixed(c, 4)} AS DOUBLE) AS {c}" for c in ("f1", "f2", "f3")]
+    return with_log(log, f""", {user_features_body()}
+SELECT user_id, {', '.join(back)} FROM feat""")
+
+
+def index_lines_sql(log: str) -> str:
+    return with_log(log, f""", {EDGES.strip()}
+SELECT CAST(item_id AS VARCHAR) || chr(9) ||
+       string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS value
+FROM edges GROUP BY item_id""")
+
+
+def pair_lines_sql(log: str, n: int = 1000) -> str:
+    return with_log(log, f""", {BASKETS.strip()}
+SELECT item_a || ',' || item_b || chr(9) || CAST(cnt AS VARCHAR) AS value
+FROM pairs ORDER BY cnt DESC, item_a, item_b LIMIT {n}""")
+
+
+def center_lines_sql(log: str, k: int, rounds: int = 30) -> str:
+    nums = ", ".join(java_fixed(c, 4) for c in ("c1", "c2", "c3"))
+    return _kmeans_ctes(log, k, rounds) + f"""
+SELECT CAST(cid AS VARCHAR) || chr(9) || concat_ws(',', {nums}) AS value FROM c{rounds}"""
+
+
+def label_lines_sql(log: str, k: int, rounds: int = 30) -> str:
+    return _kmeans_ctes(log, k, rounds) + f"""
+SELECT CAST(user_id AS VARCHAR) || ',' || CAST(cluster_id AS VARCHAR) AS value
+FROM ({_label_sql(f"c{rounds}")}) z"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_log_events"] = with_log("a", "SELECT * FROM log")
@@ -346,4 +394,15 @@ SELECT src_item AS is_item, src AS node, count(*) AS degree FROM g GROUP BY src_
     q["recommend_top10_events"] = recommend_sql("a", 7)
     q["recommend_cold_user"] = recommend_sql("b", -1)
     q["recommend_line"] = recommend_line_sql("b", 899)
+    q["clean_lines"] = clean_lines_sql("b")
+    q["feature_lines"] = feature_lines_sql("b")
+    q["index_lines"] = index_lines_sql("b")
+    q["pair_lines"] = pair_lines_sql("b")
+    q["center_lines"] = center_lines_sql("b", 5)
+    q["label_lines"] = label_lines_sql("b", 5)
+    q["roundtrip_clean_text"] = with_log("b", "SELECT * FROM log")
+    q["roundtrip_features_text"] = features_roundtrip_sql("b")
+    q["roundtrip_index_text"] = with_log("b", f", {EDGES.strip()}\nSELECT item_id, user_id FROM edges")
+    q["stream_clean_events"] = with_log("a", "SELECT * FROM log")
+    q["batch_text_recommendation"] = recommend_line_sql("c", 7)
     return q
