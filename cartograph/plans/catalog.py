@@ -130,4 +130,5 @@ def _index_rows(index: DataFrame) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.user_features(orders_clean(spark, sf_dir))
+    """Top-10 PersonalRank recommendation for user 7 of the events binding."""
+    return _rounded(prk.recommend(events_clean(spark, sf_dir), TARGET_EVENTS))
