@@ -45,18 +45,26 @@ DEFAULT_CHECKPOINT_EVERY = 5
 DEFAULT_BROADCAST_MAX_NODES = 2_000_000
 SCORE_ORDER_DIGITS = 12
 
-_KEY = ["src_item", "src", "salt"]
+_SRC_KEY = ["src_item", "src", "salt"]
+_DST_KEY = ["dst_item", "dst", "dsalt"]
 
 
 @dataclass
 class RankGraph:
-    """Edge table (src_item, src, salt, dst_item, dst, dst_nsalt, deg), bucketed on
-    (src_item, src, salt), and node table (is_item, node, degree, nsalt)."""
+    """Walk graph materialised for the rounds.
+
+    ``layout == "dst"`` (rank vector provably small enough to broadcast): edges
+    (src_item, src, deg, dst_item, dst, dsalt) bucketed on (dst_item, dst, dsalt).
+    ``layout == "src"`` (larger vectors): edges (src_item, src, salt, dst_item, dst,
+    dst_nsalt, deg) bucketed on (src_item, src, salt).
+    ``nodes``: (is_item, node, degree, nsalt).
+    """
     edges: DataFrame
     nodes: DataFrame
+    layout: str = "src"
+    n_nodes: int | None = None
     folder: str | None = None
     table: str | None = None
-    n_nodes: int | None = None
 
     def release(self) -> None:
         """Drop the materialised tables (they live in the checkpoint folder)."""
@@ -89,47 +97,58 @@ def delete_path(spark, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _salt(n_salts: str, *by: str):
+    return F.when(F.col(n_salts) > 1, F.pmod(F.xxhash64(*by), F.col(n_salts))).otherwise(
+        F.lit(0).cast("bigint"))
+
+
 def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
-                buckets: int | None = None, materialize: bool = True) -> RankGraph:
+                buckets: int | None = None,
+                broadcast_max_nodes: int = DEFAULT_BROADCAST_MAX_NODES,
+                layout: str | None = None) -> RankGraph:
     """Node and edge tables of the walk, written once to the shared checkpoint folder.
 
-    The edge table is bucketed (and sorted) on the join key of the rounds, so a round reads
-    it with its hash partitioning and shuffles only the rank vector. Written tables also cut
-    the lineage: a lost executor re-reads files instead of recomputing the log.
+    The node count chooses the layout: while it is at most ``broadcast_max_nodes`` the rank
+    vector (a subset of the nodes) is broadcast every round, so edges are bucketed by their
+    destination and a round sums by destination without any exchange of edge rows. Beyond
+    that bound edges are bucketed by their source and a round hash-joins the rank vector
+    against them. Either way a hot node is split into ``ceil(degree / max_fanout)`` salted
+    groups. Written tables also cut the lineage: a lost executor re-reads files instead of
+    recomputing the log.
     """
     if max_fanout < 1:
         raise ValueError("max_fanout must be >= 1")
     spark = item_user.sparkSession
     nsalt = F.greatest(F.lit(1).cast("bigint"),
                        F.ceil(F.col("degree") / F.lit(float(max_fanout))).cast("bigint"))
-    folder = table = n_nodes = None
-    if materialize:
-        # The distinct pairs are written once; nodes and edges both read them back instead
-        # of recomputing the log.
-        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rank-graph-{uuid.uuid4().hex}"
-        item_user.select("item_id", "user_id").write.parquet(f"{folder}/pairs")
-        item_user = spark.read.parquet(f"{folder}/pairs")
-    nodes = node_degrees(item_user).withColumn("nsalt", nsalt)
-    if materialize:
-        nodes.write.parquet(f"{folder}/nodes")
-        nodes = spark.read.parquet(f"{folder}/nodes")
-        n_nodes = nodes.count()          # parquet footers only
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rank-graph-{uuid.uuid4().hex}"
+    # The distinct pairs are written once; nodes and edges both read them back instead of
+    # recomputing the log.
+    item_user.select("item_id", "user_id").write.parquet(f"{folder}/pairs")
+    item_user = spark.read.parquet(f"{folder}/pairs")
+    node_degrees(item_user).withColumn("nsalt", nsalt).write.parquet(f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
+    n_nodes = nodes.count()                       # parquet footers only
+    layout = layout or ("dst" if n_nodes <= broadcast_max_nodes else "src")
     src = nodes.select(F.col("is_item").alias("src_item"), F.col("node").alias("src"),
-                       F.col("degree").cast("double").alias("deg"), F.col("nsalt").alias("src_nsalt"))
+                       F.col("degree").cast("double").alias("deg"),
+                       F.col("nsalt").alias("src_nsalt"))
     dst = nodes.select(F.col("is_item").alias("dst_item"), F.col("node").alias("dst"),
                        F.col("nsalt").alias("dst_nsalt"))
-    salt = F.when(F.col("src_nsalt") > 1,
-                  F.pmod(F.xxhash64("dst_item", "dst"), F.col("src_nsalt"))
-                  ).otherwise(F.lit(0).cast("bigint"))
-    edges = (directed_edges(item_user).join(src, ["src_item", "src"]).join(dst, ["dst_item", "dst"])
-             .select("src_item", "src", salt.alias("salt"), "dst_item", "dst", "dst_nsalt", "deg"))
-    if materialize:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        table = f"rank_edges_{uuid.uuid4().hex}"
-        (edges.repartition(n, *_KEY).write.bucketBy(n, *_KEY).sortBy(*_KEY)
-         .option("path", f"{folder}/edges").saveAsTable(table))
-        edges = spark.table(table)
-    return RankGraph(edges, nodes, folder, table, n_nodes)
+    joined = directed_edges(item_user).join(src, ["src_item", "src"]).join(dst, ["dst_item", "dst"])
+    if layout == "dst":
+        edges = joined.select("src_item", "src", "deg", "dst_item", "dst",
+                              _salt("dst_nsalt", "src_item", "src").alias("dsalt"))
+        key = _DST_KEY
+    else:
+        edges = joined.select("src_item", "src", _salt("src_nsalt", "dst_item", "dst").alias("salt"),
+                              "dst_item", "dst", "dst_nsalt", "deg")
+        key = _SRC_KEY
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"rank_edges_{uuid.uuid4().hex}"
+    (edges.repartition(n, *key).write.bucketBy(n, *key).sortBy(*key)
+     .option("path", f"{folder}/edges").saveAsTable(table))
+    return RankGraph(spark.table(table), nodes, layout, n_nodes, folder, table)
 
 
 def _target_nsalt(graph: RankGraph, target: int) -> int:
@@ -140,32 +159,40 @@ def _target_nsalt(graph: RankGraph, target: int) -> int:
 
 def _restart(spark, target: int, nsalt: int, mass: float) -> DataFrame:
     """One-row rank vector at the target, built JVM-side (no Python worker per round)."""
-    return spark.range(1).select(F.lit(False).alias("is_item"),
-                                 F.lit(int(target)).cast("bigint").alias("node"),
-                                 F.lit(int(nsalt)).cast("bigint").alias("nsalt"),
-                                 F.lit(float(mass)).alias("pr"))
+    return spark.range(0, 1, 1, 1).select(F.lit(False).alias("is_item"),
+                                          F.lit(int(target)).cast("bigint").alias("node"),
+                                          F.lit(int(nsalt)).cast("bigint").alias("nsalt"),
+                                          F.lit(float(mass)).alias("pr"))
 
 
-def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int,
-              alpha: float = DEFAULT_ALPHA,
-              broadcast_max_nodes: int = DEFAULT_BROADCAST_MAX_NODES) -> DataFrame:
+def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int = 1,
+              alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """One round: (is_item, node, nsalt, pr) -> the same for the next round."""
-    spread = pr.where(F.col("pr") != 0).select(
+    restart = _restart(pr.sparkSession, target, target_nsalt, 1.0 - alpha)
+    live = pr.where(F.col("pr") != 0)
+    if graph.layout == "dst":
+        # Broadcast under the proven bound (the vector is a subset of the n_nodes nodes);
+        # the bucketed edge scan keeps its (dst_item, dst, dsalt) partitioning through the
+        # broadcast join, so the first aggregate needs no exchange. Only one partial row per
+        # (node, salt) is then shuffled for the per-node total.
+        vec = F.broadcast(live.select(F.col("is_item").alias("src_item"),
+                                      F.col("node").alias("src"), "pr"))
+        share = (graph.edges.join(vec, ["src_item", "src"])
+                 .groupBy(*_DST_KEY)
+                 .agg(F.sum(F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
+                 .select(F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
+                         F.lit(1).cast("bigint").alias("nsalt"), "pr"))
+        return (share.unionByName(restart).groupBy("is_item", "node")
+                .agg(F.first("nsalt").alias("nsalt"), F.sum("pr").alias("pr")))
+    # Beyond the bound: the rank row of a hot node is repeated once per salt, hashed on the
+    # bucket key and joined against the edges in place; partial sums then go by destination.
+    spread = live.select(
         F.col("is_item").alias("src_item"), F.col("node").alias("src"), F.col("pr"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nsalt") - 1)).alias("salt"))
-    # The rank vector is a subset of the node table, so its size is bounded by the node count
-    # measured when the graph was built: broadcast it under that proven bound; beyond it,
-    # hash it by the join key and stream the bucketed edges in place. (Left to itself the
-    # planner would broadcast the edge table, whose compressed files look small.)
-    if graph.n_nodes is not None and graph.n_nodes <= broadcast_max_nodes:
-        spread = F.broadcast(spread)
-    else:
-        spread = spread.hint("shuffle_hash")
-    share = spread.join(graph.edges, _KEY).select(
+    share = spread.hint("shuffle_hash").join(graph.edges, _SRC_KEY).select(
         F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
         F.col("dst_nsalt").alias("nsalt"),
         (F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
-    restart = _restart(pr.sparkSession, target, target_nsalt, 1.0 - alpha)
     return (share.unionByName(restart).groupBy("is_item", "node", "nsalt")
             .agg(F.sum("pr").alias("pr")))
 
@@ -175,7 +202,7 @@ def personal_rank(graph: RankGraph, target: int, iterations: int = DEFAULT_ITERA
                   checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
     """(is_item, node, nsalt, pr) after ``iterations`` rounds; nodes without mass are absent."""
     spark = graph.edges.sparkSession
-    tn = _target_nsalt(graph, target)
+    tn = _target_nsalt(graph, target) if graph.layout == "src" else 1
     pr = _restart(spark, target, tn, 1.0)
     if checkpoint_every:
         ensure_checkpoint_dir(spark)
@@ -209,8 +236,6 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
     """
     graph = graph or build_graph(deep_edges(clean), max_fanout)
     pr = personal_rank(graph, target, iterations, alpha, checkpoint_every)
-    if checkpoint_every:
-        pr = pr.checkpoint(eager=True)
     items = (node_scores(graph, pr).where(F.col("is_item"))
              .select(F.col("node").alias("item_id"), "score"))
     cand = items.join(seen_items(clean, target), "item_id", "left_anti")

@@ -13,8 +13,9 @@ def _scores(clean, target, **kw):
     return {(r["is_item"], r["node"]): r["score"] for r in prk.node_scores(g, pr).collect()}
 
 
-def test_worked_target_3(worked_clean):
-    s = _scores(worked_clean, 3)
+@pytest.mark.parametrize("bound", [0, 10_000])
+def test_worked_target_3(worked_clean, bound):
+    s = _scores(worked_clean, 3, broadcast_max_nodes=bound)
     assert s[(False, 3)] == pytest.approx(0.245237546, abs=1e-9)
     assert s[(True, 9)] == pytest.approx(0.331554060, abs=1e-9)
     assert s[(False, 1)] == pytest.approx(0.149404510, abs=1e-9)
@@ -66,7 +67,8 @@ def test_salted_hot_nodes_match_brute_force(spark):
                                                   "behavior_type string, ts long"))
     want = _brute_rank(sorted(edges), 3)
     for fanout in (4, 50_000):
-        got = _scores(log, 3, max_fanout=fanout)
-        assert set(got) == set(want)
-        for k, v in want.items():
-            assert got[k] == pytest.approx(v, abs=1e-12)
+        for bound in (0, 10_000):         # 0 forces the source-bucketed layout
+            got = _scores(log, 3, max_fanout=fanout, broadcast_max_nodes=bound)
+            assert set(got) == set(want)
+            for k, v in want.items():
+                assert got[k] == pytest.approx(v, abs=1e-12)
