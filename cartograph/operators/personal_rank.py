@@ -63,6 +63,7 @@ class RankGraph:
     nodes: DataFrame
     layout: str = "src"
     n_nodes: int | None = None
+    has_hot: bool = True
     folder: str | None = None
     table: str | None = None
 
@@ -128,7 +129,8 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     item_user = spark.read.parquet(f"{folder}/pairs")
     node_degrees(item_user).withColumn("nsalt", nsalt).write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
-    n_nodes = nodes.count()                       # parquet footers only
+    stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("nsalt").alias("m")).first()
+    n_nodes, has_hot = int(stats["n"]), bool((stats["m"] or 1) > 1)
     layout = layout or ("dst" if n_nodes <= broadcast_max_nodes else "src")
     src = nodes.select(F.col("is_item").alias("src_item"), F.col("node").alias("src"),
                        F.col("degree").cast("double").alias("deg"),
@@ -138,7 +140,7 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     joined = directed_edges(item_user).join(src, ["src_item", "src"]).join(dst, ["dst_item", "dst"])
     if layout == "dst":
         edges = joined.select("src_item", "src", "deg", "dst_item", "dst",
-                              _salt("dst_nsalt", "src_item", "src").alias("dsalt"))
+                              _salt("dst_nsalt", "src_item", "src").alias("dsalt"), "dst_nsalt")
         key = _DST_KEY
     else:
         edges = joined.select("src_item", "src", _salt("src_nsalt", "dst_item", "dst").alias("salt"),
@@ -148,7 +150,7 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     table = f"rank_edges_{uuid.uuid4().hex}"
     (edges.repartition(n, *key).write.bucketBy(n, *key).sortBy(*key)
      .option("path", f"{folder}/edges").saveAsTable(table))
-    return RankGraph(spark.table(table), nodes, layout, n_nodes, folder, table)
+    return RankGraph(spark.table(table), nodes, layout, n_nodes, has_hot, folder, table)
 
 
 def _target_nsalt(graph: RankGraph, target: int) -> int:
@@ -171,19 +173,26 @@ def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int =
     restart = _restart(pr.sparkSession, target, target_nsalt, 1.0 - alpha)
     live = pr.where(F.col("pr") != 0)
     if graph.layout == "dst":
-        # Broadcast under the proven bound (the vector is a subset of the n_nodes nodes);
-        # the bucketed edge scan keeps its (dst_item, dst, dsalt) partitioning through the
-        # broadcast join, so the first aggregate needs no exchange. Only one partial row per
-        # (node, salt) is then shuffled for the per-node total.
+        # Broadcast under the proven bound (the vector holds at most one row per node and
+        # salt, plus the restart row). The bucketed edge scan keeps its (dst_item, dst,
+        # dsalt) partitioning through the broadcast join, so the sum by destination runs
+        # inside each bucket with no exchange. The walk is linear, so a node may carry its
+        # mass as several partial rows (the restart row, or one per salt of a hot node):
+        # the next join adds them up. Only the partial rows of hot nodes are merged here,
+        # which keeps the broadcast side at one row per node; without hot nodes a round has
+        # no shuffle at all.
         vec = F.broadcast(live.select(F.col("is_item").alias("src_item"),
                                       F.col("node").alias("src"), "pr"))
-        share = (graph.edges.join(vec, ["src_item", "src"])
-                 .groupBy(*_DST_KEY)
+        local = (graph.edges.join(vec, ["src_item", "src"])
+                 .groupBy(*_DST_KEY, "dst_nsalt")
                  .agg(F.sum(F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
                  .select(F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
-                         F.lit(1).cast("bigint").alias("nsalt"), "pr"))
-        return (share.unionByName(restart).groupBy("is_item", "node")
-                .agg(F.first("nsalt").alias("nsalt"), F.sum("pr").alias("pr")))
+                         F.col("dst_nsalt").alias("nsalt"), "pr"))
+        if not graph.has_hot:
+            return local.unionByName(restart)
+        hot = (local.where(F.col("nsalt") > 1).groupBy("is_item", "node")
+               .agg(F.first("nsalt").alias("nsalt"), F.sum("pr").alias("pr")))
+        return local.where(F.col("nsalt") == 1).unionByName(hot).unionByName(restart)
     # Beyond the bound: the rank row of a hot node is repeated once per salt, hashed on the
     # bucket key and joined against the edges in place; partial sums then go by destination.
     spread = live.select(
@@ -200,7 +209,11 @@ def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int =
 def personal_rank(graph: RankGraph, target: int, iterations: int = DEFAULT_ITERATIONS,
                   alpha: float = DEFAULT_ALPHA,
                   checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
-    """(is_item, node, nsalt, pr) after ``iterations`` rounds; nodes without mass are absent."""
+    """(is_item, node, nsalt, pr) after ``iterations`` rounds; nodes without mass are absent.
+
+    A node may appear in several rows whose masses add up (see ``rank_step``);
+    ``node_scores`` gives one score per node.
+    """
     spark = graph.edges.sparkSession
     tn = _target_nsalt(graph, target) if graph.layout == "src" else 1
     pr = _restart(spark, target, tn, 1.0)
@@ -215,8 +228,9 @@ def personal_rank(graph: RankGraph, target: int, iterations: int = DEFAULT_ITERA
 
 def node_scores(graph: RankGraph, pr: DataFrame) -> DataFrame:
     """Dense vector over the graph nodes: (is_item, node, score), 0.0 where no mass arrived."""
+    total = pr.groupBy("is_item", "node").agg(F.sum("pr").alias("pr"))
     return (graph.nodes.select("is_item", "node")
-            .join(pr.select("is_item", "node", "pr"), ["is_item", "node"], "left")
+            .join(total, ["is_item", "node"], "left")
             .select("is_item", "node", F.coalesce(F.col("pr"), F.lit(0.0)).alias("score")))
 
 
