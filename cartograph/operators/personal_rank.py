@@ -41,6 +41,9 @@ DEFAULT_TOP_N = 10
 
 DEFAULT_MAX_FANOUT = 50_000
 DEFAULT_CHECKPOINT_EVERY = 5
+# Edge-table bucket sizing (a round reads each bucket in one task).
+EDGES_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 65_536
 # Rank vectors of at most this many nodes (about 40 bytes each) are broadcast.
 DEFAULT_BROADCAST_MAX_NODES = 2_000_000
 SCORE_ORDER_DIGITS = 12
@@ -98,6 +101,13 @@ def delete_path(spark, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def edge_buckets(spark, n_edges: int) -> int:
+    """Bucket count from the measured edge count: about EDGES_PER_BUCKET edges per bucket,
+    at least one bucket per core, at most MAX_BUCKETS."""
+    per = -(-n_edges // EDGES_PER_BUCKET)
+    return int(min(MAX_BUCKETS, max(spark.sparkContext.defaultParallelism, per, 1)))
+
+
 def _salt(n_salts: str, *by: str):
     return F.when(F.col(n_salts) > 1, F.pmod(F.xxhash64(*by), F.col(n_salts))).otherwise(
         F.lit(0).cast("bigint"))
@@ -127,6 +137,7 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     # recomputing the log.
     item_user.select("item_id", "user_id").write.parquet(f"{folder}/pairs")
     item_user = spark.read.parquet(f"{folder}/pairs")
+    n_pairs = item_user.count()                   # parquet footers only
     node_degrees(item_user).withColumn("nsalt", nsalt).write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
     stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("nsalt").alias("m")).first()
@@ -146,7 +157,7 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
         edges = joined.select("src_item", "src", _salt("src_nsalt", "dst_item", "dst").alias("salt"),
                               "dst_item", "dst", "dst_nsalt", "deg")
         key = _SRC_KEY
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or edge_buckets(spark, 2 * n_pairs)
     table = f"rank_edges_{uuid.uuid4().hex}"
     (edges.repartition(n, *key).write.bucketBy(n, *key).sortBy(*key)
      .option("path", f"{folder}/edges").saveAsTable(table))
