@@ -58,7 +58,7 @@ def read_index_text(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).where(F.length(java_trim(F.col("value"))) > 0)
     parts = F.split(F.col("value"), "\t", -1)
     edges = (lines.where(F.size(parts) >= 2)
-             .select(parse_long(java_trim(parts.getItem(0))).alias("item_id"),
-                     F.explode(F.split(parts.getItem(1), ",", -1)).alias("u"))
+             .select(parse_long(java_trim(F.try_element_at(parts, F.lit(1)))).alias("item_id"),
+                     F.explode(F.split(F.try_element_at(parts, F.lit(2)), ",", -1)).alias("u"))
              .select("item_id", parse_long(java_trim(F.col("u"))).alias("user_id")))
     return edges.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull()).distinct()
