@@ -20,6 +20,8 @@ per pair and map task is shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -67,15 +69,46 @@ def pair_counts(clean: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataF
             .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def count_lower_bound(baskets: DataFrame, n: int, seed_items: int | None = None) -> int:
+    """A lower bound on the n-th largest pair count: the n-th largest count among the pairs
+    of the ``seed_items`` items with the most buyers (any subset of pairs gives one).
+
+    Runs one small job; only the seed item ids (a bounded list) are broadcast.
+    """
+    m = seed_items or max(64, 2 * int(math.isqrt(2 * n)) + 2)
+    seeds = (baskets.groupBy("item").agg(F.count(F.lit(1)).alias("buyers"))
+             .orderBy(F.col("buyers").desc(), F.col("item")).limit(m).select("item"))
+    sub = baskets.join(F.broadcast(seeds), "item")
+    counts = item_pairs(sub).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
+    row = counts.orderBy(F.col("cnt").desc()).limit(n).agg(
+        F.count(F.lit(1)).alias("k"), F.min("cnt").alias("c")).first()
+    return int(row["c"]) if row["k"] == n else 1
+
+
 def top_pairs(clean: DataFrame, n: int = DEFAULT_TOP_N,
-              block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+              block_size: int = DEFAULT_BLOCK_SIZE, prune: bool = True) -> DataFrame:
     """The n most frequent pairs, ties broken by item_a, item_b; with a 1-based rank.
 
+    Exact pruning (``prune``): a pair's count is at most the buyer count of either item, so
+    with a lower bound t on the n-th largest count (``count_lower_bound``) every pair of the
+    result has two items with at least t buyers. Items below t are dropped before any pair
+    is formed - at scale that removes the long tail of rarely bought items, and with it
+    most of the pair work - and no count of a remaining pair changes.
+
     orderBy + limit plans as TakeOrderedAndProject: every task keeps its own n best, only
     n rows per task reach the final merge. The rank is numbered over those n rows only.
     """
+    baskets = buy_baskets(clean)
+    if prune:
+        t = count_lower_bound(baskets, n)
+        if t > 1:
+            popular = (baskets.groupBy("item").agg(F.count(F.lit(1)).alias("buyers"))
+                       .where(F.col("buyers") >= t).select("item"))
+            baskets = baskets.join(popular, "item", "left_semi")
+    counts = item_pairs(baskets, block_size).groupBy("item_a", "item_b").agg(
+        F.count(F.lit(1)).alias("cnt"))
     order = [F.col("cnt").desc(), F.col("item_a"), F.col("item_b")]
-    top = pair_counts(clean, block_size).orderBy(*order).limit(n)
+    top = counts.orderBy(*order).limit(n)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 

@@ -86,3 +86,19 @@ def test_top_pairs_total_order(spark):
     assert top == [(1, "1", "2", 3), (2, "1", "3", 3)]
     lines = [r["value"] for r in co.pair_lines(co.top_pairs(log, n=2)).collect()]
     assert lines == ["1,2\t3", "1,3\t3"]
+
+
+def test_pruned_top_pairs_equal_unpruned(spark):
+    rnd = random.Random(11)
+    rows = []
+    for u in range(300):
+        k = rnd.choice([1, 2, 4, 12])
+        for _ in range(k):
+            rows.append((u, int(rnd.paretovariate(1.2)) % 400, 0, "buy", 1))
+    log = clean_typed(spark.createDataFrame(rows, "user_id long, item_id long, category_id long, "
+                                                  "behavior_type string, ts long"))
+    for n in (5, 40, 100000):
+        a = [tuple(r) for r in co.top_pairs(log, n=n, prune=True).orderBy("rank").collect()]
+        b = [tuple(r) for r in co.top_pairs(log, n=n, prune=False).orderBy("rank").collect()]
+        assert a == b
+    assert co.count_lower_bound(co.buy_baskets(log), 5) >= 2
