@@ -14,8 +14,9 @@ from cartograph.plans.logs import orders_clean
 from cartograph.session import ensure_checkpoint_dir
 from cartograph.sinks import writers
 from cartograph.sources import readers
-from cartograph.sources.bindings import events_text_lines
-from cartograph.streaming.ingest import clean_log_stream, ingest_clean_log
+from cartograph.operators.clean import clean_typed
+from cartograph.sources.bindings import events_text_lines, events_typed
+from cartograph.streaming.ingest import ingest_clean_log
 
 
 def export_dir(spark: SparkSession, name: str) -> str:
@@ -41,20 +42,11 @@ def roundtrip_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream source -> binding A -> cleaning -> parquet (availableNow)."""
-    from cartograph.operators.clean import clean_typed
-    from cartograph.sources.bindings import _event_behavior, epoch_seconds
-    from pyspark.sql import functions as F
-
     base = export_dir(spark, "stream")
-    src = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    stream = spark.readStream.schema(src.schema).parquet(
-        f"{sf_dir.rstrip('/')}/events*.parquet")
-    item = F.get_json_object("props", "$.k").try_cast("bigint")
-    typed = stream.select(F.col("user_id"), item.alias("item_id"),
-                          (item % 10).alias("category_id"),
-                          _event_behavior(F.col("event_type")).alias("behavior_type"),
-                          epoch_seconds("ts").alias("ts"))
-    q = ingest_clean_log(clean_typed(typed), f"{base}/data", f"{base}/_checkpoint")
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
+    q = ingest_clean_log(clean_typed(events_typed(stream)), f"{base}/data",
+                         f"{base}/_checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/data")
 
@@ -65,6 +57,3 @@ def batch_text_recommendation(spark: SparkSession, sf_dir: str, target: int) ->
     res = run_jobs(spark, events_text_lines(spark, sf_dir), base, target, is_raw_text=True)
     return spark.read.text(res.paths["recommendation"])
 
-
-__all__ = ["roundtrip_clean_text", "roundtrip_features_text", "roundtrip_index_text",
-           "stream_clean_events", "batch_text_recommendation", "clean_log_stream"]

@@ -51,7 +51,11 @@ def _event_behavior(col: Column) -> Column:
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding A as a typed but not yet validated log (``error`` rows still present)."""
-    ev = read_table(spark, sf_dir, "events")
+    return events_typed(read_table(spark, sf_dir, "events"))
+
+
+def events_typed(ev: DataFrame) -> DataFrame:
+    """Binding A on any events DataFrame, batch or streaming."""
     item = F.get_json_object("props", "$.k").try_cast("bigint")
     return ev.select(
         F.col("user_id"),

@@ -12,7 +12,6 @@ streaming state, one entry per user - the same state the batch feature job build
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartograph.operators.clean import clean_text, clean_typed
@@ -52,5 +51,3 @@ def stream_table(spark: SparkSession, table_path: str, schema) -> DataFrame:
     """A parquet table file (or folder) as a streaming source."""
     return spark.readStream.schema(schema).parquet(table_path)
 
-
-__all__ = ["clean_log_stream", "ingest_clean_log", "user_activity_stream", "stream_table", "F"]

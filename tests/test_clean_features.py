@@ -1,5 +1,3 @@
-import pytest
-
 from cartograph.operators.clean import clean_text
 from cartograph.operators.features import (cutoff_ts, feature_bounds, raw_features,
                                            user_features)
