@@ -47,10 +47,13 @@ def item_pairs(baskets: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> Data
     """One row (item_a, item_b) per user and unordered pair of distinct items, item_a < item_b."""
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
-    nb = F.greatest(F.lit(1).cast("bigint"),
-                    F.ceil(F.col("n_items") / F.lit(float(block_size))).cast("bigint"))
-    sized = (baskets.join(basket_sizes(baskets), "user_id")
-             .select("user_id", "item", nb.alias("nb")))
+    # Only hot baskets (more than block_size items; at most rows / block_size of them) join
+    # back, as a left join that AQE broadcasts once it has measured it.
+    hot = (basket_sizes(baskets).where(F.col("n_items") > block_size)
+           .select("user_id", F.ceil(F.col("n_items") / F.lit(float(block_size)))
+                   .cast("bigint").alias("nb")))
+    sized = (baskets.join(hot, "user_id", "left")
+             .select("user_id", "item", F.coalesce(F.col("nb"), F.lit(1).cast("bigint")).alias("nb")))
     blk = F.when(F.col("nb") > 1, F.pmod(F.xxhash64("item"), F.col("nb"))).otherwise(
         F.lit(0).cast("bigint"))
     sized = sized.withColumn("blk", blk)

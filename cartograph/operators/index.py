@@ -37,18 +37,21 @@ def inverted_index(clean: DataFrame,
                    max_users_per_row: int = DEFAULT_MAX_USERS_PER_ROW) -> DataFrame:
     """(item_id, part, users array<bigint> sorted); one row per item unless it is hot.
 
-    The degree table (one row per item) joins back on item_id; AQE turns it into a
-    broadcast when its measured size is small, otherwise it stays a shuffle join whose
-    skewed partitions AQE splits.
+    Only the hot items (degree above the cap, at most edges / cap of them) join back onto
+    the edges, as a left join: that table is tiny in practice, so AQE broadcasts it after
+    measuring it and the edges are not shuffled for it; if it is large the join stays a
+    shuffle join whose skewed partitions AQE splits. The degree aggregate reuses the
+    distinct shuffle.
     """
     if max_users_per_row < 1:
         raise ValueError("max_users_per_row must be >= 1")
     edges = deep_edges(clean)
-    parts = F.greatest(F.lit(1).cast("bigint"),
-                       F.ceil(F.col("degree") / F.lit(float(max_users_per_row))).cast("bigint"))
-    tagged = (edges.join(item_degrees(edges), "item_id")
+    hot = (item_degrees(edges).where(F.col("degree") > max_users_per_row)
+           .select("item_id", F.ceil(F.col("degree") / F.lit(float(max_users_per_row)))
+                   .cast("bigint").alias("parts")))
+    tagged = (edges.join(hot, "item_id", "left")
               .select("item_id", "user_id",
-                      F.when(parts > 1, stable_bucket(F.col("user_id"), parts))
+                      F.when(F.col("parts") > 1, stable_bucket(F.col("user_id"), F.col("parts")))
                       .otherwise(F.lit(0).cast("bigint")).alias("part")))
     return (tagged.groupBy("item_id", "part")
             .agg(F.sort_array(F.collect_list("user_id")).alias("users")))

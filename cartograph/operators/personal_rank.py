@@ -143,12 +143,24 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("nsalt").alias("m")).first()
     n_nodes, has_hot = int(stats["n"]), bool((stats["m"] or 1) > 1)
     layout = layout or ("dst" if n_nodes <= broadcast_max_nodes else "src")
-    src = nodes.select(F.col("is_item").alias("src_item"), F.col("node").alias("src"),
-                       F.col("degree").cast("double").alias("deg"),
-                       F.col("nsalt").alias("src_nsalt"))
-    dst = nodes.select(F.col("is_item").alias("dst_item"), F.col("node").alias("dst"),
-                       F.col("nsalt").alias("dst_nsalt"))
-    joined = directed_edges(item_user).join(src, ["src_item", "src"]).join(dst, ["dst_item", "dst"])
+    # Both degrees join onto the undirected pairs (E rows) before the two directions are
+    # emitted, instead of joining each direction (2E rows) separately.
+    items = nodes.where(F.col("is_item")).select(
+        F.col("node").alias("item_id"), F.col("degree").alias("i_deg"),
+        F.col("nsalt").alias("i_nsalt"))
+    users = nodes.where(~F.col("is_item")).select(
+        F.col("node").alias("user_id"), F.col("degree").alias("u_deg"),
+        F.col("nsalt").alias("u_nsalt"))
+    rich = item_user.join(items, "item_id").join(users, "user_id")
+
+    def direction(src_item: bool, src: str, dst: str, deg: str, s_n: str, d_n: str):
+        return rich.select(F.lit(src_item).alias("src_item"), F.col(src).alias("src"),
+                           F.lit(not src_item).alias("dst_item"), F.col(dst).alias("dst"),
+                           F.col(deg).cast("double").alias("deg"),
+                           F.col(s_n).alias("src_nsalt"), F.col(d_n).alias("dst_nsalt"))
+
+    joined = (direction(True, "item_id", "user_id", "i_deg", "i_nsalt", "u_nsalt")
+              .unionByName(direction(False, "user_id", "item_id", "u_deg", "u_nsalt", "i_nsalt")))
     if layout == "dst":
         edges = joined.select("src_item", "src", "deg", "dst_item", "dst",
                               _salt("dst_nsalt", "src_item", "src").alias("dsalt"), "dst_nsalt")
