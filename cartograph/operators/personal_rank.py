@@ -10,15 +10,23 @@ starting from 1.0 at the target, for exactly ``iterations`` rounds (no convergen
 Recommendation: item nodes not seen by the target in the whole clean log (any behaviour),
 highest score first, ties by item id; items the walk never reached score 0.0.
 
-Plan, per round: the rank vector (only nodes with mass - a zero spreads nothing, so the
-vector stays sparse while the walk spreads) joins the edge table on the source node, each
-edge carries ``alpha * pr / deg`` to its destination, and a partial+final aggregate sums by
-destination. The edge table is checkpointed once, hash-partitioned on its join key, so
-rounds shuffle only the rank vector. A hot node (one node may own a third of all edges) has
-its edges cut into ``ceil(deg / max_fanout)`` salted groups, and its rank row is repeated
-once per salt, so no single task walks all of its edges. The rank vector is cut from its
-lineage by a reliable checkpoint every ``checkpoint_every`` rounds, which keeps the plan
-small and lets a lost executor restart from the last checkpoint instead of round 0.
+Plan. The graph (distinct pairs, node degrees, edges) is written once to the shared
+checkpoint folder; the edge table is bucketed on the join key of the rounds. The rank vector
+holds only nodes with mass (a zero spreads nothing, so it stays sparse while the walk
+spreads) and each edge carries ``alpha * pr / deg`` from its source to its destination.
+
+* While the node count measured at build time is at most ``broadcast_max_nodes``, the
+  vector is broadcast (a proven bound: it is a subset of the nodes) and the edges are
+  bucketed by destination, so a round is scan -> broadcast probe -> sum inside each bucket:
+  no shuffle at all.
+* Beyond that bound the edges are bucketed by source; the vector is hashed onto the
+  buckets (shuffle-hash join, edges stay in place) and partial sums are shuffled by
+  destination.
+
+A hot node (one node may own a third of all edges) is cut into ``ceil(deg / max_fanout)``
+salted groups in either layout, so no single task walks all of its edges. The vector is cut
+from its lineage by a reliable checkpoint every ``checkpoint_every`` rounds, which keeps the
+plan small and lets a lost executor restart from the last checkpoint instead of round 0.
 """
 
 from __future__ import annotations
@@ -57,10 +65,10 @@ class RankGraph:
     """Walk graph materialised for the rounds.
 
     ``layout == "dst"`` (rank vector provably small enough to broadcast): edges
-    (src_item, src, deg, dst_item, dst, dsalt) bucketed on (dst_item, dst, dsalt).
+    (src_item, src, deg, dst_item, dst, dsalt, dst_nsalt) bucketed on (dst_item, dst, dsalt).
     ``layout == "src"`` (larger vectors): edges (src_item, src, salt, dst_item, dst,
     dst_nsalt, deg) bucketed on (src_item, src, salt).
-    ``nodes``: (is_item, node, degree, nsalt).
+    ``nodes``: (is_item, node, degree, nsalt). ``has_hot``: some node has nsalt > 1.
     """
     edges: DataFrame
     nodes: DataFrame
