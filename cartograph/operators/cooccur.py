@@ -34,9 +34,14 @@ PRUNE_MIN_BYTES = 1 << 30
 
 
 def buy_baskets(clean: DataFrame) -> DataFrame:
-    """Distinct (user_id, item) of purchases; item as text; negative users dropped."""
+    """Distinct (user_id, item) of purchases; item as text; negative users dropped.
+
+    The distinct runs on the integer id (smaller shuffle rows); the text form, needed only
+    for the pair order, is made afterwards.
+    """
     return (clean.where((F.col("behavior_type") == BUY) & (F.col("user_id") >= 0))
-            .select("user_id", F.col("item_id").cast("string").alias("item")).distinct())
+            .select("user_id", "item_id").distinct()
+            .select("user_id", F.col("item_id").cast("string").alias("item")))
 
 
 def basket_sizes(baskets: DataFrame) -> DataFrame:
