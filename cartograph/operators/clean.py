@@ -36,11 +36,11 @@ def clean_text(lines: DataFrame, value_col: str = "value",
               .select(split_fields(line).alias("_p"))
               .where(F.size("_p") == 5))
     typed = staged.select(
-        parse_long(field(0)).alias("user_id"),
-        parse_long(field(1)).alias("item_id"),
-        parse_long(field(2)).alias("category_id"),
+        parse_long(field(0), trimmed=True).alias("user_id"),
+        parse_long(field(1), trimmed=True).alias("item_id"),
+        parse_long(field(2), trimmed=True).alias("category_id"),
         field(3).alias("behavior_type"),
-        parse_long(field(4)).alias("ts"),
+        parse_long(field(4), trimmed=True).alias("ts"),
     )
     return clean_typed(typed, behaviors)
 

@@ -47,7 +47,8 @@ def model(line):
 
 SPECIAL = ["+7", "007", "-0", "1.5", "1e3", "", " ", "\t9", "x", "pv", "buy", "BUY", "cart ",
            " fav", "9223372036854775807", "9223372036854775808", "-9223372036854775808",
-           "-9223372036854775809", "\u0663"]
+           "-9223372036854775809", "\u0663", "1 2", "\uff11\uff12", "1_000", "0x10", "12L",
+           "7d", "1.", ".5", "+", "-", "--1", "+-1"]
 SEPS = [",", " , ", " ", "\t", "  ", ",,", ", "]
 PADS = ["", " ", "\t", "\x01", " \x0b", "\x00"]
 
