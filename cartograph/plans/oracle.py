@@ -183,7 +183,7 @@ SELECT item_a, item_b, cnt FROM pairs""")
 def top_pairs_sql(log: str, n: int = 1000) -> str:
     return with_log(log, f""", {BASKETS.strip()}
 SELECT item_a, item_b, cnt,
-       row_number() OVER (ORDER BY cnt DESC, item_a, item_b) AS rank
+       CAST(row_number() OVER (ORDER BY cnt DESC, item_a, item_b) AS INTEGER) AS rank
 FROM pairs ORDER BY cnt DESC, item_a, item_b LIMIT {n}""")
 
 
