@@ -179,7 +179,7 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
         key = _SRC_KEY
     n = buckets or edge_buckets(spark, 2 * n_pairs)
     table = f"rank_edges_{uuid.uuid4().hex}"
-    (edges.repartition(n, *key).write.bucketBy(n, *key).sortBy(*key)
+    (edges.repartition(n, *key).write.bucketBy(n, *key)
      .option("path", f"{folder}/edges").saveAsTable(table))
     return RankGraph(spark.table(table), nodes, layout, n_nodes, has_hot, folder, table)
 
