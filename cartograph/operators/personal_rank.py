@@ -279,6 +279,7 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
     The seen set joins as a left-anti join; AQE broadcasts it when its measured size is
     small and keeps a shuffle join otherwise (a hot user may have seen a huge set).
     """
+    own_graph = graph is None
     graph = graph or build_graph(deep_edges(clean), max_fanout)
     pr = personal_rank(graph, target, iterations, alpha, checkpoint_every)
     items = (node_scores(graph, pr).where(F.col("is_item"))
@@ -286,9 +287,16 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
     cand = items.join(seen_items(clean, target), "item_id", "left_anti")
     order = [F.round("score", SCORE_ORDER_DIGITS).desc(), F.col("item_id")]
     top = cand.orderBy(*order).limit(n)
-    return top.select(F.lit(target).cast("bigint").alias("user_id"),
-                      F.row_number().over(Window.orderBy(*order)).alias("rank"),
-                      "item_id", "score")
+    result = top.select(F.lit(target).cast("bigint").alias("user_id"),
+                        F.row_number().over(Window.orderBy(*order)).alias("rank"),
+                        "item_id", "score")
+    if not own_graph:
+        return result
+    # A graph built here is dropped again: the n result rows (bounded) are materialised
+    # first, so the tables in the checkpoint folder do not outlive the call.
+    rows = result.collect()
+    graph.release()
+    return clean.sparkSession.createDataFrame(rows, result.schema)
 
 
 def recommendation_line(top: DataFrame, target: int) -> DataFrame:
