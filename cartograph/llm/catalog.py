@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import decontaminate, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_secret_scans": secrets.op6_secret_scans,
+        "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     }
 
 
