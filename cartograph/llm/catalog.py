@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, secrets
+from . import decontaminate, secrets, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_secret_scans": secrets.op6_secret_scans,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
+        "op9_kd_sharding": sharding.op9_kd_sharding,
     }
 
 
