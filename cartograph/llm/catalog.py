@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, secrets, sharding
+from . import decontaminate, quality, secrets, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_quality_rules": quality.op5_quality_rules,
         "op6_secret_scans": secrets.op6_secret_scans,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_kd_sharding": sharding.op9_kd_sharding,
