@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from . import common
 
 MIN_WORDS = 50
-#: Limits of the Jensen-Shannon distance (base 2, 0 to 1) and the allowance per bin and count.
-CLASS_LIMIT, WORD_LIMIT, ALLOWANCE = 0.25, 0.45, 1.0
+#: Limits of the Jensen-Shannon distance (base 2, 0 to 1), and allowances that are divided by the
+#: root of the characters or words.
+CLASS_LIMIT, CLASS_ALLOWANCE = 0.12, 2.6
+WORD_LIMIT, WORD_ALLOWANCE = 0.12, 1.9
 
 # White space, symbols, and the other character classes.
 SPACES = " \t\n\x0b\x0c\r"
@@ -88,7 +90,9 @@ def features(docs: DataFrame) -> DataFrame:
     for lang, words in COMMON_WORDS.items():
         listed = F.when(F.col("lang") == lang, F.array(*map(F.lit, words))).otherwise(listed)
     df = df.withColumn("listed", F.coalesce(listed, F.expr("CAST(array() AS array<string>)")))
-    hits = F.transform("listed", lambda w: F.size(F.filter("seen", lambda x: x == w)).cast("long"))
+    # a second reference keeps Catalyst from moving "seen" into the function, once per listed word
+    hits = F.when(F.size("seen") == 0, F.transform("listed", lambda w: F.lit(0).cast("long"))) \
+        .otherwise(F.transform("listed", lambda w: F.size(F.filter("seen", lambda x: x == w)).cast("long")))
     lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
     df = df.withColumn("hits", hits).withColumn("lines", lines) \
         .withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -105,12 +109,10 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def references(counts: DataFrame) -> DataFrame:
-    """One row per language: sums of both histograms over its documents that pass the base rules."""
-    passed = counts.where(~F.col("base_failed"))
-
+    """One row per language: sums of both histograms over its documents."""
     def sums(c: str, n: int) -> Column:
         return F.array(*[F.coalesce(F.sum(F.get(c, F.lit(i))), F.lit(0)) for i in range(n)]).alias(f"ref_{c}")
-    return passed.groupBy("lang").agg(sums("classes", len(CLASSES)), sums("common", N_COMMON + 1))
+    return counts.groupBy("lang").agg(sums("classes", len(CLASSES)), sums("common", N_COMMON + 1))
 
 
 def js_distance(counts: str, reference: str) -> Column:
@@ -128,17 +130,25 @@ def js_distance(counts: str, reference: str) -> Column:
           0D, (a, x) -> a + x) / 2)) END""")
 
 
-def judged(counts: DataFrame) -> DataFrame:
-    """counts with both distances to the language's references and the verdict."""
-    refs = references(counts)
-    df = counts.join(refs, "lang", "left")
-    df = df.withColumn("class_distance", js_distance("classes", "ref_classes")) \
-        .withColumn("word_distance", js_distance("common", "ref_common"))
+def _near(counts: DataFrame, refs: DataFrame) -> DataFrame:
+    """counts with both distances to the references of the language, and whether both are near."""
+    df = counts.join(refs, "lang", "left").withColumn("class_distance", js_distance("classes", "ref_classes")) \
+        .withColumn("word_distance", js_distance("common", "ref_common")).drop("ref_classes", "ref_common")
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
-    class_limit = CLASS_LIMIT + ALLOWANCE * F.sqrt(len(CLASSES) / F.greatest(chars, F.lit(1)))
-    word_limit = WORD_LIMIT + ALLOWANCE * F.sqrt(F.size("common") / F.greatest(8 * F.col("n_words"), F.lit(1)))
-    good = (F.col("class_distance") <= class_limit) & (F.col("word_distance") <= word_limit)
-    return df.withColumn("kept", ~F.col("base_failed") & good)
+    class_limit = CLASS_LIMIT + CLASS_ALLOWANCE / F.sqrt(F.greatest(chars, F.lit(1)))
+    word_limit = WORD_LIMIT + WORD_ALLOWANCE / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    return df.withColumn("near", (F.col("class_distance") <= class_limit) & (F.col("word_distance") <= word_limit))
+
+
+def judged(counts: DataFrame) -> DataFrame:
+    """counts with both distances and the verdict.
+
+    The references are summed twice: over all documents that pass the base rules, and then over
+    those of them that are near the first references, so that junk does not move them.
+    """
+    passed = counts.where(~F.col("base_failed"))
+    refs = references(_near(passed, references(passed)).where("near"))
+    return _near(counts, refs).withColumn("kept", ~F.col("base_failed") & F.col("near"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
