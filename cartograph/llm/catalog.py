@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, secrets, sharding
+from . import decontaminate, packing, quality, secrets, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_best_fit_packing": packing.op1_best_fit_packing,
+        "op4_token_counts": token_counts.op4_token_counts,
         "op5_quality_rules": quality.op5_quality_rules,
         "op6_secret_scans": secrets.op6_secret_scans,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
