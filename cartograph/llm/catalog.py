@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secrets, sharding, token_counts
+from . import decontaminate, html_text, packing, quality, secrets, sharding, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": packing.op1_best_fit_packing,
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_html_extraction": html_text.op3_html_extraction,
         "op4_token_counts": token_counts.op4_token_counts,
         "op5_quality_rules": quality.op5_quality_rules,
         "op6_secret_scans": secrets.op6_secret_scans,
