@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, packing, quality, secrets, sharding, token_counts, toxicity
+from . import decontaminate, html_text, ngram_join, packing, quality, secrets, sharding, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secret_scans": secrets.op6_secret_scans,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_kd_sharding": sharding.op9_kd_sharding,
+        "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
     }
 
 
