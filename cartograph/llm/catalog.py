@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, ngram_join, packing, quality, secrets, sharding, token_counts, toxicity
+from . import decontaminate, html_text, ngram_join, packing, quality, secrets, sharding, substrings, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": token_counts.op4_token_counts,
         "op5_quality_rules": quality.op5_quality_rules,
         "op6_secret_scans": secrets.op6_secret_scans,
+        "op7_substring_dedup": substrings.op7_substring_dedup,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_kd_sharding": sharding.op9_kd_sharding,
         "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import pairwise
@@ -14,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows and bytes of one Arrow batch; a worker holds a few batches at a time.
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
@@ -22,8 +24,12 @@ CHUNK_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder of the session and bounded Arrow batches."""
+    """Checkpoint folder of the session, bounded Arrow batches, and this package's place for the
+    Python workers of a local run (on a cluster it comes with --py-files)."""
     ensure_checkpoint_dir(spark)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
