@@ -253,7 +253,7 @@ def links(docs: DataFrame, node: DataFrame) -> DataFrame:
 
 
 def join_classes(docs: DataFrame) -> DataFrame:
-    """(copy, class_id, n_links): the class and the number of linked other texts of every text."""
+    """(copy, root, class_id, n_links): the class and the number of linked other texts of every text."""
     node = nodes(docs)
     found = links(docs, node)
     number = found.groupBy("node").agg(F.sum("links").alias("n_links"))
@@ -262,13 +262,12 @@ def join_classes(docs: DataFrame) -> DataFrame:
     full = node.select("node", "copy", "rep").join(number, "node", "left").join(root, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
     least = full.groupBy("root").agg(F.min("rep").alias("class_id"))
-    return full.join(least, "root").select("copy", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return full.join(least, "root").select("copy", "root", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def classed(docs: DataFrame) -> DataFrame:
-    """The rows of docs with __class_id and __n_links."""
-    by = join_classes(docs).select(F.col("copy").alias("__copy"), F.col("class_id").alias("__class_id"),
-                                   F.col("n_links").alias("__n_links"))
+    """The rows of docs with __root, __class_id and __n_links."""
+    by = join_classes(docs).toDF("__copy", "__root", "__class_id", "__n_links")
     copy = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return docs.withColumn("__copy", copy).join(by, "__copy").drop("__copy")
 
@@ -281,10 +280,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row with the least doc_id of every class (one of them, if there are several)."""
-    first = classed(docs.select("doc_id", "text")).groupBy(F.col("__class_id").alias("__class")) \
-        .agg(F.lit(1).alias("__one"))
-    row = docs.withColumn("__row", F.monotonically_increasing_id())
-    best = row.join(first, row["doc_id"].eqNullSafe(first["__class"]), "left_semi") \
-        .groupBy("doc_id").agg(F.min("__row").alias("__row"))
-    return row.join(best.select("__row"), "__row", "left_semi").select(*docs.columns)
+    """One row of every class: the one with the least doc_id."""
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    return classed(docs).groupBy("__root").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id")).alias("row")) \
+        .select("row.*")
