@@ -18,10 +18,6 @@ BUY = "buy"
 # ---- end of fixed values ----
 
 
-def is_valid_behavior(col: Column) -> Column:
-    return col.isin(*VALID_BEHAVIORS)
-
-
 def behavior_score(col: Column, scores: dict[str, int] | None = None,
                    default: int = DEFAULT_SCORE) -> Column:
     """CASE WHEN chain; stays inside whole-stage codegen."""

@@ -9,9 +9,3 @@ from pyspark.sql import functions as F
 def stable_order_key(col: Column, seed: int) -> Column:
     """Pseudo-random but repeatable sort key: md5 of '<seed>:<value>'."""
     return F.md5(F.concat(F.lit(f"{seed}:"), col.cast("string")))
-
-
-def stable_bucket(col: Column, buckets: Column) -> Column:
-    """Bucket in [0, buckets) from the first 60 bits of md5(value)."""
-    h = F.conv(F.substring(F.md5(col.cast("string")), 1, 15), 16, 10).cast("bigint")
-    return F.pmod(h, buckets.cast("bigint"))

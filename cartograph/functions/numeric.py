@@ -25,20 +25,26 @@ def minmax_scaled(x: Column, lo: Column, hi: Column) -> Column:
     return clamp01((x - lo) / safe_range(lo, hi))
 
 
-def euclidean_distance(cols: Sequence[Column], point: Sequence[float]) -> Column:
+def euclidean_distance(cols: Sequence[Column], point: Column) -> Column:
+    """Distance to a point given as an array column."""
     total = None
-    for c, v in zip(cols, point):
-        d = c - F.lit(float(v))
+    for i, c in enumerate(cols):
+        d = c - F.get(point, F.lit(i))
         total = d * d if total is None else total + d * d
     return F.sqrt(total)
 
 
-def argmin_index(distances: Sequence[Column]) -> Column:
-    """Index of the smallest distance; ties go to the lowest index, NaN never wins.
+def argmin_struct(points: Column, cols: Sequence[Column]) -> Column:
+    """Index ``i`` of the nearest of an array of (i, c); ties go to the lowest, NaN never wins.
 
     ``array_min`` over (distance, index) structs orders by distance, then index; Spark
     orders NaN above every number, so a NaN distance loses to any real one and an
     all-NaN row yields index 0.
     """
-    structs = [F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(distances)]
-    return F.array_min(F.array(*structs)).getField("i")
+    far = F.transform(points, lambda p: F.struct(euclidean_distance(cols, p["c"]).alias("d"), p["i"].alias("i")))
+    return F.array_min(far).getField("i")
+
+
+def significant(col: Column, digits: int) -> Column:
+    """A double rounded to that many significant decimal digits."""
+    return F.format_string(f"%.{digits - 1}e", col).cast("double")

@@ -9,23 +9,19 @@ from pyspark.sql import functions as F
 JAVA_WHITESPACE = "".join(chr(c) for c in range(0x21))
 
 # Long.parseLong accepts an optional sign and decimal digits only.
-_LONG_PATTERN = r"^[+-]?[0-9]+$"
+_LONG_PATTERN = r"^[+-]?[0-9]+\z"
 
 
 def java_trim(col: Column) -> Column:
     return F.btrim(col, F.lit(JAVA_WHITESPACE))
 
 
-def parse_long(col: Column, trimmed: bool = False) -> Column:
+def parse_long(col: Column) -> Column:
     """Integer text -> bigint, NULL when the text is not a plain (signed) integer or overflows.
 
-    Spark's ``try_cast`` already rejects '1.5', '1e3', overflow and non-ASCII digits (in
-    either ANSI mode); it differs from a strict parser only by ignoring surrounding
-    whitespace. For text that went through ``java_trim`` (``trimmed=True``) it is therefore
-    exact on its own; otherwise a regex guard is added.
+    The pattern is needed beside ``try_cast``, which ignores white space and control
+    characters (U+007F among them) around the digits.
     """
-    if trimmed:
-        return col.try_cast("bigint")
     return F.when(col.rlike(_LONG_PATTERN), col.try_cast("bigint"))
 
 

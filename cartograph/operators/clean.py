@@ -31,16 +31,18 @@ def clean_text(lines: DataFrame, value_col: str = "value",
     def field(i: int):
         return java_trim(F.try_element_at(F.col("_p"), F.lit(i + 1)))
 
+    # The one-element explode is a barrier: without it every predicate on a field is pushed
+    # below the projection with a split of its own.
     staged = (lines.select(java_trim(F.col(value_col)).alias("_l"))
               .where((F.length(line) > 0) & ~header)
-              .select(split_fields(line).alias("_p"))
+              .select(F.explode(F.array(split_fields(line))).alias("_p"))
               .where(F.size("_p") == 5))
     typed = staged.select(
-        parse_long(field(0), trimmed=True).alias("user_id"),
-        parse_long(field(1), trimmed=True).alias("item_id"),
-        parse_long(field(2), trimmed=True).alias("category_id"),
+        parse_long(field(0)).alias("user_id"),
+        parse_long(field(1)).alias("item_id"),
+        parse_long(field(2)).alias("category_id"),
         field(3).alias("behavior_type"),
-        parse_long(field(4), trimmed=True).alias("ts"),
+        parse_long(field(4)).alias("ts"),
     )
     return clean_typed(typed, behaviors)
 

@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cartograph.functions.behavior import BUY
+from cartograph.session import ensure_checkpoint_dir
 
 DEFAULT_BLOCK_SIZE = 2_000
 DEFAULT_TOP_N = 1000
-PRUNE_MIN_BYTES = 1 << 30
 
 
 def buy_baskets(clean: DataFrame) -> DataFrame:
@@ -88,11 +88,11 @@ def count_lower_bound_frame(baskets: DataFrame, n: int,
     count among the pairs of the ``seed_items`` most-bought items (any subset of the pairs
     gives such a bound), or 1 when that subset has fewer than n pairs.
 
-    Lazy: it shares the basket and buyer shuffles with the plan that uses it.
+    Lazy; the baskets should be materialised, since the plan that uses it reads them too.
     """
     m = seed_items or max(64, 2 * int(math.isqrt(2 * n)) + 2)
     seeds = _buyers(baskets).orderBy(F.col("buyers").desc(), F.col("item")).limit(m)
-    sub = baskets.join(F.broadcast(seeds.select("item")), "item")      # at most m rows broadcast
+    sub = baskets.join(seeds.select("item"), "item")      # at most m rows; AQE measures them
     counts = item_pairs(sub).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
     best = counts.orderBy(F.col("cnt").desc()).limit(n)
     return best.agg(F.when(F.count(F.lit(1)) == n, F.min("cnt")).otherwise(F.lit(1))
@@ -103,46 +103,27 @@ def count_lower_bound(baskets: DataFrame, n: int, seed_items: int | None = None)
     return int(count_lower_bound_frame(baskets, n, seed_items).first()["t"])
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the relations a plan reads, from their file listings (runs no job).
-
-    The leaves are summed rather than the plan's own estimate, which multiplies through
-    joins without column statistics.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        size = leaves.apply(i).stats().sizeInBytes()
-        total += int(size if isinstance(size, int) else size.toString())
-    return total
-
-
 def top_pairs(clean: DataFrame, n: int = DEFAULT_TOP_N,
-              block_size: int = DEFAULT_BLOCK_SIZE, prune: bool | None = None) -> DataFrame:
+              block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """The n most frequent pairs, ties broken by item_a, item_b; with a 1-based rank.
 
-    Exact pruning (``prune``): a pair's count is at most the buyer count of either item, so
-    with a lower bound t on the n-th largest count (``count_lower_bound_frame``) every pair
-    of the result has two items with at least t buyers. Items below t are dropped before
-    any pair is formed - at scale that removes the long tail of rarely bought items, and
-    with it most of the pair work - and no count of a remaining pair changes. The bound is
-    a one-row frame joined as a broadcast inside the same plan (no extra job). Its few
-    extra stages only pay off on large logs, so ``prune=None`` turns it on when the
-    files read for the log add up to PRUNE_MIN_BYTES or more.
+    Exact pruning: a pair's count is at most the buyer count of either item, so with a lower
+    bound t on the n-th largest count (``count_lower_bound_frame``) every pair of the result
+    has two items with at least t buyers. Items below t are dropped before any pair is formed -
+    at scale that removes the long tail of rarely bought items, and with it most of the pair
+    work - and no count of a remaining pair changes. The distinct baskets are cut by a reliable
+    checkpoint while the plan is built (a job), so they and their shuffle are made once.
 
     orderBy + limit plans as TakeOrderedAndProject: every task keeps its own n best, only
     n rows per task reach the final merge. The rank is numbered over those n rows only.
     """
-    baskets = buy_baskets(clean)
-    if prune is None:
-        prune = input_bytes(clean) >= PRUNE_MIN_BYTES
-    if prune:
-        t = count_lower_bound_frame(baskets, n)
-        popular = (_buyers(baskets).crossJoin(F.broadcast(t))     # exactly one row
-                   .where(F.col("buyers") >= F.col("t")).select("item"))
-        baskets = baskets.join(popular, "item", "left_semi")
-    counts = item_pairs(baskets, block_size).groupBy("item_a", "item_b").agg(
-        F.count(F.lit(1)).alias("cnt"))
+    ensure_checkpoint_dir(clean.sparkSession)
+    baskets = buy_baskets(clean).checkpoint(eager=True)
+    t = count_lower_bound_frame(baskets, n)
+    popular = (_buyers(baskets).crossJoin(F.broadcast(t))     # exactly one row
+               .where(F.col("buyers") >= F.col("t")).select("item"))
+    counts = item_pairs(baskets.join(popular, "item", "left_semi"), block_size) \
+        .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
     order = [F.col("cnt").desc(), F.col("item_a"), F.col("item_b")]
     top = counts.orderBy(*order).limit(n)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))

@@ -1,11 +1,9 @@
 """Graph edges and the item -> users inverted index.
 
-The index keeps the users of an item sorted. A hot item (one item may hold a third of all
-edges) is never gathered into one row or one task: an item with more than
-``max_users_per_row`` users is spread over ``ceil(degree / max_users_per_row)`` rows by an
-md5 bucket of the user id, so each row holds about ``max_users_per_row`` users and the
-grouping shuffle is keyed by (item, part). A consumer that reads the index line by line
-(PersonalRank, the text reader) gets the same edge set either way.
+The users of an item are cut into parts by one rule for every item and size: part ``p`` holds
+the users from ``p * width`` to ``(p + 1) * width - 1``. A row so has at most ``width`` users,
+the parts of an item are in order, and the only shuffle of the grouping is on (item, part), so
+an item with a third of all edges is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -14,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartograph.functions.behavior import DEEP_BEHAVIORS
-from cartograph.functions.hashing import stable_bucket
 
-DEFAULT_MAX_USERS_PER_ROW = 100_000
+DEFAULT_PART_WIDTH = 100_000
 
 
 def deep_edges(clean: DataFrame, behaviors: tuple[str, ...] = DEEP_BEHAVIORS) -> DataFrame:
@@ -33,32 +30,17 @@ def item_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("item_id").agg(F.count(F.lit(1)).alias("degree"))
 
 
-def inverted_index(clean: DataFrame,
-                   max_users_per_row: int = DEFAULT_MAX_USERS_PER_ROW) -> DataFrame:
-    """(item_id, part, users array<bigint> sorted); one row per item unless it is hot.
-
-    Only the hot items (degree above the cap, at most edges / cap of them) join back onto
-    the edges, as a left join: that table is tiny in practice, so AQE broadcasts it after
-    measuring it and the edges are not shuffled for it; if it is large the join stays a
-    shuffle join whose skewed partitions AQE splits. The degree aggregate reuses the
-    distinct shuffle.
-    """
-    if max_users_per_row < 1:
-        raise ValueError("max_users_per_row must be >= 1")
-    edges = deep_edges(clean)
-    hot = (item_degrees(edges).where(F.col("degree") > max_users_per_row)
-           .select("item_id", F.ceil(F.col("degree") / F.lit(float(max_users_per_row)))
-                   .cast("bigint").alias("parts")))
-    tagged = (edges.join(hot, "item_id", "left")
-              .select("item_id", "user_id",
-                      F.when(F.col("parts") > 1, stable_bucket(F.col("user_id"), F.col("parts")))
-                      .otherwise(F.lit(0).cast("bigint")).alias("part")))
+def inverted_index(clean: DataFrame, width: int = DEFAULT_PART_WIDTH) -> DataFrame:
+    """(item_id, part, users array<bigint> sorted); users of a part have ids of one range."""
+    if width < 1:
+        raise ValueError("width must be >= 1")
+    tagged = deep_edges(clean).select("item_id", "user_id", F.expr(f"user_id DIV {width}").alias("part"))
     return (tagged.groupBy("item_id", "part")
             .agg(F.sort_array(F.collect_list("user_id")).alias("users")))
 
 
 def index_lines(index: DataFrame) -> DataFrame:
-    """K3 text: ``item<TAB>u1,u2,...`` (one line per index row)."""
+    """K3 text: ``item<TAB>u1,u2,...`` (one line per item and part)."""
     return index.select(F.concat(F.col("item_id").cast("string"), F.lit("\t"),
                                  F.array_join(F.col("users").cast("array<string>"), ","))
                         .alias("value"))

@@ -4,8 +4,8 @@
   repeatable pseudo-random pick made by a distributed top-k, so only k rows reach the
   driver. Equal points can both be picked. Fewer than k users is an error.
 * Round: every point goes to the nearest centre (Euclidean, strict '<', lowest index wins
-  ties); the centres are k literals inside the projection, so the assignment is a narrow
-  map with no join and no broadcast. One partial+final aggregate by cluster returns k rows
+  ties); the centres are a one-row frame with an array of k structs, joined as a one-row
+  broadcast, so the generated code is the same in every round and for every k. One partial+final aggregate by cluster returns k rows
   of sums and counts; an empty cluster keeps its centre.
 * Stop after ``max_iter`` rounds or when the sum of the k centre moves is below ``tol``;
   on convergence the centres from before that last round are kept.
@@ -17,6 +17,7 @@ the features, and a lost executor recomputes only its partitions of the checkpoi
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass, field
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.functions.hashing import stable_order_key
-from cartograph.functions.numeric import argmin_index, euclidean_distance
+from cartograph.functions.numeric import argmin_struct
 from cartograph.schemas import FEATURE_COLUMNS
 from cartograph.session import ensure_checkpoint_dir
 
@@ -56,11 +57,18 @@ def init_centers(features: DataFrame, k: int, seed: int = DEFAULT_SEED,
     return [tuple(float(r[c]) for c in cols) for r in rows]
 
 
+def centers_row(spark: SparkSession, centers: list[Center]) -> DataFrame:
+    """One row, ``centers``: array of (i, c), made in the JVM from k rows of numbers."""
+    rows = json.dumps([{"i": i, "c": list(map(float, c))} for i, c in enumerate(centers)])
+    return spark.range(1).select(F.from_json(F.lit(rows), "array<struct<i:int,c:array<double>>>").alias("_centers"))
+
+
 def assign(features: DataFrame, centers: list[Center],
            cols: tuple[str, ...] = FEATURE_COLUMNS) -> DataFrame:
     """features + cluster_id (index of the nearest centre)."""
-    dists = [euclidean_distance([F.col(c) for c in cols], ctr) for ctr in centers]
-    return features.withColumn("cluster_id", argmin_index(dists).cast("int"))
+    nearest = argmin_struct(F.col("_centers"), [F.col(c) for c in cols])
+    return features.crossJoin(F.broadcast(centers_row(features.sparkSession, centers))) \
+        .withColumn("cluster_id", nearest).drop("_centers")          # exactly one row
 
 
 def cluster_sums(features: DataFrame, centers: list[Center],
@@ -71,14 +79,6 @@ def cluster_sums(features: DataFrame, centers: list[Center],
     return {r["cluster_id"]: ([r[c] for c in cols], r["n"]) for r in agg.collect()}
 
 
-def _distance(a: Center, b: Center) -> float:
-    s = 0.0
-    for x, y in zip(a, b):
-        d = x - y
-        s += d * d
-    return math.sqrt(s)
-
-
 def update_centers(centers: list[Center], sums: dict[int, tuple[list[float], int]]
                    ) -> tuple[list[Center], float, list[int]]:
     """New centres (empty cluster keeps its centre), total move, cluster sizes."""
@@ -88,7 +88,7 @@ def update_centers(centers: list[Center], sums: dict[int, tuple[list[float], int
         ctr = tuple(v / n for v in vec) if n else tuple(old)
         new.append(ctr)
         sizes.append(n)
-        shift += _distance(old, ctr)
+        shift += math.dist(old, ctr)
     return new, shift, sizes
 
 

@@ -10,23 +10,20 @@ starting from 1.0 at the target, for exactly ``iterations`` rounds (no convergen
 Recommendation: item nodes not seen by the target in the whole clean log (any behaviour),
 highest score first, ties by item id; items the walk never reached score 0.0.
 
-Plan. The graph (distinct pairs, node degrees, edges) is written once to the shared
-checkpoint folder; the edge table is bucketed on the join key of the rounds. The rank vector
-holds only nodes with mass (a zero spreads nothing, so it stays sparse while the walk
-spreads) and each edge carries ``alpha * pr / deg`` from its source to its destination.
-
-* While the node count measured at build time is at most ``broadcast_max_nodes``, the
-  vector is broadcast (a proven bound: it is a subset of the nodes) and the edges are
-  bucketed by destination, so a round is scan -> broadcast probe -> sum inside each bucket:
-  no shuffle at all.
-* Beyond that bound the edges are bucketed by source; the vector is hashed onto the
-  buckets (shuffle-hash join, edges stay in place) and partial sums are shuffled by
-  destination.
+Plan. The graph (pairs, node degrees, edges) is written once to the shared checkpoint folder;
+the edge table is bucketed by its source. The rank vector holds only nodes with mass (a zero
+spreads nothing, so it stays sparse while the walk spreads). A round joins it to the edges,
+which never move - AQE broadcasts the vector where it measures it small and hashes it onto the
+buckets otherwise - and sums ``alpha * pr / deg`` by destination, partially before the shuffle.
+The plan is the same at every size.
 
 A hot node (one node may own a third of all edges) is cut into ``ceil(deg / max_fanout)``
-salted groups in either layout, so no single task walks all of its edges. The vector is cut
-from its lineage by a reliable checkpoint every ``checkpoint_every`` rounds, which keeps the
-plan small and lets a lost executor restart from the last checkpoint instead of round 0.
+salted groups, so no single task walks all of its edges. The vector is written to the graph's
+folder every ``checkpoint_every`` rounds, and the vector before it is deleted: the plan stays
+small, one vector is kept, and a lost executor restarts from it instead of round 0.
+
+``build_graph`` and ``personal_rank`` run jobs while they build their DataFrames; what they
+return is valid until ``RankGraph.release``. A graph can be used for many targets.
 """
 
 from __future__ import annotations
@@ -38,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cartograph.functions.numeric import significant
 from cartograph.operators.index import deep_edges
 from cartograph.session import ensure_checkpoint_dir
 
@@ -51,35 +49,25 @@ DEFAULT_MAX_FANOUT = 50_000
 DEFAULT_CHECKPOINT_EVERY = 5
 # Edge-table bucket sizing (a round reads each bucket in one task).
 EDGES_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 65_536
-# Rank vectors of at most this many nodes (about 40 bytes each) are broadcast.
-DEFAULT_BROADCAST_MAX_NODES = 2_000_000
 SCORE_ORDER_DIGITS = 12
 
 _SRC_KEY = ["src_item", "src", "salt"]
-_DST_KEY = ["dst_item", "dst", "dsalt"]
 
 
 @dataclass
 class RankGraph:
     """Walk graph materialised for the rounds.
 
-    ``layout == "dst"`` (rank vector provably small enough to broadcast): edges
-    (src_item, src, deg, dst_item, dst, dsalt, dst_nsalt) bucketed on (dst_item, dst, dsalt).
-    ``layout == "src"`` (larger vectors): edges (src_item, src, salt, dst_item, dst,
-    dst_nsalt, deg) bucketed on (src_item, src, salt).
-    ``nodes``: (is_item, node, degree, nsalt). ``has_hot``: some node has nsalt > 1.
+    ``edges``: (src_item, src, salt, dst_item, dst, dst_nsalt, deg) bucketed on (src_item, src,
+    salt). ``nodes``: (is_item, node, degree, nsalt).
     """
     edges: DataFrame
     nodes: DataFrame
-    layout: str = "src"
-    n_nodes: int | None = None
-    has_hot: bool = True
     folder: str | None = None
     table: str | None = None
 
     def release(self) -> None:
-        """Drop the materialised tables (they live in the checkpoint folder)."""
+        """Drop the materialised tables and rank vectors (they live in the checkpoint folder)."""
         if self.table:
             self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
         if self.folder:
@@ -110,30 +98,18 @@ def delete_path(spark, path: str) -> None:
 
 
 def edge_buckets(spark, n_edges: int) -> int:
-    """Bucket count from the measured edge count: about EDGES_PER_BUCKET edges per bucket,
-    at least one bucket per core, at most MAX_BUCKETS."""
-    per = -(-n_edges // EDGES_PER_BUCKET)
-    return int(min(MAX_BUCKETS, max(spark.sparkContext.defaultParallelism, per, 1)))
-
-
-def _salt(n_salts: str, *by: str):
-    return F.when(F.col(n_salts) > 1, F.pmod(F.xxhash64(*by), F.col(n_salts))).otherwise(
-        F.lit(0).cast("bigint"))
+    """Bucket count from the measured edge count: about EDGES_PER_BUCKET edges per bucket, at
+    least one bucket per core. Spark refuses a table beyond spark.sql.sources.bucketing.maxBuckets."""
+    return int(max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_BUCKET), 1))
 
 
 def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
-                buckets: int | None = None,
-                broadcast_max_nodes: int = DEFAULT_BROADCAST_MAX_NODES,
-                layout: str | None = None) -> RankGraph:
+                buckets: int | None = None) -> RankGraph:
     """Node and edge tables of the walk, written once to the shared checkpoint folder.
 
-    The node count chooses the layout: while it is at most ``broadcast_max_nodes`` the rank
-    vector (a subset of the nodes) is broadcast every round, so edges are bucketed by their
-    destination and a round sums by destination without any exchange of edge rows. Beyond
-    that bound edges are bucketed by their source and a round hash-joins the rank vector
-    against them. Either way a hot node is split into ``ceil(degree / max_fanout)`` salted
-    groups. Written tables also cut the lineage: a lost executor re-reads files instead of
-    recomputing the log.
+    Every row of ``item_user`` is an edge, so a repeated one weighs as often as it comes.
+    Written tables also cut the lineage: a lost executor re-reads files instead of recomputing
+    the log.
     """
     if max_fanout < 1:
         raise ValueError("max_fanout must be >= 1")
@@ -141,18 +117,14 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     nsalt = F.greatest(F.lit(1).cast("bigint"),
                        F.ceil(F.col("degree") / F.lit(float(max_fanout))).cast("bigint"))
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rank-graph-{uuid.uuid4().hex}"
-    # The distinct pairs are written once; nodes and edges both read them back instead of
-    # recomputing the log.
+    # The pairs are written once; nodes and edges both read them back instead of recomputing
+    # the log.
     item_user.select("item_id", "user_id").write.parquet(f"{folder}/pairs")
     item_user = spark.read.parquet(f"{folder}/pairs")
     n_pairs = item_user.count()                   # parquet footers only
     node_degrees(item_user).withColumn("nsalt", nsalt).write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
-    stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("nsalt").alias("m")).first()
-    n_nodes, has_hot = int(stats["n"]), bool((stats["m"] or 1) > 1)
-    layout = layout or ("dst" if n_nodes <= broadcast_max_nodes else "src")
-    # Both degrees join onto the undirected pairs (E rows) before the two directions are
-    # emitted, instead of joining each direction (2E rows) separately.
+    # Both degrees join onto the undirected pairs (E rows); an explode emits the two directions.
     items = nodes.where(F.col("is_item")).select(
         F.col("node").alias("item_id"), F.col("degree").alias("i_deg"),
         F.col("nsalt").alias("i_nsalt"))
@@ -162,26 +134,19 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     rich = item_user.join(items, "item_id").join(users, "user_id")
 
     def direction(src_item: bool, src: str, dst: str, deg: str, s_n: str, d_n: str):
-        return rich.select(F.lit(src_item).alias("src_item"), F.col(src).alias("src"),
-                           F.lit(not src_item).alias("dst_item"), F.col(dst).alias("dst"),
-                           F.col(deg).cast("double").alias("deg"),
-                           F.col(s_n).alias("src_nsalt"), F.col(d_n).alias("dst_nsalt"))
-
-    joined = (direction(True, "item_id", "user_id", "i_deg", "i_nsalt", "u_nsalt")
-              .unionByName(direction(False, "user_id", "item_id", "u_deg", "u_nsalt", "i_nsalt")))
-    if layout == "dst":
-        edges = joined.select("src_item", "src", "deg", "dst_item", "dst",
-                              _salt("dst_nsalt", "src_item", "src").alias("dsalt"), "dst_nsalt")
-        key = _DST_KEY
-    else:
-        edges = joined.select("src_item", "src", _salt("src_nsalt", "dst_item", "dst").alias("salt"),
-                              "dst_item", "dst", "dst_nsalt", "deg")
-        key = _SRC_KEY
+        salt = F.when(F.col(s_n) > 1, F.pmod(F.xxhash64(dst), F.col(s_n))).otherwise(F.lit(0).cast("bigint"))
+        return F.struct(F.lit(src_item).alias("src_item"), F.col(src).alias("src"), salt.alias("salt"),
+                        F.lit(not src_item).alias("dst_item"), F.col(dst).alias("dst"),
+                        F.col(d_n).alias("dst_nsalt"), F.col(deg).cast("double").alias("deg"))
+
+    edges = rich.select(F.inline(F.array(
+        direction(True, "item_id", "user_id", "i_deg", "i_nsalt", "u_nsalt"),
+        direction(False, "user_id", "item_id", "u_deg", "u_nsalt", "i_nsalt"))))
     n = buckets or edge_buckets(spark, 2 * n_pairs)
     table = f"rank_edges_{uuid.uuid4().hex}"
-    (edges.repartition(n, *key).write.bucketBy(n, *key)
+    (edges.repartition(n, *_SRC_KEY).write.bucketBy(n, *_SRC_KEY)
      .option("path", f"{folder}/edges").saveAsTable(table))
-    return RankGraph(spark.table(table), nodes, layout, n_nodes, has_hot, folder, table)
+    return RankGraph(spark.table(table), nodes, folder, table)
 
 
 def _target_nsalt(graph: RankGraph, target: int) -> int:
@@ -202,34 +167,11 @@ def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int =
               alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """One round: (is_item, node, nsalt, pr) -> the same for the next round."""
     restart = _restart(pr.sparkSession, target, target_nsalt, 1.0 - alpha)
-    live = pr.where(F.col("pr") != 0)
-    if graph.layout == "dst":
-        # Broadcast under the proven bound (the vector holds at most one row per node and
-        # salt, plus the restart row). The bucketed edge scan keeps its (dst_item, dst,
-        # dsalt) partitioning through the broadcast join, so the sum by destination runs
-        # inside each bucket with no exchange. The walk is linear, so a node may carry its
-        # mass as several partial rows (the restart row, or one per salt of a hot node):
-        # the next join adds them up. Only the partial rows of hot nodes are merged here,
-        # which keeps the broadcast side at one row per node; without hot nodes a round has
-        # no shuffle at all.
-        vec = F.broadcast(live.select(F.col("is_item").alias("src_item"),
-                                      F.col("node").alias("src"), "pr"))
-        local = (graph.edges.join(vec, ["src_item", "src"])
-                 .groupBy(*_DST_KEY, "dst_nsalt")
-                 .agg(F.sum(F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
-                 .select(F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
-                         F.col("dst_nsalt").alias("nsalt"), "pr"))
-        if not graph.has_hot:
-            return local.unionByName(restart)
-        hot = (local.where(F.col("nsalt") > 1).groupBy("is_item", "node")
-               .agg(F.first("nsalt").alias("nsalt"), F.sum("pr").alias("pr")))
-        return local.where(F.col("nsalt") == 1).unionByName(hot).unionByName(restart)
-    # Beyond the bound: the rank row of a hot node is repeated once per salt, hashed on the
-    # bucket key and joined against the edges in place; partial sums then go by destination.
-    spread = live.select(
+    # The rank row of a hot node is repeated once per salt and meets that salt's edges.
+    spread = pr.where(F.col("pr") != 0).select(
         F.col("is_item").alias("src_item"), F.col("node").alias("src"), F.col("pr"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nsalt") - 1)).alias("salt"))
-    share = spread.hint("shuffle_hash").join(graph.edges, _SRC_KEY).select(
+    share = graph.edges.join(spread, _SRC_KEY).select(
         F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
         F.col("dst_nsalt").alias("nsalt"),
         (F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
@@ -240,20 +182,20 @@ def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int =
 def personal_rank(graph: RankGraph, target: int, iterations: int = DEFAULT_ITERATIONS,
                   alpha: float = DEFAULT_ALPHA,
                   checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
-    """(is_item, node, nsalt, pr) after ``iterations`` rounds; nodes without mass are absent.
-
-    A node may appear in several rows whose masses add up (see ``rank_step``);
-    ``node_scores`` gives one score per node.
-    """
+    """(is_item, node, nsalt, pr) after ``iterations`` rounds; nodes without mass are absent."""
     spark = graph.edges.sparkSession
-    tn = _target_nsalt(graph, target) if graph.layout == "src" else 1
+    tn = _target_nsalt(graph, target)
     pr = _restart(spark, target, tn, 1.0)
-    if checkpoint_every:
-        ensure_checkpoint_dir(spark)
+    run, last = uuid.uuid4().hex, None
     for i in range(1, iterations + 1):
         pr = rank_step(pr, graph, target, tn, alpha)
         if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
-            pr = pr.checkpoint(eager=True)
+            path = f"{graph.folder}/rank-{run}-{i}"
+            pr.write.parquet(path)
+            pr = spark.read.schema(pr.schema).parquet(path)
+            if last:
+                delete_path(spark, last)
+            last = path
     return pr
 
 
@@ -276,6 +218,10 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
               checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
     """(user_id, rank, item_id, score): the n best unseen items for ``target``.
 
+    The best has the highest score to SCORE_ORDER_DIGITS significant digits, and of equal ones
+    the lowest item id. Without a ``graph``, one is built, the n rows are brought to the driver
+    and the graph is released.
+
     The seen set joins as a left-anti join; AQE broadcasts it when its measured size is
     small and keeps a shuffle join otherwise (a hot user may have seen a huge set).
     """
@@ -285,7 +231,7 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
     items = (node_scores(graph, pr).where(F.col("is_item"))
              .select(F.col("node").alias("item_id"), "score"))
     cand = items.join(seen_items(clean, target), "item_id", "left_anti")
-    order = [F.round("score", SCORE_ORDER_DIGITS).desc(), F.col("item_id")]
+    order = [significant(F.col("score"), SCORE_ORDER_DIGITS).desc(), F.col("item_id")]
     top = cand.orderBy(*order).limit(n)
     result = top.select(F.lit(target).cast("bigint").alias("user_id"),
                         F.row_number().over(Window.orderBy(*order)).alias("rank"),

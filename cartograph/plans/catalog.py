@@ -16,9 +16,12 @@ from cartograph.operators import features as feat
 from cartograph.operators import index as ix
 from cartograph.operators import kmeans as km
 from cartograph.operators import personal_rank as prk
+from cartograph.functions.numeric import significant
 from cartograph.plans import exports
 from cartograph.plans.logs import events_clean, orders_clean, text_clean
 from cartograph.sinks import writers
+from cartograph.sources import readers
+from cartograph.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +41,7 @@ def queries() -> dict[str, Query]:
     q["item_degree"] = lambda s, d: ix.item_degrees(ix.deep_edges(orders_clean(s, d)))
     q["inverted_index"] = lambda s, d: _index_rows(ix.inverted_index(orders_clean(s, d)))
     q["inverted_index_split"] = lambda s, d: _index_rows(
-        ix.inverted_index(events_clean(s, d), max_users_per_row=16))
+        ix.inverted_index(events_clean(s, d), width=3))
     q["buy_baskets"] = lambda s, d: co.buy_baskets(orders_clean(s, d))
     q["pair_counts"] = lambda s, d: co.pair_counts(orders_clean(s, d))
     q["pair_counts_split"] = lambda s, d: co.pair_counts(events_clean(s, d), block_size=3)
@@ -61,6 +64,10 @@ def queries() -> dict[str, Query]:
     q["recommend_top10_events"] = lambda s, d: _rounded(
         prk.recommend(events_clean(s, d), TARGET_EVENTS))
     q["recommend_cold_user"] = lambda s, d: _rounded(prk.recommend(orders_clean(s, d), COLD_TARGET))
+    q["recommend_chain"] = lambda s, d: _rounded(prk.recommend(_chain_log(s, d), TARGET_CHAIN, n=100))
+    q["graph_repeated_edges"] = _repeated_edges
+    q["index_text_ids"] = exports.index_text_ids
+    q["clean_log_revalidated"] = exports.clean_log_revalidated
     q["recommend_line"] = lambda s, d: prk.recommendation_line(
         prk.recommend(orders_clean(s, d), TARGET), TARGET)
     q["clean_lines"] = lambda s, d: writers.clean_lines(orders_clean(s, d))
@@ -73,6 +80,14 @@ def queries() -> dict[str, Query]:
     q["roundtrip_clean_text"] = exports.roundtrip_clean_text
     q["roundtrip_features_text"] = exports.roundtrip_features_text
     q["roundtrip_index_text"] = exports.roundtrip_index_text
+    q["roundtrip_raw_text"] = exports.roundtrip_raw_text
+    q["roundtrip_pairs_text"] = exports.roundtrip_pairs_text
+    q["roundtrip_centers_text"] = lambda s, d: exports.lines_back(
+        s, writers.write_centers_text(km.centers_frame(s, km.fit(_feats_b(s, d), K).centers),
+                                      exports.export_dir(s, "centers")))
+    q["roundtrip_labels_text"] = lambda s, d: exports.lines_back(
+        s, writers.write_labels_text(_kmeans_labels(s, d), exports.export_dir(s, "labels")))
+    q["overwrite_twice"] = exports.overwrite_twice
     q["stream_clean_events"] = exports.stream_clean_events
     q["batch_text_recommendation"] = lambda s, d: exports.batch_text_recommendation(
         s, d, TARGET_EVENTS)
@@ -84,18 +99,40 @@ K = 5
 K_EVENTS = 4
 TARGET = 899          # binding B user with a full neighbourhood at sf0.01 and sf0.1
 TARGET_EVENTS = 7
+TARGET_CHAIN = 0      # its far items have scores below 1e-12
 COLD_TARGET = -1      # no row in the log: every item scores 0.0
 # ----
 
 
 def _rounded(top: DataFrame) -> DataFrame:
-    return top.select("user_id", "rank", "item_id", F.round("score", 9).alias("score"))
+    return top.select("user_id", "rank", "item_id", significant(F.col("score"), 7).alias("score"))
 
 
 def _pr_scores(s: SparkSession, d: str, rounds: int) -> DataFrame:
     g = prk.build_graph(ix.deep_edges(orders_clean(s, d)))
     pr = prk.personal_rank(g, TARGET, iterations=rounds)
-    return prk.node_scores(g, pr).select("is_item", "node", F.round("score", 9).alias("score"))
+    scores = prk.node_scores(g, pr).select("is_item", "node", significant(F.col("score"), 7).alias("score"))
+    return exports.materialised(scores, g.release)
+
+
+def _repeated_edges(s: SparkSession, d: str) -> DataFrame:
+    """Degrees of the graph of an index whose lines hold every deep action, repeated ones too."""
+    log = events_clean(s, d).where(F.col("behavior_type") != "pv")
+    lines = log.groupBy("item_id").agg(F.sort_array(F.collect_list("user_id")).alias("users"))
+    path = writers.write_index_text(lines, exports.export_dir(s, "repeated"))
+    edges = readers.read_index_text(s, path, distinct=False)
+    return exports.materialised(prk.node_degrees(edges), lambda: prk.delete_path(s, path))
+
+
+def _chain_log(s: SparkSession, d: str) -> DataFrame:
+    """A log from nation keys: user i touches the items i and i + 1 and six items of their own, so
+    scores fall steeply along the chain."""
+    n = F.col("n_nationkey").cast("bigint")
+    own = [100 * n + 100 + j for j in range(1, 7)]
+    item = F.explode(F.array(n, n + 1, *own)).alias("item_id")
+    return read_table(s, d, "nation").select(n.alias("user_id"), item).select(
+        "user_id", "item_id", F.lit(0).cast("bigint").alias("category_id"), F.lit("fav").alias("behavior_type"),
+        F.lit(0).cast("bigint").alias("ts"))
 
 
 def _feats_b(s: SparkSession, d: str) -> DataFrame:

@@ -54,7 +54,8 @@ SELECT * FROM (
                 ELSE regexp_split_to_array(l, '\\s+') END AS p
     FROM (
       SELECT {_jtrim('value')} AS l FROM (
-        SELECT CASE e % 10
+        SELECT CASE CASE WHEN e % 20 = 0 THEN -1 ELSE e % 10 END
+          WHEN -1 THEN concat_ws(' ', u || chr(127), i, c, b, t)
           WHEN 0 THEN concat_ws(' ', u, i, c, b, t)
           WHEN 1 THEN concat_ws(' , ', u, i, c, b, t)
           WHEN 2 THEN concat_ws(',', u, i, c, upper(b), t)
@@ -82,7 +83,22 @@ WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id IS NOT NULL
   AND item_id IS NOT NULL AND category_id IS NOT NULL AND ts IS NOT NULL
 """
 
-LOGS = {"a": LOG_A, "b": LOG_B, "c": LOG_C}
+# A chain from nation keys: user i with the items i and i + 1 and six of their own.
+LOG_N = """
+SELECT CAST(n_nationkey AS BIGINT) AS user_id,
+       CAST(CASE WHEN i < 2 THEN n_nationkey + i ELSE 100 * n_nationkey + 99 + i END AS BIGINT) AS item_id,
+       'fav' AS behavior_type FROM nation CROSS JOIN range(8) v(i)
+"""
+
+# Clean-log lines of binding A with faults by user_id % 7, validated again.
+LOG_R = f"""
+SELECT CASE WHEN user_id % 7 = 3 THEN '-' ELSE '' END || user_id AS user_id,
+       CASE WHEN user_id % 7 = 4 THEN 'item' ELSE '' END || item_id AS item_id,
+       CAST(category_id AS VARCHAR) AS category_id, behavior_type, CAST(ts AS VARCHAR) AS ts
+FROM ({LOG_A}) r WHERE user_id % 7 NOT IN (2, 3, 5)
+"""
+
+LOGS = {"a": LOG_A, "b": LOG_B, "c": LOG_C, "n": LOG_N, "r": LOG_R}
 
 
 def with_log(log: str, body: str) -> str:
@@ -148,22 +164,11 @@ edges AS (SELECT DISTINCT item_id, user_id FROM log
 """
 
 
-def _bucket(x: str, n: str) -> str:
-    """Same md5 bucket as functions.hashing.stable_bucket."""
-    return f"((('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 15))::BIGINT) % ({n}))"
-
-
-def inverted_index_sql(log: str, cap: int) -> str:
-    parts = f"greatest(1, CAST(ceil(degree / {float(cap)}) AS BIGINT))"
-    return with_log(log, f""", {EDGES.strip()},
-deg AS (SELECT item_id, count(*) AS degree FROM edges GROUP BY item_id),
-tagged AS (
-  SELECT e.item_id, e.user_id,
-         CASE WHEN {parts} > 1 THEN {_bucket('e.user_id', parts)} ELSE 0 END AS part
-  FROM edges e JOIN deg d ON e.item_id = d.item_id)
-SELECT item_id, part, count(*) AS n_users,
+def inverted_index_sql(log: str, width: int) -> str:
+    return with_log(log, f""", {EDGES.strip()}
+SELECT item_id, user_id // {width} AS part, count(*) AS n_users,
        string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS users
-FROM tagged GROUP BY item_id, part""")
+FROM edges GROUP BY item_id, user_id // {width}""")
 
 
 BASKETS = """
@@ -261,7 +266,7 @@ def kmeans_labels_sql(log: str, k: int, rounds: int = 30) -> str:
     return _kmeans_ctes(log, k, rounds) + _label_sql(f"c{rounds}")
 
 
-def _rank_ctes(log: str, target: int, rounds: int, alpha: float = 0.85) -> str:
+def _rank_ctes(log: str, target: int, rounds: int, alpha: float = 0.85, n: int = 10) -> str:
     return f"""WITH RECURSIVE log AS ({LOGS[log]}), {EDGES.strip()},
 g AS (SELECT true AS src_item, item_id AS src, false AS dst_item, user_id AS dst FROM edges
       UNION ALL
@@ -285,14 +290,14 @@ seen AS (SELECT DISTINCT item_id FROM log WHERE user_id = {target}),
 cand AS (SELECT node AS item_id, score FROM final
          WHERE is_item AND node NOT IN (SELECT item_id FROM seen)),
 top AS (SELECT item_id, score,
-               row_number() OVER (ORDER BY round(score, 12) DESC, item_id) AS rank
-        FROM cand ORDER BY round(score, 12) DESC, item_id LIMIT 10)"""
+               row_number() OVER (ORDER BY {significant('score', 12)} DESC, item_id) AS rank
+        FROM cand ORDER BY {significant('score', 12)} DESC, item_id LIMIT {n})"""
 
 
-def recommend_sql(log: str, target: int) -> str:
-    return _rank_ctes(log, target, 30) + f"""
+def recommend_sql(log: str, target: int, n: int = 10) -> str:
+    return _rank_ctes(log, target, 30, n=n) + f"""
 SELECT CAST({target} AS BIGINT) AS user_id, CAST(rank AS INTEGER) AS rank, item_id,
-       round(score, 9) AS score FROM top"""
+       {significant('score', 7)} AS score FROM top"""
 
 
 def recommend_line_sql(log: str, target: int) -> str:
@@ -303,8 +308,13 @@ SELECT '{target}' || chr(9) || coalesce(
 
 
 def pr_scores_sql(log: str, target: int, rounds: int) -> str:
-    return _rank_ctes(log, target, rounds) + """
-SELECT is_item, node, round(score, 9) AS score FROM final"""
+    return _rank_ctes(log, target, rounds) + f"""
+SELECT is_item, node, {significant('score', 7)} AS score FROM final"""
+
+
+def significant(x: str, n: int) -> str:
+    """x rounded to n significant decimal digits."""
+    return f"CAST(printf('%.{n - 1}e', {x}) AS DOUBLE)"
 
 
 def java_fixed(x: str, n: int) -> str:
@@ -370,7 +380,7 @@ def oracle_sql() -> dict[str, str]:
     q["item_degree"] = with_log("b", f", {EDGES.strip()}\n"
                                 "SELECT item_id, count(*) AS degree FROM edges GROUP BY item_id")
     q["inverted_index"] = inverted_index_sql("b", 100_000)
-    q["inverted_index_split"] = inverted_index_sql("a", 16)
+    q["inverted_index_split"] = inverted_index_sql("a", 3)
     q["buy_baskets"] = with_log("b", f", {BASKETS.strip()}\nSELECT user_id, item FROM baskets")
     q["pair_counts"] = pair_counts_sql("b")
     q["pair_counts_split"] = pair_counts_sql("a")
@@ -393,6 +403,22 @@ SELECT src_item AS is_item, src AS node, count(*) AS degree FROM g GROUP BY src_
     q["recommend_top10"] = recommend_sql("b", 899)
     q["recommend_top10_events"] = recommend_sql("a", 7)
     q["recommend_cold_user"] = recommend_sql("b", -1)
+    q["recommend_chain"] = recommend_sql("n", 0, 100)
+    q["graph_repeated_edges"] = with_log("a", """
+SELECT true AS is_item, item_id AS node, count(*) AS degree FROM log
+WHERE behavior_type <> 'pv' GROUP BY item_id
+UNION ALL SELECT false, user_id, count(*) FROM log WHERE behavior_type <> 'pv' GROUP BY user_id""")
+    q["index_text_ids"] = with_log("r", """,
+edges AS (SELECT DISTINCT item_id, CAST(user_id AS BIGINT) AS user_id FROM log
+          WHERE behavior_type IN ('cart', 'fav', 'buy'))
+SELECT item_id || chr(9) || string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS value
+FROM edges GROUP BY item_id""")
+    q["clean_log_revalidated"] = with_log("r", "SELECT * FROM log")
+    q["roundtrip_raw_text"] = q["clean_text"]
+    q["roundtrip_pairs_text"] = pair_lines_sql("b")
+    q["roundtrip_centers_text"] = center_lines_sql("b", 5)
+    q["roundtrip_labels_text"] = label_lines_sql("b", 5)
+    q["overwrite_twice"] = with_log("a", "SELECT * FROM log")
     q["recommend_line"] = recommend_line_sql("b", 899)
     q["clean_lines"] = clean_lines_sql("b")
     q["feature_lines"] = feature_lines_sql("b")

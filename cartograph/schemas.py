@@ -11,12 +11,4 @@ CLEAN_LOG = T.StructType([
     T.StructField("ts", T.LongType(), False),
 ])
 
-# Min-max scaled per-user features.
-USER_FEATURES = T.StructType([
-    T.StructField("user_id", T.LongType(), False),
-    T.StructField("f1", T.DoubleType(), False),
-    T.StructField("f2", T.DoubleType(), False),
-    T.StructField("f3", T.DoubleType(), False),
-])
-
 FEATURE_COLUMNS = ("f1", "f2", "f3")

@@ -91,7 +91,8 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding C: one raw text line (column ``value``) per event, dirty by ``event_id % 10``.
 
-    0 whitespace separated, 1 spaces around the commas, 2 upper-case behaviour, 3 a sixth
+    0 whitespace separated (with U+007F after the user of every other such event), 1 spaces around
+    the commas, 2 upper-case behaviour, 3 a sixth
     field, 4 four fields, 5 ``1.5`` as user, 6 leading ``+`` on the user, 7 blank line,
     8 header line, 9 plain comma separated.
     """
@@ -104,7 +105,8 @@ def events_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = epoch_seconds("ts").cast("string")
     v = F.col("event_id") % 10
     line = (
-        F.when(v == 0, F.concat_ws(" ", u, i, c, b, t))
+        F.when(F.col("event_id") % 20 == 0, F.concat_ws(" ", F.concat(u, F.lit("\x7f")), i, c, b, t))
+        .when(v == 0, F.concat_ws(" ", u, i, c, b, t))
         .when(v == 1, F.concat_ws(" , ", u, i, c, b, t))
         .when(v == 2, F.concat_ws(",", u, i, c, F.upper(b), t))
         .when(v == 3, F.concat_ws(",", u, i, c, b, t, F.lit(TEXT_EXTRA_FIELD)))

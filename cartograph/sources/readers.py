@@ -19,11 +19,33 @@ def read_clean_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLEAN_LOG).parquet(path)
 
 
+def read_clean_log_fields(spark: SparkSession, path: str) -> DataFrame:
+    """Re-validated lines of an exported clean log with its ids as text.
+
+    A line counts when it has five or more comma-separated fields and its trimmed user id is
+    all digits; further fields, blanks around fields, headers and short lines are harmless.
+    Item and category ids need not be numeric; an empty item id is dropped.
+    """
+    fields = spark.read.text(path).select(F.explode(F.array(F.split("value", ",", -1))).alias("_p")) \
+        .where(F.size("_p") >= 5)
+    names = ("user_id", "item_id", "category_id", "behavior_type", "ts")
+    out = fields.select(*[java_trim(F.get("_p", F.lit(i))).alias(c) for i, c in enumerate(names)])
+    return out.where(F.col("user_id").rlike(r"^[0-9]+\z") & (F.col("item_id") != ""))
+
+
 def read_clean_log_text(spark: SparkSession, path: str) -> DataFrame:
-    """S2 (exported text): ``uid,iid,cid,bt,ts`` lines without a header."""
-    return (spark.read.schema("user_id bigint, item_id bigint, category_id bigint, "
-                              "behavior_type string, ts bigint")
-            .option("mode", "FAILFAST").csv(path))
+    """S2 (exported text) with numeric ids: ``uid,iid,cid,bt,ts`` lines as written by K1.
+
+    Every line must have a valid user id of any sign; fields that are not integers are NULL.
+    """
+    fields = spark.read.text(path).select(F.explode(F.array(F.split("value", ",", -1))).alias("_p")) \
+        .where(F.size("_p") >= 5)
+
+    def field(i: int):
+        return java_trim(F.get("_p", F.lit(i)))
+    return fields.select(parse_long(field(0)).alias("user_id"), parse_long(field(1)).alias("item_id"),
+                         parse_long(field(2)).alias("category_id"), field(3).alias("behavior_type"),
+                         parse_long(field(4)).alias("ts")).where(F.col("user_id").isNotNull())
 
 
 def read_features_text(spark: SparkSession, path: str) -> DataFrame:
@@ -49,11 +71,11 @@ def read_features_text(spark: SparkSession, path: str) -> DataFrame:
     return out.select(uid.alias("user_id"), *cols)
 
 
-def read_index_text(spark: SparkSession, path: str) -> DataFrame:
-    """``item<TAB>u1,u2,...`` lines -> distinct (item_id, user_id) edges.
+def read_index_text(spark: SparkSession, path: str, distinct: bool = True) -> DataFrame:
+    """``item<TAB>u1,u2,...`` lines -> (item_id, user_id) edges.
 
-    Several lines for one item (a split hot item) simply add their users. Empty user
-    tokens are skipped.
+    Several lines for one item (its parts) add their users. Empty user tokens are skipped.
+    ``distinct=False`` keeps repeated users of a line, which weigh as often in the walk.
     """
     lines = spark.read.text(path).where(F.length(java_trim(F.col("value"))) > 0)
     parts = F.split(F.col("value"), "\t", -1)
@@ -61,4 +83,5 @@ def read_index_text(spark: SparkSession, path: str) -> DataFrame:
              .select(parse_long(java_trim(F.try_element_at(parts, F.lit(1)))).alias("item_id"),
                      F.explode(F.split(F.try_element_at(parts, F.lit(2)), ",", -1)).alias("u"))
              .select("item_id", parse_long(java_trim(F.col("u"))).alias("user_id")))
-    return edges.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull()).distinct()
+    edges = edges.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
+    return edges.distinct() if distinct else edges

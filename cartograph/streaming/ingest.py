@@ -42,12 +42,10 @@ def ingest_clean_log(clean_stream: DataFrame, path: str, checkpoint_location: st
 
 
 def user_activity_stream(clean_stream: DataFrame) -> DataFrame:
-    """Running (user_id, max_ts, last_ts, cnt, score_sum); use outputMode("update")."""
+    """Running (user_id, max_ts, last_ts, cnt, score_sum); use outputMode("update").
+
+    The aggregate has no watermark: it keeps one state row per user for ever, so a long run needs
+    a state store on disk (RocksDB).
+    """
     return user_activity(clean_stream).select(
         "user_id", "max_ts", "last_ts", "cnt", "score_sum")
-
-
-def stream_table(spark: SparkSession, table_path: str, schema) -> DataFrame:
-    """A parquet table file (or folder) as a streaming source."""
-    return spark.readStream.schema(schema).parquet(table_path)
-

@@ -48,9 +48,9 @@ def model(line):
 SPECIAL = ["+7", "007", "-0", "1.5", "1e3", "", " ", "\t9", "x", "pv", "buy", "BUY", "cart ",
            " fav", "9223372036854775807", "9223372036854775808", "-9223372036854775808",
            "-9223372036854775809", "\u0663", "1 2", "\uff11\uff12", "1_000", "0x10", "12L",
-           "7d", "1.", ".5", "+", "-", "--1", "+-1"]
+           "7d", "1.", ".5", "+", "-", "--1", "+-1", "2\x7f", "\x7f3", "4\x85"]
 SEPS = [",", " , ", " ", "\t", "  ", ",,", ", "]
-PADS = ["", " ", "\t", "\x01", " \x0b", "\x00"]
+PADS = ["", " ", "\t", "\x01", " \x0b", "\x00", "\x7f"]
 
 
 def random_line(rnd):

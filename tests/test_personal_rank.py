@@ -13,9 +13,8 @@ def _scores(clean, target, **kw):
     return {(r["is_item"], r["node"]): r["score"] for r in prk.node_scores(g, pr).collect()}
 
 
-@pytest.mark.parametrize("bound", [0, 10_000])
-def test_worked_target_3(worked_clean, bound):
-    s = _scores(worked_clean, 3, broadcast_max_nodes=bound)
+def test_worked_target_3(worked_clean):
+    s = _scores(worked_clean, 3)
     assert s[(False, 3)] == pytest.approx(0.245237546, abs=1e-9)
     assert s[(True, 9)] == pytest.approx(0.331554060, abs=1e-9)
     assert s[(False, 1)] == pytest.approx(0.149404510, abs=1e-9)
@@ -67,8 +66,38 @@ def test_salted_hot_nodes_match_brute_force(spark):
                                                   "behavior_type string, ts long"))
     want = _brute_rank(sorted(edges), 3)
     for fanout in (4, 50_000):
-        for bound in (0, 10_000):         # 0 forces the source-bucketed layout
-            got = _scores(log, 3, max_fanout=fanout, broadcast_max_nodes=bound)
-            assert set(got) == set(want)
-            for k, v in want.items():
-                assert got[k] == pytest.approx(v, abs=1e-12)
+        got = _scores(log, 3, max_fanout=fanout)
+        assert set(got) == set(want)
+        for k, v in want.items():
+            assert got[k] == pytest.approx(v, abs=1e-12)
+
+
+def test_scores_below_twelve_decimals_keep_their_order(spark):
+    rows = [(u, i, 0, "fav", 1) for u in range(25)
+            for i in (u, u + 1, *range(100 * u + 101, 100 * u + 107))]
+    log = clean_typed(spark.createDataFrame(rows, "user_id long, item_id long, category_id long, "
+                                                  "behavior_type string, ts long"))
+    top = prk.recommend(log, 0, n=100).orderBy("rank").collect()
+    want = _brute_rank([(i, u) for u, i, *_ in rows], 0)
+    items = {i for _, i, *_ in rows} - {i for u, i, *_ in rows if u == 0}
+    order = sorted(items, key=lambda i: (-float(f"{want.get((True, i), 0.0):.11e}"), i))
+    assert [r["item_id"] for r in top] == order[:100]
+    assert min(r["score"] for r in top if r["score"]) < 1e-12
+
+
+def test_rank_files_are_deleted(worked_clean):
+    spark = worked_clean.sparkSession
+    before = _left(spark)
+    prk.recommend(worked_clean, 3).collect()
+    assert _left(spark) == before
+
+
+def _left(spark):
+    return set(_checkpoint_files(spark)), {t.name for t in spark.catalog.listTables()}
+
+
+def _checkpoint_files(spark):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(f.getPath()) for f in fs.listStatus(path) if "rank-graph" in str(f.getPath())]

@@ -6,6 +6,7 @@ import pytest
 
 from cartograph.operators import cooccur as co
 from cartograph.operators import personal_rank as prk
+from cartograph.operators.clean import clean_text
 from cartograph.operators.features import user_features
 from cartograph.operators.index import deep_edges
 from cartograph.plans.logs import orders_clean
@@ -21,26 +22,32 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_rank_round_without_hot_nodes_has_no_exchange(worked_clean):
+def test_rank_round_keeps_edges_in_place(worked_clean):
+    spark = worked_clean.sparkSession
     g = prk.build_graph(deep_edges(worked_clean))
-    assert g.layout == "dst" and not g.has_hot
     # round 1 starts from a literal, which Catalyst folds into a scan filter; test round 2
-    first = prk.rank_step(prk._restart(worked_clean.sparkSession, 3, 1, 1.0), g, 3)
-    plan = executed(prk.rank_step(first.checkpoint(eager=True), g, 3))
-    assert "BroadcastHashJoin" in plan
-    assert "ShuffleExchange" not in plan and "Exchange hashpartitioning" not in plan
+    first = prk.rank_step(prk._restart(spark, 3, 1, 1.0), g, 3).checkpoint(eager=True)
+    for threshold in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = executed(prk.rank_step(first, g, 3))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # at most the rank vector onto the buckets and the partial sums by destination
+        assert 1 <= plan.count("Exchange hashpartitioning") <= 2
+        assert "Bucketed: true" in plan or "BroadcastHashJoin" in plan
     g.release()
 
 
-def test_rank_round_beyond_bound_keeps_edges_in_place(worked_clean):
-    g = prk.build_graph(deep_edges(worked_clean), broadcast_max_nodes=0)
-    assert g.layout == "src"
-    first = prk.rank_step(prk._restart(worked_clean.sparkSession, 3, 1, 1.0), g, 3)
-    plan = executed(prk.rank_step(first.checkpoint(eager=True), g, 3))
-    assert "ShuffledHashJoin" in plan
-    # exactly two exchanges: the rank vector onto the buckets, partial sums by destination
-    assert plan.count("Exchange hashpartitioning") == 2
-    g.release()
+def test_one_split_per_line(spark, worked_lines):
+    plan = clean_text(worked_lines)._jdf.queryExecution().optimizedPlan().toString()
+    # one for each delimiter of the single choice
+    assert plan.count("split(") == 2
+
+
+def test_top_pairs_shuffles_baskets_twice_before_pairing(spark, worked_clean):
+    df = co.top_pairs(worked_clean)
+    assert "Scan ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
 
 
 @needs_tables

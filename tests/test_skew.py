@@ -5,6 +5,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartograph.operators import cooccur as co
 from cartograph.operators import index as ix
@@ -36,9 +37,18 @@ def test_features_hot_user(skewed):
 
 def test_index_hot_item_split(skewed):
     rows, log = skewed
-    idx = ix.inverted_index(log, max_users_per_row=40).collect()
+    spark = log.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        idx = ix.inverted_index(log, width=40).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     hot = [r for r in idx if r["item_id"] == 7]
-    assert len(hot) > 1 and max(len(r["users"]) for r in hot) < 120
+    assert len(hot) > 1 and max(len(r["users"]) for r in hot) <= 40
+    assert all(u // 40 == r["part"] for r in hot for u in r["users"])
+    assert len({r["task"] for r in hot}) > 1
     want = {u for (u, i, _, b, _) in rows if i == 7 and b in ("cart", "fav", "buy") and u >= 0}
     assert {u for r in hot for u in r["users"]} == want
 
@@ -61,7 +71,7 @@ def test_rank_hot_nodes_salted(skewed):
     rows, log = skewed
     edges = {(i, u) for (u, i, _, b, _) in rows if b in ("cart", "fav", "buy")}
     g = prk.build_graph(ix.deep_edges(log), max_fanout=30)
-    assert g.has_hot
+    assert g.nodes.where('nsalt > 1').count() > 1
     got = {(r["is_item"], r["node"]): r["score"] for r in prk.node_scores(g, prk.personal_rank(g, 0)).collect()}
     nbr = {}
     for i, u in sorted(edges):
