@@ -142,7 +142,7 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: words, hit words, items, their digest, and the hit ranges."""
+    """One row per document: words, hit words, items and their digest."""
     common.prepare(spark)
     docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan(docs, common.read(spark, sf_dir, "benchmark"))
@@ -151,7 +151,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "doc_id", F.col("__n_words").alias("n_words"), n_hit.alias("n_hit"),
         F.size("__hits.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("__hits.items", ","), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"), F.col("__hits.chars").alias("hit_ranges"))
+        (n_hit > 0).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
