@@ -36,7 +36,7 @@ NUMERATOR, DENOMINATOR = 4, 5
 BANDS, BAND = 32, 4
 HASHES, CHUNK, TOLERANCE = BANDS * BAND, 16, 1e-6
 #: Members of a block of a bucket.
-BLOCK = 256
+BLOCK = 1024
 
 _SEED = np.random.Generator(np.random.PCG64(20240310))
 _MUL = _SEED.integers(1, 1 << 63, HASHES, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
