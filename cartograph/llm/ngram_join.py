@@ -252,22 +252,27 @@ def links(docs: DataFrame, node: DataFrame) -> DataFrame:
                                       "node long, links long, root long"))
 
 
-def join_classes(docs: DataFrame) -> DataFrame:
-    """(copy, root, class_id, n_links): the class and the number of linked other texts of every text."""
+def rooted(docs: DataFrame) -> DataFrame:
+    """(copy, rep, n_links, root) of every different text; root is the least node of its class."""
     node = nodes(docs)
     found = links(docs, node)
     number = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     root = components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))) \
         .select(F.col("a").alias("node"), F.col("b").alias("root"))
-    full = node.select("node", "copy", "rep").join(number, "node", "left").join(root, "node", "left") \
-        .withColumn("root", F.coalesce("root", "node"))
+    return node.select("node", "copy", "rep").join(number, "node", "left").join(root, "node", "left").select(
+        "copy", "rep", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "node").alias("root"))
+
+
+def join_classes(docs: DataFrame) -> DataFrame:
+    """(copy, class_id, n_links): the class and the number of linked other texts of every text."""
+    full = rooted(docs)
     least = full.groupBy("root").agg(F.min("rep").alias("class_id"))
-    return full.join(least, "root").select("copy", "root", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return full.join(least, "root").select("copy", "class_id", "n_links")
 
 
 def classed(docs: DataFrame) -> DataFrame:
-    """The rows of docs with __root, __class_id and __n_links."""
-    by = join_classes(docs).toDF("__copy", "__root", "__class_id", "__n_links")
+    """The rows of docs with __class_id and __n_links."""
+    by = join_classes(docs).toDF("__copy", "__class_id", "__n_links")
     copy = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return docs.withColumn("__copy", copy).join(by, "__copy").drop("__copy")
 
@@ -280,7 +285,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of every class: the one with the least doc_id."""
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    return classed(docs).groupBy("__root").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id")).alias("row")) \
-        .select("row.*")
+    """One row of every class: the one with the least doc_id. The texts are shuffled once."""
+    none = F.lit(-(1 << 63))
+    best = rooted(docs).groupBy("root").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "copy")).alias("best")) \
+        .select(F.coalesce("best.rep", none).alias("__id"), F.col("best.copy").alias("__copy"))
+    copy = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    rows = docs.withColumn("__id", F.coalesce("doc_id", none)).withColumn("__copy", copy)
+    return rows.join(best, ["__id", "__copy"], "left_semi").dropDuplicates(["__id", "__copy"]).select(*docs.columns)
