@@ -7,7 +7,7 @@ not kept. A short document's histogram is far from any reference by chance alone
 has an allowance that falls with its length, and below ``MIN_WORDS`` the base rule decides.
 
 Defined cases: a null text has no words and fails the base rule, as does an empty one; a null or
-unknown language is a language of its own, without common words; repeated rows are all returned
+unknown language is one and the same, without common words; repeated rows are all returned
 (and counted in the references); repeated words of trigrams are found by 64-bit hashes; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -69,20 +69,20 @@ def repeat_words(hashes: str) -> Column:
 def features(docs: DataFrame) -> DataFrame:
     """Counts of every document; the text is read once and not carried on."""
     spaces = f"[{' '}\\x09-\\x0D]+"
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     df = docs.select(
         "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None), F.lit("")).alias("lang"))
+        F.when(lang.isin(*COMMON_WORDS), lang).otherwise("").alias("lang"))
     df = df.withColumn("words", F.filter(F.split("text", spaces), lambda w: w != ""))
-    df = df.withColumn("no_space", F.translate("text", SPACES, ""))
-    df = df.withColumn("no_symbol", F.translate("no_space", SYMBOLS, ""))
-    df = df.withColumn("no_digit", F.translate("no_symbol", DIGITS, ""))
-    df = df.withColumn("no_punct", F.translate("no_digit", PUNCTUATION, ""))
-    df = df.withColumn("small", F.translate("no_punct", CAPITALS, ""))
-    n = {c: F.length(c) for c in ("text", "no_space", "no_symbol", "no_digit", "no_punct", "small")}
-    wide = F.octet_length("small") - n["small"]
-    classes = F.array(*[c.cast("long") for c in (
-        F.greatest(n["small"] - wide, F.lit(0)), n["no_punct"] - n["small"], n["text"] - n["no_space"],
-        n["no_space"] - n["no_symbol"], n["no_symbol"] - n["no_digit"], n["no_digit"] - n["no_punct"], wide)])
+    # Each class is counted by its own search, which costs little where the class is rare.
+    for name, members in (("spaces", SPACES), ("symbols", SYMBOLS), ("digits", DIGITS),
+                          ("punctuation", PUNCTUATION), ("capitals", CAPITALS)):
+        pattern = "[" + "".join(f"\\x{ord(c):02X}" for c in members) + "]"
+        df = df.withColumn(name, F.regexp_count("text", F.lit(pattern)).cast("long"))
+    length = F.length("text").cast("long")
+    df = df.withColumn("wide", F.octet_length("text") - length)
+    letters = length - sum((F.col(c) for c in CLASSES[1:-1]), F.lit(0)) - F.col("wide")
+    classes = F.array(F.greatest(letters, F.lit(0).cast("long")), *[F.col(c).cast("long") for c in CLASSES[1:]])
     every = sorted({w for words in COMMON_WORDS.values() for w in words})
     df = df.withColumn("seen", F.filter(F.transform("words", lambda w: F.lower(F.translate(w, PUNCTUATION, ""))),
                                         lambda w: w.isin(every)))
@@ -93,13 +93,12 @@ def features(docs: DataFrame) -> DataFrame:
     # a second reference keeps Catalyst from moving "seen" into the function, once per listed word
     hits = F.when(F.size("seen") == 0, F.transform("listed", lambda w: F.lit(0).cast("long"))) \
         .otherwise(F.transform("listed", lambda w: F.size(F.filter("seen", lambda x: x == w)).cast("long")))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(f"[^{' '}\\x09-\\x0D]"))
     df = df.withColumn("hits", hits).withColumn("lines", lines) \
         .withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     df = df.select(
         "doc_id", "lang", F.size("words").cast("long").alias("n_words"),
-        n["no_space"].cast("long").alias("word_chars"),
-        (n["no_space"] - n["no_symbol"]).cast("long").alias("n_symbols"),
+        (length - F.col("spaces")).alias("word_chars"), F.col("symbols").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeat_words("hashes").alias("n_repeat_words"), classes.alias("classes"), "hits")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -132,7 +131,8 @@ def js_distance(counts: str, reference: str) -> Column:
 
 def _near(counts: DataFrame, refs: DataFrame) -> DataFrame:
     """counts with both distances to the references of the language, and whether both are near."""
-    df = counts.join(refs, "lang", "left").withColumn("class_distance", js_distance("classes", "ref_classes")) \
+    # one row per language with a list of words, and one for all others
+    df = counts.join(F.broadcast(refs), "lang", "left").withColumn("class_distance", js_distance("classes", "ref_classes")) \
         .withColumn("word_distance", js_distance("common", "ref_common")).drop("ref_classes", "ref_common")
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
     class_limit = CLASS_LIMIT + CLASS_ALLOWANCE / F.sqrt(F.greatest(chars, F.lit(1)))
