@@ -167,6 +167,73 @@ def test_planted_passages(spark):
     assert all(r.end_word - r.start_word >= 60 for r in exact)
 
 
+def brute_passage(x, y, least=46):
+    """Whether any two ranges of at least 46 distinct shingles have a similarity of 0.8 or more."""
+    n, m = len(x), len(y)
+    at = {v: j for j, v in enumerate(y)}
+    grid = np.zeros((n + 1, m + 1), np.int32)
+    for i, v in enumerate(x):
+        if v in at:
+            grid[i + 1, at[v] + 1] = 1
+    grid = grid.cumsum(0).cumsum(1)
+    for s in range(n - least + 1):
+        for e in range(s + least, n + 1):
+            row = grid[e] - grid[s]
+            shared = row[None, :] - row[:, None]
+            u, v = np.indices(shared.shape)
+            total = (e - s) + (v - u) - shared
+            if ((v - u >= least) & (shared * 5 >= total * 4)).any():
+                return True
+    return False
+
+
+@pytest.mark.parametrize("length, edits", [(60, [30]), (80, [40]), (100, [33, 66]), (200, [40, 80, 120, 160])])
+def test_edited_passages_of_the_reviewer(length, edits):
+    x = np.arange(length, dtype=np.uint64)
+    y = x.copy()
+    y[edits] += np.uint64(10**6)
+    a, b = ([hash(tuple(z[i:i + 5].tolist())) & (2**63 - 1) for i in range(length - 4)] for z in (x, y))
+    (found,) = substrings.passages(np.array(a, np.uint64), np.array(b, np.uint64), [[0, len(a) - 1, 0, len(b) - 1]])
+    assert found[:4] == (0, length, 0, length) and found[4] >= 0.8
+
+
+def test_edited_passages_against_brute_force():
+    rng = random.Random(5)
+    cases = [(n, [i]) for n in (50, 54, 60) for i in range(n)]
+    cases += [(n, rng.sample(range(n), k)) for n in (52, 60, 70) for k in (2, 3, 4) for _ in range(8)]
+    kinds = {True: 0, False: 0}
+    for n, edits in cases:
+        passage = [rng.randrange(10**9) for _ in range(n)]
+        around = [[rng.randrange(10**9) for _ in range(rng.randrange(8))] for _ in range(4)]
+        other = []
+        for i, w in enumerate(passage):
+            kind = rng.randrange(3) if i in edits else 3
+            other += {0: [rng.randrange(10**9)], 1: [], 2: [w, rng.randrange(10**9)], 3: [w]}[kind]
+        a, b = around[0] + passage + around[1], around[2] + other + around[3]
+        x, y = (np.array([hash(tuple(z[i:i + 5])) & (2**63 - 1) for i in range(len(z) - 4)], np.uint64) for z in (a, b))
+        if min(len(x), len(y)) < 46:
+            continue
+        found = substrings.passages(x, y, [[0, len(x) - 1, 0, len(y) - 1]])
+        want = brute_passage(x.tolist(), y.tolist())
+        kinds[want] += 1
+        assert bool(found) == want, (n, edits)
+        for s, e, u, v, j in found:
+            p, q = set(x[s:e - 4].tolist()), set(y[u:v - 4].tolist())
+            assert min(e - s, v - u) >= 50 and j == len(p & q) / len(p | q) >= 0.8
+    assert min(kinds.values()) > 5
+
+
+def test_changed_word_in_a_planted_passage(spark):
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**5)}"
+    passage = [word() for _ in range(60)]
+    texts = [(i, " ".join([word() for _ in range(40)] + passage)) for i in range(10)]
+    texts += [(100, " ".join([word() for _ in range(20)] + passage[:30] + ["changed"] + passage[31:]))]
+    rows = substrings.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()
+    check_rows(rows, texts)
+    assert {r.doc_id for r in rows} == set(range(10)) | {100}
+
+
 def test_passage_edges(spark, edges, nothing):
     rows = substrings.repeated_passages(edges).collect()
     assert {(r.doc_id, r.start_word, r.end_word) for r in rows} == {(7, 0, 30000), (8, 0, 30000)}
