@@ -2,6 +2,7 @@
 import random
 import re
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pytest
@@ -234,6 +235,18 @@ def test_changed_word_in_a_planted_passage(spark):
     assert {r.doc_id for r in rows} == set(range(10)) | {100}
 
 
+def test_recall_of_the_functions():
+    def missed(p):
+        n, least = substrings.FUNCTIONS, substrings.ENOUGH
+        return sum(comb(n, k) * p**k * (1 - p)**(n - k) for k in range(least))
+    assert missed(0.8) <= 0.2**4 and missed(30 / 56) <= (26 / 56)**4  # four functions, one of them enough
+
+
+def test_strangers_between_windows():
+    anchors = [[0, 10, 0, 60, 10, 0, 60], [1, 20, 0, 60, 300, 280, 340], [2, 30, 0, 60, 30, 0, 60]]
+    assert substrings.joined_windows(np.array(anchors)) == [(0, 60, 0, 60)]
+
+
 def test_passage_edges(spark, edges, nothing):
     rows = substrings.repeated_passages(edges).collect()
     assert {(r.doc_id, r.start_word, r.end_word) for r in rows} == {(7, 0, 30000), (8, 0, 30000)}
