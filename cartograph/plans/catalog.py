@@ -118,12 +118,19 @@ def _pr_scores(s: SparkSession, d: str, rounds: int) -> DataFrame:
 def _repeated_edges(s: SparkSession, d: str) -> DataFrame:
     """Degrees of the graph of an index whose lines hold every deep action, repeated ones too."""
     log = events_clean(s, d).where(F.col("behavior_type") != "pv")
-    lines = log.groupBy("item_id").agg(F.sort_array(F.collect_list("user_id")).alias("users"))
-    path = writers.write_index_text(lines, exports.export_dir(s, "repeated"))
+    path = writers.write_index_text(_repeated_lines(log), exports.export_dir(s, "repeated"))
     edges = readers.read_index_text(s, path, distinct=False)
     return exports.materialised(prk.node_degrees(edges), lambda: prk.delete_path(s, path))
 
 
+def _repeated_lines(log: DataFrame, width: int = ix.DEFAULT_PART_WIDTH) -> DataFrame:
+    """Users of an item in lines of at most `width`: one per run of rows of a scan task, so that a hot
+    item, or a hot pair, is spread over many groups."""
+    block = F.expr(f"monotonically_increasing_id() DIV {width}")
+    return (log.select("item_id", "user_id", block.alias("part")).groupBy("item_id", "part")
+            .agg(F.sort_array(F.collect_list("user_id")).alias("users")))
+
+
 def _chain_log(s: SparkSession, d: str) -> DataFrame:
     """A log from nation keys: user i touches the items i and i + 1 and six items of their own, so
     scores fall steeply along the chain."""

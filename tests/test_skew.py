@@ -89,3 +89,13 @@ def test_rank_hot_nodes_salted(skewed):
     for k, v in pr.items():
         assert got[k] == pytest.approx(v, abs=1e-12)
     g.release()
+
+
+def test_repeated_edges_of_a_hot_item_are_cut_into_lines(spark):
+    from cartograph.plans import catalog
+    log = spark.range(0, 3000, numPartitions=4).selectExpr("if(id % 3 = 0, 1, id) AS item_id", "if(id % 3 = 0, 7, id) AS user_id")
+    lines = catalog._repeated_lines(log, 100).collect()
+    hot = [r.users for r in lines if r.item_id == 1]
+    assert max(map(len, hot)) <= 100 and len(hot) >= 10
+    assert sum(map(len, hot)) == log.where("item_id = 1").count()
+    assert sum(len(r.users) for r in lines) == 3000
