@@ -6,7 +6,9 @@ passed over. Every line has the text-to-tag ratio of its characters to the tags
 link counting more. The ratios are smoothed with a Gaussian and lines are clustered by a
 threshold in units of the smoothed ratios' deviation; regions are the runs of lines with one
 container, and a region with content lines is kept with all its lines, so that a short paragraph
-between long ones stays.
+between long ones stays. 
+Classes and ids hide parts outside the article, but never the only article or, on a page without
+one, most of the page's text.
 
 Defined cases: null or empty html gives an empty text; a page without an article container is
 judged by the ratios alone; unclosed tags are closed by the parser's events or the page's end;
@@ -40,6 +42,9 @@ OUTSIDE = re.compile(r"""(?xi)(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w
     alert|popup|modal|overlay|nav\w*|menu\w*|breadcrumb\w*|sidebar|side|aside|widget\w*|footer|header|masthead|
     comment\w*|disqus\w*|replies|reply|respond|discussion|related|recommend\w*|share|sharing|social|newsletter|
     subscri\w*|login|signup|search|pagination|pager|skip|toc|copyright|legal)(?:$|[\s_-])""")
+#: The same for parts of an article, and for readers' comments, which may be articles of their own.
+HEADER = re.compile(r"(?i)(?:^|(?<=[\s_-]))(?:header|masthead)(?=$|[\s_-])")
+COMMENTS = re.compile(r"(?i)(?:^|[\s_-])(?:comment\w*|disqus\w*|replies|reply|respond|discussion)(?:$|[\s_-])")
 OUTSIDE_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alert alertdialog
     menu menubar toolbar""".split())
 
@@ -50,11 +55,19 @@ _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Builds the lines (text, tags, region, inside an article, heading) of a page from its events."""
+    """Builds the lines (text, tags, region, inside an article, heading, open elements) of a page from
+    its events; elements whose numbers are in `shown` are not hidden for their classes."""
 
-    def __init__(self):
+    def __init__(self, shown: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool, tuple]] = []
+        self.shown, self.number = shown, 0
+        self.path: list[tuple[int, str, int]] = []  # number, tag and depth of the open block elements
+        self.marked: list[list] = []  # open elements hidden for their classes: number, depth
+        self.found: dict[int, list] = {}  # characters, comments, holds an article, by number
+        self.closed = 0  # depth of elements hidden for other reasons
+        self.characters = 0
+        self.by_class = False
         self.open: list[tuple[str, bool, bool]] = []  # tag, passed over, content container
         self.hidden = self.content = self.region = self.regions = self.tags = 0
         self.text: list[str] = []
@@ -63,24 +76,30 @@ class Lines(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
             heading = any(tag in HEADINGS for tag, *_ in self.open)
-            self.lines.append((text, self.tags, self.region, self.content > 0, heading))
+            self.lines.append((text, self.tags, self.region, self.content > 0, heading, tuple(self.path)))
         self.text, self.tags = [], 0
 
     def _outside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in SKIPPED:
             # a header inside an article that holds its heading is part of it
             return not (tag == "header" and self.content)
-        if tag in ("html", "body", *CONTENT):
+        if tag in CONTENT:
+            self.by_class = any(n in ("class", "id") and v and COMMENTS.search(v) for n, v in attrs) \
+                and self.number not in self.shown
+            return self.by_class
+        if tag in ("html", "body"):
             return False
         for name, value in attrs:
-            if name in ("class", "id") and value and OUTSIDE.search(value):
-                return True
+            if name in ("class", "id") and value and self.number not in self.shown \
+                    and OUTSIDE.search(HEADER.sub("", value) if self.content else value):
+                self.by_class = True
             if name == "role" and value and value.lower() in OUTSIDE_ROLES:
                 return True
             if name == "hidden" or (name == "aria-hidden" and value == "true") \
                     or (name == "style" and value and re.search(r"display\s*:\s*none", value)):
+                self.by_class = False
                 return True
-        return False
+        return self.by_class
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS and not self.hidden:
@@ -91,8 +110,21 @@ class Lines(HTMLParser):
             return
         if tag == "p" and self.open and self.open[-1][0] == "p":
             self._close(len(self.open) - 1)  # a paragraph ends where the next begins
+        self.number += 1
+        self.by_class = False
         outside, content = self._outside(tag, attrs), tag in CONTENT
+        if content and not outside and not self.closed:
+            for n in self.marked:
+                self.found[n[0]][2] = True
         self.open.append((tag, outside, content))
+        if tag in BLOCKS:
+            self.path.append((self.number, tag, len(self.open)))
+        if outside and self.by_class:
+            self.marked.append([self.number, len(self.open)])
+            value = " ".join(v or "" for n, v in attrs if n in ("class", "id"))
+            self.found[self.number] = [0, bool(COMMENTS.search(value)), False]
+        elif outside:
+            self.closed = self.closed or len(self.open)
         self.hidden += outside
         self.content += content
         if content and not self.hidden:
@@ -107,10 +139,17 @@ class Lines(HTMLParser):
 
     def _close(self, to: int) -> None:
         while len(self.open) > to:
+            depth = len(self.open)
             _, outside, content = self.open.pop()
+            if self.path and self.path[-1][2] == depth:
+                self.path.pop()
+            if self.marked and self.marked[-1][1] == depth:
+                self.marked.pop()
+            if self.closed == depth:
+                self.closed = 0
             self.hidden -= outside
             self.content -= content
-            if content and not self.hidden:
+            if content and not outside and not self.hidden:
                 self.regions += 1
                 self.region = self.regions
 
@@ -128,8 +167,23 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.hidden:
             self.text.append(data)
-
-    def finish(self) -> list[tuple[str, int, int, bool, bool]]:
+        if not self.closed:
+            n = len("".join(data.split()))
+            self.characters += n
+            for x in self.marked:
+                self.found[x[0]][0] += n
+
+    def wrappers(self) -> set[int]:
+        """Hidden elements that must be shown: those around the articles of a page that shows none,
+        or, if it has none at all, those of over half of its text."""
+        holds = {n for n, (_, comments, article) in self.found.items() if article and not comments}
+        if any(x[3] for x in self.lines):
+            return set()
+        if any(article for _, _, article in self.found.values()):
+            return holds
+        return {n for n, (size, comments, _) in self.found.items() if not comments and 2 * size > self.characters}
+
+    def finish(self) -> list[tuple[str, int, int, bool, bool, tuple]]:
         self.close()
         self.end_line()
         return self.lines
@@ -146,16 +200,22 @@ def main_text(html: str) -> str:
     """Lines of the content regions of a page, joined by newlines."""
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    lines = parser.finish()
+    shown: frozenset[int] = frozenset()
+    while True:
+        parser = Lines(shown)
+        parser.feed(html)
+        lines = parser.finish()
+        more = parser.wrappers() - shown
+        if not more:
+            break
+        shown |= more
     if any(x[3] for x in lines):  # an article container bounds the regions
         lines = [x for x in lines if x[3]]
     if not lines:
         return ""
     ratio = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines]))
     dense = ratio >= ratio.mean() - SPREAD * ratio.std()
-    if not lines[0][3]:  # without one, the region is the run of dense lines with its gaps and headings
+    if not lines[0][3]:  # without one, the region is the run of dense lines with its gaps and headings,
         first, last = np.flatnonzero(dense)[[0, -1]]
         while first and lines[first - 1][4]:
             first -= 1

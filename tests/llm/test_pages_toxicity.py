@@ -43,6 +43,19 @@ def test_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    *((f"<div class='{c}'><article><p>{PROSE}</p></article></div>", PROSE)
+      for c in ("site no-sidebar", "layout with-sidebar", "has-share", "skip-nav-target")),
+    (f"<div class='with-sidebar'><div id=x><p>{PROSE}</p></div></div><div class=ad>Buy</div>", PROSE),
+    (f"<article><div class='article-header'><h1>Title</h1></div><p>{PROSE}</p></article>", f"Title\n{PROSE}"),
+    (f"<article><p>{PROSE}</p></article><article class=comment><p>{PROSE} No.</p></article>", PROSE),
+    (f"<article><p>{PROSE}</p><article class=comment><p>No.</p></article><p>Yes.</p></article>", f"{PROSE}\nYes."),
+    (f"<article><p>{PROSE}</p></article><div class=related><article><p>{PROSE} No.</p></article></div>", PROSE),
+])
+def test_marked_wrappers(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_op2_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
