@@ -6,7 +6,9 @@ passed over. Every line has the text-to-tag ratio of its characters to the tags
 link counting more. The ratios are smoothed with a Gaussian and lines are clustered by a
 threshold in units of the smoothed ratios' deviation; regions are the runs of lines with one
 container, and a region with content lines is kept with all its lines, so that a short paragraph
-between long ones stays. 
+between long ones stays. Without <article> or <main>, the region is the element that holds most of
+the content lines.
+
 Classes and ids hide parts outside the article, but never the only article or, on a page without
 one, most of the page's text.
 
@@ -19,6 +21,7 @@ rows are done one by one; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -37,6 +40,7 @@ SKIPPED = frozenset("""head nav header footer aside menu form script style noscr
     button select textarea input dialog canvas math video audio""".split())
 CONTENT = frozenset(["article", "main"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+LINES = HEADINGS | {"p", "pre"}
 # Words of class, id and role that mark parts outside the article.
 OUTSIDE = re.compile(r"""(?xi)(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|
     alert|popup|modal|overlay|nav\w*|menu\w*|breadcrumb\w*|sidebar|side|aside|widget\w*|footer|header|masthead|
@@ -196,6 +200,21 @@ def smoothed(x: np.ndarray) -> np.ndarray:
     return np.convolve(x, kernel)[RADIUS:RADIUS + len(x)] / pad
 
 
+def holder(paths: list[tuple]) -> tuple:
+    """The innermost element, by its path, that holds over half of the lines; lines are no holders."""
+    count = Counter(x for p in paths for x in p if x[1] not in LINES)
+    inner = max((x for x, n in count.items() if 2 * n > len(paths)), key=lambda x: x[2], default=None)
+    return next((p[:p.index(inner) + 1] for p in paths if inner in p), ())
+
+
+def within(path: tuple, region: tuple) -> bool:
+    """Whether a line is in the region; of a page's body, only its own paragraphs are."""
+    if region and (len(path) < len(region) or path[len(region) - 1] != region[-1]):
+        return False
+    whole = not region or region[-1][1] in ("html", "body")
+    return not whole or len(path) == len(region) + 1 and path[-1][1] in LINES
+
+
 def main_text(html: str) -> str:
     """Lines of the content regions of a page, joined by newlines."""
     if not html:
@@ -219,7 +238,8 @@ def main_text(html: str) -> str:
         first, last = np.flatnonzero(dense)[[0, -1]]
         while first and lines[first - 1][4]:
             first -= 1
-        return "\n".join(x[0] for x in lines[first:last + 1])
+        region = holder([x[5] for x, d in zip(lines, dense, strict=True) if d])
+        return "\n".join(x[0] for i, x in enumerate(lines) if first <= i <= last or within(x[5], region))
     kept = {x[2] for x, d in zip(lines, dense, strict=True) if d}
     return "\n".join(x[0] for x in lines if x[2] in kept)
 

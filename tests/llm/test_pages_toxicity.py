@@ -43,6 +43,18 @@ def test_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+LONG = "\n".join([PROSE * 3] * 8)
+PARAGRAPHS = f"<p>{PROSE * 3}</p>" * 8
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div id=top>Login</div><div id=content><p>So.</p>{PARAGRAPHS}<p>End.</p></div><div id=x>Legal</div>", f"So.\n{LONG}\nEnd."),
+    (f"<body><p>So.</p>{PARAGRAPHS}<p>End.</p></body>", f"So.\n{LONG}\nEnd."),
+])
+def test_short_ends_without_article(page, want):
+    assert html_text.main_text(page) == want
+
+
 @pytest.mark.parametrize("page, want", [
     *((f"<div class='{c}'><article><p>{PROSE}</p></article></div>", PROSE)
       for c in ("site no-sidebar", "layout with-sidebar", "has-share", "skip-nav-target")),
