@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, html_text, ngram_join, oracle, packing, quality, secrets, sharding, substrings, token_counts,
-    toxicity,
+    centroids, decontaminate, divergence, html_text, ngram_join, oracle, packing, quality, secrets, sharding,
+    substrings, token_counts, token_files, toxicity,
 )
 
 
@@ -24,6 +24,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_kd_sharding": sharding.op9_kd_sharding,
         "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
+        "op11_walsh_centroids": centroids.op11_walsh_centroids,
+        "op12_bit_packed_ids": token_files.op12_bit_packed_ids,
+        "op13_source_divergence": divergence.op13_source_divergence,
     }
 
 

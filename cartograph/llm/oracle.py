@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import centroids, divergence, quality
 
 CAPITALS = quality.CAPITALS
 _WINDOW_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -96,8 +96,66 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        round(word_distance, 6) AS word_distance FROM n2"""
 
 
+def walsh_centroids() -> str:
+    """The assignments and means of every round as one step each, by plain distances."""
+    d = centroids.DIMENSIONS
+    far = "list_sum(list_transform(range(1, {0}), lambda i: (v.x[i] - c.c[i]) * (v.x[i] - c.c[i])))".format(d + 1)
+    mean = ", ".join(f"(sum(x[{i}]) - ((sum(x[{i}]) % count(*)) + count(*)) % count(*)) // count(*)" for i in range(1, d + 1))
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding,
+             lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS x
+           FROM embeddings WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {d}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS j, x AS c
+       FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT {centroids.CENTROIDS}) f)"""]
+    for n in range(centroids.ROUNDS + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, j := j)) AS best
+       FROM (SELECT v.r, c.j, {far} AS d FROM v, c{n} c) e GROUP BY r)""")
+        if n < centroids.ROUNDS:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (SELECT j, coalesce(m.c, c{n}.c) AS c FROM c{n} LEFT JOIN
+       (SELECT best.j AS j, [{mean}] AS c FROM a{n} JOIN v USING (r) GROUP BY best.j) m USING (j))""")
+    n = centroids.ROUNDS
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(best.j AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{n} JOIN v USING (r) JOIN c{n} ON c{n}.j = best.j"""
+
+
+def source_divergence() -> str:
+    share = "1 + ({} + 2)::HUGEINT * " + str(divergence.UNIT) + " // ({} + 2 * terms)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '{CAPITALS}', '{CAPITALS.lower()}'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(terms, 0) AS terms,
+             sum(coalesce(total, 0)) OVER (PARTITION BY lang) AS lang_total
+      FROM (SELECT DISTINCT lang, source FROM d) o
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY ALL) y USING (lang, source)
+      LEFT JOIN (SELECT lang, count(*) AS terms FROM k GROUP BY ALL) z USING (lang)),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, {share.format('coalesce(n, 0)', 'total')} AS p,
+             {share.format('sum(coalesce(n, 0)) OVER (PARTITION BY lang, term)', 'lang_total')} AS q
+      FROM g JOIN k USING (lang) LEFT JOIN n USING (lang, source, term)),
+pairs AS (SELECT lang, x.source, y.source AS item, coalesce(value, 0) AS value
+          FROM g x JOIN g y USING (lang) LEFT JOIN
+               (SELECT lang, x.source AS s1, y.source AS s2, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+                FROM p x JOIN p y USING (lang, term) GROUP BY ALL) f
+               ON f.lang = x.lang AND s1 = x.source AND s2 = y.source
+          WHERE x.source <> y.source),
+tops AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM tops) u
+WHERE rank <= {divergence.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_quality_rules": quality_rules(),
         "op8_benchmark_decontamination": decontamination(),
+        "op11_walsh_centroids": walsh_centroids(),
+        "op13_source_divergence": source_divergence(),
     }
