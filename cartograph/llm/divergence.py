@@ -1,11 +1,12 @@
 """Source divergence audit: how far the term shares of a source are from those of other sources.
 
 Late string materialisation. Texts are read once; a task counts its terms by a 64-bit digest and
-writes rows (lang, source, digest, n, docs), partly summed, and beside them each distinct term once
-with its digest. Only the fixed-width rows are shuffled, once, by (lang, digest); the terms that too
-few documents hold go there. The strings of the remaining digests alone are then reduced to their
-least and greatest: where these differ, several terms share the digest, and those digests are counted
-again by string. Kept outputs get their strings by a join at the end.
+writes a row for each (lang, digest), partly summed, with the term beside it in a column of its own.
+The shuffle by (lang, digest) takes the digest and the counts only; the terms that too few documents
+hold end there. The strings of the remaining digests alone are then read (a sieve of one bit per
+value of the digests' last bits keeps out the others) and reduced to their least and greatest: where
+these differ, several terms share the digest, and those digests are counted again by string. Kept
+outputs get their strings by a join at the end.
 
 All arithmetic is on whole numbers. For each source, p depends on a term's count alone, so a term
 that a source lacks has the source's base value. Part `pair` adds f over all kept terms: rows go by
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.personal_rank import delete_path
 from . import common
 
 LEAST_DOCS, TOP, UNIT = 10, 10, 1_000_000_000
@@ -40,6 +42,8 @@ CHUNK, HELD = 2 << 20, 400_000
 SOURCES, SALTS = 256, 32
 #: Digests with several terms up to this number are broadcast for the second count; more are joined by shuffle.
 FEW = 100_000
+#: 64-bit words of the sieve of kept digests (1 MB at any size of the corpus).
+SIEVE = 1 << 17
 
 #: Bytes of a term; every byte of a character beyond ASCII is one, so bytes decide as characters do.
 TERM_BYTES = np.zeros(256, bool)
@@ -49,9 +53,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _CAPITALS = {i: i + 32 for i in range(65, 91)}
 
-COUNTS = "lang string, source string, digest long, n long, docs long, term string"
-_FIELDS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("digest", pa.int64()), ("n", pa.int64()),
-                     ("docs", pa.int64()), ("term", pa.string())])
+#: One row per term of a lang in a part of the texts: documents, and occurrences by source.
+COUNTS = "lang string, digest long, docs long, sources array<string>, ns array<long>, term string"
+_FIELDS = pa.schema([("lang", pa.string()), ("digest", pa.int64()), ("docs", pa.int64()),
+                     ("sources", pa.list_(pa.string())), ("ns", pa.list_(pa.int64())), ("term", pa.string())])
 
 
 # --- counting terms in a task -----------------------------------------------------------------
@@ -168,31 +173,43 @@ class Terms:
         return self.groups.setdefault((lang, source), len(self.groups))
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """What is held: counts, strings, and a row without digest for each new group."""
+        """What is held: a row for each (lang, digest), more terms of a digest, and each new group."""
         names = list(self.groups)
         new = [g for g in range(len(names)) if g not in self.seen]
         self.seen.update(new)
         if new:
-            yield self._batch([names[g][0] for g in new], [names[g][1] for g in new], None, None, None, None, len(new))
+            yield batch(len(new), lang=[names[g][0] for g in new], sources=[[names[g][1]] for g in new])
         if self.parts:
             g, d, n, docs = self._summed()
-            lang, source = (pa.array([x[i] for x in names]).take(pa.array(g)) for i in (0, 1))
-            for at in range(0, len(g), 50_000):
-                cut = slice(at, at + 50_000)
-                yield self._batch(lang[cut], source[cut], d[cut].view(np.int64), n[cut], docs[cut], None, len(g[cut]))
-        strings = [*self.strings.items(), *self.more]
-        for at in range(0, len(strings), 50_000):
-            digest, term = zip(*strings[at:at + 50_000], strict=True)
-            yield self._batch(None, None, np.array(digest, np.uint64).view(np.int64), None, None,
-                              [t.decode("utf-8", "replace") for t in term], len(term))
+            langs = sorted({lang for lang, _ in names})
+            lang = np.array([langs.index(x) for x, _ in names])[g]
+            order = np.lexsort((g, d, lang))
+            g, d, n, docs, lang = (x[order] for x in (g, d, n, docs, lang))
+            at = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (lang[1:] != lang[:-1])]) if len(d) else [])
+            edge = pa.array(np.append(at, len(d)), pa.int32())
+            digest, place = np.unique(d[at], return_inverse=True)
+            told = pa.array([self.strings[x] for x in digest.tolist()], pa.binary()).cast(pa.string())
+            yield from cut_batch(batch(
+                len(at), lang=pa.array(langs, pa.string()).take(pa.array(lang[at])), digest=d[at].view(np.int64),
+                docs=np.add.reduceat(docs, at) if len(at) else docs,
+                sources=pa.ListArray.from_arrays(edge, pa.array([x for _, x in names], pa.string()).take(pa.array(g))),
+                ns=pa.ListArray.from_arrays(edge, pa.array(n)), term=told.take(pa.array(place))))
+        if self.more:
+            digest, term = zip(*self.more, strict=True)
+            yield batch(len(term), digest=np.array(digest, np.uint64).view(np.int64), term=[t.decode() for t in term])
         self.clear()
 
-    @staticmethod
-    def _batch(*columns) -> pa.RecordBatch:
-        *columns, rows = columns
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(rows, f.type) if c is None else pa.array(c, f.type) if not isinstance(c, pa.Array) else c
-             for c, f in zip(columns, _FIELDS, strict=True)], schema=_FIELDS)
+
+def batch(rows: int, **columns) -> pa.RecordBatch:
+    """Rows of COUNTS; columns that are not given are null."""
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(rows, f.type) if (c := columns.get(f.name)) is None else c if isinstance(c, pa.Array) else pa.array(c, f.type)
+         for f in _FIELDS], schema=_FIELDS)
+
+
+def cut_batch(b: pa.RecordBatch, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    for at in range(0, b.num_rows, rows):
+        yield b.slice(at, rows)
 
 
 def plain(docs: DataFrame) -> DataFrame:
@@ -200,7 +217,7 @@ def plain(docs: DataFrame) -> DataFrame:
 
 
 def counted(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """Rows of COUNTS: partly summed counts (no term), strings (no lang), and groups (no digest)."""
+    """Rows of COUNTS: partly summed counts with their term, more terms of a digest (no lang), and groups (no digest)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Terms(bits)
         for b in batches:
@@ -220,16 +237,19 @@ def counted_strings(docs: DataFrame, bits: int = 64) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64((1 << bits) - 1)
         for b in batches:
-            n, docs = Counter(), Counter()
+            found: dict[tuple[str, str], Counter] = {}
+            docs = Counter()
             for lang, source, text in zip(*[b.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
-                own = Counter(_TERM.findall(text.translate(_CAPITALS)))
-                n.update({(lang, source, t): k for t, k in own.items()})
-                docs.update((lang, source, t) for t in own)
-            if n:
-                lang, source, term = zip(*n, strict=True)
+                for t, n in Counter(_TERM.findall(text.translate(_CAPITALS))).items():
+                    found.setdefault((lang, t), Counter())[source] += n
+                    docs[lang, t] += 1
+            if found:
+                lang, term = zip(*found, strict=True)
                 data, off = common.utf8(pa.array(term, pa.string()))
                 h = common.word_hashes(data, off, TERM_BYTES)[0] & mask
-                yield Terms._batch(lang, source, h.view(np.int64), list(n.values()), [docs[k] for k in n], term, len(n))
+                yield from cut_batch(batch(
+                    len(term), lang=lang, digest=h.view(np.int64), docs=[docs[k] for k in found],
+                    sources=[list(c) for c in found.values()], ns=[list(c.values()) for c in found.values()], term=term))
     return plain(docs).mapInArrow(run, COUNTS)
 
 
@@ -245,11 +265,26 @@ def kept_terms(counts: DataFrame) -> DataFrame:
     """
     term = Window.partitionBy(*_TERM_KEY)
     one = F.row_number().over(term.orderBy("source")) == 1
-    return counts.repartition("lang", "digest", "tie").groupBy(*_TERM_KEY, "source") \
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")) \
-        .select("*", F.sum("n").over(term).alias("lang_n"), F.sum("docs").over(term).alias("lang_docs"),
-                one.cast("long").alias("one")) \
-        .where(F.col("lang_docs") >= LEAST_DOCS).select(*_TERM_KEY, "source", "n", "lang_n", "one")
+    held = counts.repartition("lang", "digest").withColumn("docs", F.sum("docs").over(term)).where(F.col("docs") >= LEAST_DOCS)
+    each = held.select(*_TERM_KEY, F.inline(F.arrays_zip("sources", "ns")).alias("source", "n"))
+    return each.groupBy(*_TERM_KEY, "source").agg(F.sum("n").alias("n")) \
+        .select("*", F.sum("n").over(term).alias("lang_n"), one.cast("long").alias("one"))
+
+
+def sieve(digests: DataFrame) -> DataFrame:
+    """One row ``sieve``: a bit for each of the 64 * SIEVE values of the digests' last bits that occurs."""
+    spark = digests.sparkSession
+    bits = np.zeros(SIEVE, np.int64)
+    word = F.pmod(F.shiftright("digest", 6), F.lit(SIEVE)).cast("int")
+    set_ = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("digest").bitwiseAND(63).cast("int"))
+    for r in digests.select(word.alias("word"), set_.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        bits[r.word] = r.bits  # at most SIEVE rows
+    return spark.createDataFrame([(bits.tolist(),)], "sieve array<long>")
+
+
+def in_sieve(digest: str) -> Column:
+    word = F.get("sieve", F.pmod(F.shiftright(digest, 6), F.lit(SIEVE)).cast("int"))
+    return F.getbit(word, F.col(digest).bitwiseAND(63).cast("int")) == 1
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -275,16 +310,19 @@ def groups(all_groups: DataFrame, kept: DataFrame, width: int) -> DataFrame:
 def separated(docs: DataFrame, counts: DataFrame, strings: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
     """Kept terms, each with a key of its own, and the strings (digest, least) of their digests."""
     kept = common.cut(kept_terms(counts))
-    names = strings.join(kept.select("digest").distinct(), "digest", "left_semi") \
+    digests = kept.where("one = 1").select("digest").distinct()
+    # most strings belong to rare terms; the sieve keeps them out of the join's shuffle
+    likely = strings.crossJoin(F.broadcast(sieve(digests))).where(in_sieve("digest")).drop("sieve")
+    names = likely.join(digests, "digest", "left_semi") \
         .groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("greatest"))
     names = common.cut(names)
     several = names.where(F.col("least") != F.col("greatest")).select("digest")
     n = several.count()
     if n:
         several = F.broadcast(several) if n <= FEW else several
-        again = counted_strings(docs, bits).join(several, "digest", "left_semi").withColumn("tie", F.col("term"))
+        again = counted_strings(docs, bits).join(several, "digest", "left_semi").withColumnRenamed("term", "tie")
         rest = counts.join(several, "digest", "left_anti")
-        kept = common.cut(kept_terms(rest.unionByName(again.drop("term"))))
+        kept = common.cut(kept_terms(rest.unionByName(again)))
     return kept, names.select("digest", "least")
 
 
@@ -391,11 +429,11 @@ def audit(docs: DataFrame, bits: int = 64, width: int = SOURCES) -> DataFrame:
     folder = common.scratch(spark, "term-counts")
     counted(docs, bits).write.option("compression", "zstd").parquet(folder)
     table = spark.read.schema(COUNTS).parquet(folder)
-    strings = table.where(F.col("lang").isNull()).select("digest", "term")
+    strings = table.where(F.col("term").isNotNull()).select("digest", "term")
     counts = table.where(F.col("lang").isNotNull() & F.col("digest").isNotNull()) \
-        .select("lang", "source", "digest", "n", "docs", F.lit(None).cast("string").alias("tie"))
+        .select("lang", "digest", "docs", "sources", "ns", F.lit(None).cast("string").alias("tie"))
     kept, names = separated(docs, counts, strings, bits)
-    every = table.where(F.col("lang").isNotNull() & F.col("digest").isNull()).select("lang", "source").distinct()
+    every = table.where(F.col("lang").isNotNull() & F.col("digest").isNull()).select("lang", F.col("sources")[0].alias("source")).distinct()
     group = common.cut(groups(every, kept, width))
     # a group's totals meet its rows by salt, so that a hot source is not one key of the join
     salt = F.pmod("digest", F.lit(SALTS)).cast("int")
@@ -404,6 +442,7 @@ def audit(docs: DataFrame, bits: int = 64, width: int = SOURCES) -> DataFrame:
         .withColumn("p", share(F.col("n"), F.col("total"), F.col("terms"))) \
         .withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("terms")))
     full = common.cut(full.select("lang", "source", "salt", "digest", "tie", "place", "blocks", "p", "q"))
+    delete_path(spark, folder)  # what follows reads the checkpoints
 
     f = F.expr("(p - q) * (p - q) DIV (p + q)")
     by_value = F.col("value").desc()

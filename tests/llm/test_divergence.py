@@ -98,18 +98,18 @@ def test_long_texts_and_full_tasks(spark, monkeypatch):
     out += [r for b in held.rows() for r in b.to_pylist()]
     n, docs, term = Counter(), Counter(), {}
     for r in out:
-        if r["term"] is not None:
+        if r["digest"] is not None:
             assert term.setdefault(r["digest"], r["term"]) == r["term"]
-        elif r["digest"] is not None:
-            n[r["lang"], r["source"], r["digest"]] += r["n"]
-            docs[r["lang"], r["source"], r["digest"]] += r["docs"]
+            docs[r["lang"], r["digest"]] += r["docs"]
+            for source, k in zip(r["sources"], r["ns"]):
+                n[r["lang"], source, r["digest"]] += k
     want_n, want_docs = Counter(), Counter()
     for text, lang, source in rows:
         own = Counter(TERM.findall((text or "").translate(LOWER)))
         want_n.update({(lang or "", source or "", t): k for t, k in own.items()})
-        want_docs.update((lang or "", source or "", t) for t in own)
+        want_docs.update((lang or "", t) for t in own)
     assert {(x, y, term[d]): k for (x, y, d), k in n.items()} == want_n
-    assert {(x, y, term[d]): k for (x, y, d), k in docs.items()} == want_docs
+    assert {(x, term[d]): k for (x, d), k in docs.items()} == want_docs
 
 
 def test_many_ties_and_nothing(spark):
