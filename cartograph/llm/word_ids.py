@@ -12,11 +12,12 @@ import functools
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
 #: Runs and words whose ids a worker keeps, and their characters.
-CACHE_WORDS, CACHE_CHARS = 800_000, 16 << 20
+CACHE_WORDS, CACHE_CHARS = 1_600_000, 24 << 20
 #: Texts looked at together, and words in one call of the library.
 TEXTS, WORDS = 200, 500
 
@@ -39,6 +40,52 @@ def _latin(text: str) -> bool:
     return True
 
 
+class Numbers(dict):
+    """Numbers strings from 0 as they come, and lists the new ones."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+    def taken(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+class Table:
+    """Ids of numbered strings, in one array."""
+
+    def __init__(self):
+        self.size, self.stop = 0, np.zeros(1 << 12, np.int64)  # the end of each string's ids
+        self.flat = np.zeros(1 << 14, np.uint32)
+
+    def append(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """The next numbers' ids."""
+        first = int(self.stop[self.size])
+        for name, need in (("stop", self.size + len(counts) + 1), ("flat", first + len(ids))):
+            old = getattr(self, name)
+            if need > len(old):
+                grown = np.zeros(max(need, 2 * len(old)), old.dtype)
+                grown[:len(old)] = old
+                setattr(self, name, grown)
+        self.flat[first:first + len(ids)] = ids
+        self.stop[self.size + 1:self.size + len(counts) + 1] = first + np.cumsum(counts)
+        self.size += len(counts)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these numbers in a row, and where each one's end."""
+        start = self.stop[numbers]
+        count = self.stop[numbers + 1] - start
+        ends = np.cumsum(count)
+        if not len(ends):
+            return np.zeros(0, np.uint32), ends
+        return self.flat[np.arange(ends[-1]) + np.repeat(start - ends + count, count)], ends
+
+
 class WordIds:
     """Token ids of texts as little-endian 32-bit bytes."""
 
@@ -46,8 +93,6 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {}
-        self.chars = 0
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         suffix = told["model"].get("end_of_word_suffix")
@@ -55,53 +100,55 @@ class WordIds:
         self.ends = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab().items() if suffix else ():
             self.ends[i] = token.endswith(suffix)
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of words, each of which is one word of the vocabulary's split."""
-        for i in range(0, len(new), WORDS):
-            part = new[i:i + WORDS]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            stop = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if len(stop) != len(part):
-                self.known.update((w, self._encode(w)) for w in part)
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, e in zip(part, stop.tolist(), strict=True):
-                self.known[w] = raw[at:e]
-                at = e
-        self.chars += sum(map(len, new))
-
-    def _meet(self, runs: set[str]) -> None:
-        """Ids of runs of non-space characters that are not known yet."""
-        known, split = self.known, {}
-        for r in runs:
-            if _latin(r):
-                split[r] = _WORDS.findall(r.lower())
+        self.clear()
+
+    def clear(self) -> None:
+        self.runs, self.words, self.chars = Numbers(), Numbers(), 0
+        self.run_ids, self.word_ids = Table(), Table()
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, each of which is one word of the vocabulary's split or a run left as it is."""
+        for i in range(0, len(words), WORDS):
+            part = words[i:i + WORDS]
+            stop = np.zeros(0, np.int64)
+            if all(map(_latin, part)):
+                ids = self._encode(" ".join(part))
+                stop = np.flatnonzero(self.ends[ids]) + 1
+            if len(stop) == len(part):
+                self.word_ids.append(ids, np.diff(stop, prepend=0))
             else:
-                known[r] = self._encode(r)
-        self._learn(list(set().union(*split.values()) - known.keys()))
-        for r, words in split.items():
-            if r not in known:
-                known[r] = b"".join([known[w] for w in words])
+                each = [self._encode(w) for w in part]
+                self.word_ids.append(np.concatenate(each), np.array([len(x) for x in each]))
+        self.chars += sum(map(len, words))
+
+    def _meet(self, runs: list[str]) -> None:
+        """Ids of new runs of non-space characters, from those of their words."""
+        split = [_WORDS.findall(r.lower()) if _latin(r) else [r] for r in runs]
+        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64)
+        self._learn(self.words.taken())
+        ids, ends = self.word_ids.take(numbers)
+        per = np.concatenate([[0], ends])[np.cumsum([len(x) for x in split])]
+        self.run_ids.append(ids, np.diff(per, prepend=0))
         self.chars += sum(map(len, runs))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), TEXTS):
-            part = []
-            for t in texts[i:i + TEXTS]:
+            if len(self.runs) + len(self.words) > CACHE_WORDS or self.chars > CACHE_CHARS:
+                self.clear()
+            part, numbers = texts[i:i + TEXTS], []
+            for t in part:
                 if not self.by_word or "<|" in t or any(c in t for c in _SEPARATORS):
-                    part.append(t)
+                    numbers.append(None)
                 else:
-                    part.append((t.lower() if _latin(t) else t).split())
-            if len(self.known) > CACHE_WORDS or self.chars > CACHE_CHARS:
-                self.known.clear()
-                self.chars = 0
-            self._meet(set().union(*[p for p in part if type(p) is list]) - self.known.keys())
-            for p in part:
-                yield self._encode(p) if type(p) is str else b"".join(map(self.known.__getitem__, p))
+                    runs = (t.lower() if _latin(t) else t).split()
+                    numbers.append(np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs)))
+            if self.runs.new:
+                self._meet(self.runs.taken())
+            for t, n in zip(part, numbers, strict=True):
+                yield (self._encode(t) if n is None else self.run_ids.take(n)[0]).astype("<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=1)
