@@ -50,26 +50,24 @@ def kmeans_job(spark, features_in: str, output: str, k: int) -> None:
     from cartograph.operators import kmeans
     from cartograph.sinks import writers
     from cartograph.sources import readers
-    feats = kmeans.cut_lineage(readers.read_features_text(spark, features_in))
-    model = kmeans.fit(feats, k, checkpoint=False)
+    feats = readers.read_feature_fields(spark, features_in)
+    model = kmeans.fit(feats, k)
     out = output.rstrip("/")
     writers.write_centers_text(kmeans.centers_frame(spark, model.centers), f"{out}/cluster_centers")
     writers.write_labels_text(kmeans.labels(feats, model.centers), f"{out}/user_cluster_labels")
     print(f"k-means: {model.iterations} rounds, converged={model.converged}")
 
 
-def personal_rank_job(spark, index_in: str, clean_in: str, target: int, output: str) -> str:
+def personal_rank_job(spark, index_in: str, clean_in: str, target: str | int, output: str) -> str:
     from cartograph.operators import personal_rank
     from cartograph.sinks import writers
     from cartograph.sources import readers
-    graph = personal_rank.build_graph(readers.read_index_text(spark, index_in))
-    try:
-        clean = readers.read_clean_log_text(spark, clean_in)
-        top = personal_rank.recommend(clean, target, graph=graph)
-        writers.write_recommendation(personal_rank.recommendation_line(top, target), output)
-        line = spark.read.text(output).first()["value"]
-    finally:
-        graph.release()
+    target = str(target)
+    edges = readers.read_index_fields(spark, index_in)
+    seen = personal_rank.seen_items_text(spark.read.text(clean_in), target)
+    top = personal_rank.recommend_text(edges, seen, target)
+    writers.write_recommendation(personal_rank.recommendation_line(top, target), output)
+    line = spark.read.text(output).first()["value"]
     print(line)
     return line
 
@@ -81,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     a = sub.add_parser("analysis"); a.add_argument("clean_out"); a.add_argument("output_base")
     a = sub.add_parser("kmeans"); a.add_argument("features"); a.add_argument("output"); a.add_argument("k", type=int)
     a = sub.add_parser("personal-rank"); a.add_argument("index"); a.add_argument("clean_log")
-    a.add_argument("target", type=int); a.add_argument("output")
+    a.add_argument("target"); a.add_argument("output")
     args = p.parse_args(argv)
     spark = _session()
     if args.job == "clean-features":

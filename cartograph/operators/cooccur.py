@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cartograph.functions.behavior import BUY
-from cartograph.session import ensure_checkpoint_dir
+from cartograph.operators.skew import with_group_size
+from cartograph.scratch import Scratch
 
 DEFAULT_BLOCK_SIZE = 2_000
 DEFAULT_TOP_N = 1000
@@ -44,21 +45,21 @@ def buy_baskets(clean: DataFrame) -> DataFrame:
             .select("user_id", F.col("item_id").cast("string").alias("item")))
 
 
-def basket_sizes(baskets: DataFrame) -> DataFrame:
-    return baskets.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
+def item_pairs(baskets: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE, items: int | None = None) -> DataFrame:
+    """One row (item_a, item_b) per user and unordered pair of distinct items, item_a < item_b.
 
-
-def item_pairs(baskets: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """One row (item_a, item_b) per user and unordered pair of distinct items, item_a < item_b."""
+    ``items`` is the number of distinct items in the baskets where it is known; no basket of so few is cut.
+    """
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
-    # Only hot baskets (more than block_size items; at most rows / block_size of them) join
-    # back, as a left join that AQE broadcasts once it has measured it.
-    hot = (basket_sizes(baskets).where(F.col("n_items") > block_size)
-           .select("user_id", F.ceil(F.col("n_items") / F.lit(float(block_size)))
-                   .cast("bigint").alias("nb")))
-    sized = (baskets.join(hot, "user_id", "left")
-             .select("user_id", "item", F.coalesce(F.col("nb"), F.lit(1).cast("bigint")).alias("nb")))
+    if items is not None and items <= block_size:
+        y = baskets.select("user_id", F.col("item").alias("item_b"))
+        return baskets.withColumnRenamed("item", "item_a").join(y, "user_id") \
+            .where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
+    # Items are counted by (user, slice) first, then the slices of a user; the sum reaches the rows
+    # by (user, slice), so a hot basket is never one group.
+    sized = with_group_size(baskets, "user_id", "item", "n_items").select(
+        "user_id", "item", F.ceil(F.col("n_items") / F.lit(float(block_size))).cast("bigint").alias("nb"))
     blk = F.when(F.col("nb") > 1, F.pmod(F.xxhash64("item"), F.col("nb"))).otherwise(
         F.lit(0).cast("bigint"))
     sized = sized.withColumn("blk", blk)
@@ -93,7 +94,7 @@ def count_lower_bound_frame(baskets: DataFrame, n: int,
     m = seed_items or max(64, 2 * int(math.isqrt(2 * n)) + 2)
     seeds = _buyers(baskets).orderBy(F.col("buyers").desc(), F.col("item")).limit(m)
     sub = baskets.join(seeds.select("item"), "item")      # at most m rows; AQE measures them
-    counts = item_pairs(sub).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = item_pairs(sub, items=m).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
     best = counts.orderBy(F.col("cnt").desc()).limit(n)
     return best.agg(F.when(F.count(F.lit(1)) == n, F.min("cnt")).otherwise(F.lit(1))
                     .cast("bigint").alias("t"))
@@ -104,21 +105,25 @@ def count_lower_bound(baskets: DataFrame, n: int, seed_items: int | None = None)
 
 
 def top_pairs(clean: DataFrame, n: int = DEFAULT_TOP_N,
-              block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+              block_size: int = DEFAULT_BLOCK_SIZE, scratch: Scratch | None = None) -> DataFrame:
     """The n most frequent pairs, ties broken by item_a, item_b; with a 1-based rank.
 
     Exact pruning: a pair's count is at most the buyer count of either item, so with a lower
     bound t on the n-th largest count (``count_lower_bound_frame``) every pair of the result
     has two items with at least t buyers. Items below t are dropped before any pair is formed -
     at scale that removes the long tail of rarely bought items, and with it most of the pair
-    work - and no count of a remaining pair changes. The distinct baskets are cut by a reliable
-    checkpoint while the plan is built (a job), so they and their shuffle are made once.
+    work - and no count of a remaining pair changes. The distinct baskets are written while the plan is
+    built (a job), so they and their shuffle are made once. With a ``scratch`` of the caller, the result reads them
+    until it is released; without one, the n rows are brought to the driver and the baskets are removed.
 
     orderBy + limit plans as TakeOrderedAndProject: every task keeps its own n best, only
     n rows per task reach the final merge. The rank is numbered over those n rows only.
     """
-    ensure_checkpoint_dir(clean.sparkSession)
-    baskets = buy_baskets(clean).checkpoint(eager=True)
+    if scratch is None:
+        with Scratch(clean.sparkSession, "top-pairs") as own:
+            top = top_pairs(clean, n, block_size, own)
+            return clean.sparkSession.createDataFrame(top.collect(), top.schema)
+    baskets = scratch.cut(buy_baskets(clean), "baskets")
     t = count_lower_bound_frame(baskets, n)
     popular = (_buyers(baskets).crossJoin(F.broadcast(t))     # exactly one row
                .where(F.col("buyers") >= F.col("t")).select("item"))

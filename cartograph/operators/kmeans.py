@@ -10,9 +10,10 @@
 * Stop after ``max_iter`` rounds or when the sum of the k centre moves is below ``tol``;
   on convergence the centres from before that last round are kept.
 
-The feature table is cut from its lineage with a reliable checkpoint (the folder of
-``spark.checkpoint.dir``) before the loop, so each round reads it instead of recomputing
-the features, and a lost executor recomputes only its partitions of the checkpoint read.
+The feature table is written to the shared checkpoint folder before the loop, so each round
+reads it instead of recomputing the features, and a lost executor reads its files again; it is
+removed when the centres are found. User ids can be of any type: the start order and the labels
+go by their text.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from cartograph.functions.hashing import stable_order_key
 from cartograph.functions.numeric import argmin_struct
 from cartograph.schemas import FEATURE_COLUMNS
-from cartograph.session import ensure_checkpoint_dir
+from cartograph.scratch import Scratch
 
 # ---- fixed values (defaults of the original job) ----
 DEFAULT_SEED = 42
@@ -97,18 +98,14 @@ def lloyd_step(features: DataFrame, centers: list[Center],
     return update_centers(centers, cluster_sums(features, centers, cols))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into spark.checkpoint.dir (never a local-only copy)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fit(features: DataFrame, k: int, max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL,
         seed: int = DEFAULT_SEED, cols: tuple[str, ...] = FEATURE_COLUMNS,
-        checkpoint: bool = True) -> KMeansModel:
+        cut: bool = True) -> KMeansModel:
+    """The centres; ``cut=False`` where the caller has written the features already."""
     data = features.select("user_id", *cols)
-    if checkpoint:
-        data = cut_lineage(data)
+    if cut:
+        with Scratch(features.sparkSession, "k-means") as scratch:
+            return fit(scratch.cut(data), k, max_iter, tol, seed, cols, cut=False)
     centers = init_centers(data, k, seed, cols)
     shifts: list[float] = []
     converged, it = False, 0

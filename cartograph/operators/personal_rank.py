@@ -36,8 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cartograph.functions.numeric import significant
+from cartograph.functions.text import java_trim
+from cartograph.operators import node_ids
 from cartograph.operators.index import deep_edges
-from cartograph.session import ensure_checkpoint_dir
+from cartograph.operators.skew import lookup
+from cartograph.scratch import Scratch, delete_path
 
 # ---- fixed values (defaults of the original job) ----
 DEFAULT_ALPHA = 0.85
@@ -63,16 +66,16 @@ class RankGraph:
     """
     edges: DataFrame
     nodes: DataFrame
-    folder: str | None = None
+    scratch: Scratch | None = None
     table: str | None = None
 
     def release(self) -> None:
         """Drop the materialised tables and rank vectors (they live in the checkpoint folder)."""
         if self.table:
             self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
-        if self.folder:
-            delete_path(self.edges.sparkSession, self.folder)
-        self.table = self.folder = None
+        if self.scratch:
+            self.scratch.release()
+        self.table = self.scratch = None
 
 
 def directed_edges(item_user: DataFrame) -> DataFrame:
@@ -91,12 +94,6 @@ def node_degrees(item_user: DataFrame) -> DataFrame:
             .select(F.col("src_item").alias("is_item"), F.col("src").alias("node"), "degree"))
 
 
-def delete_path(spark, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def edge_buckets(spark, n_edges: int) -> int:
     """Bucket count from the measured edge count: about EDGES_PER_BUCKET edges per bucket, at
     least one bucket per core. Spark refuses a table beyond spark.sql.sources.bucketing.maxBuckets."""
@@ -116,22 +113,21 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     spark = item_user.sparkSession
     nsalt = F.greatest(F.lit(1).cast("bigint"),
                        F.ceil(F.col("degree") / F.lit(float(max_fanout))).cast("bigint"))
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rank-graph-{uuid.uuid4().hex}"
+    scratch = Scratch(spark, "rank-graph")
     # The pairs are written once; nodes and edges both read them back instead of recomputing
     # the log.
-    item_user.select("item_id", "user_id").write.parquet(f"{folder}/pairs")
-    item_user = spark.read.parquet(f"{folder}/pairs")
+    item_user = scratch.cut(item_user.select("item_id", "user_id"), "pairs")
     n_pairs = item_user.count()                   # parquet footers only
-    node_degrees(item_user).withColumn("nsalt", nsalt).write.parquet(f"{folder}/nodes")
-    nodes = spark.read.parquet(f"{folder}/nodes")
-    # Both degrees join onto the undirected pairs (E rows); an explode emits the two directions.
+    nodes = scratch.cut(node_degrees(item_user).withColumn("nsalt", nsalt), "nodes")
+    # Both degrees join onto the undirected pairs (E rows), a hot node's in slices of the other
+    # end; an explode emits the two directions.
     items = nodes.where(F.col("is_item")).select(
         F.col("node").alias("item_id"), F.col("degree").alias("i_deg"),
         F.col("nsalt").alias("i_nsalt"))
     users = nodes.where(~F.col("is_item")).select(
         F.col("node").alias("user_id"), F.col("degree").alias("u_deg"),
         F.col("nsalt").alias("u_nsalt"))
-    rich = item_user.join(items, "item_id").join(users, "user_id")
+    rich = lookup(lookup(item_user, items, "item_id", "user_id"), users, "user_id", "item_id")
 
     def direction(src_item: bool, src: str, dst: str, deg: str, s_n: str, d_n: str):
         salt = F.when(F.col(s_n) > 1, F.pmod(F.xxhash64(dst), F.col(s_n))).otherwise(F.lit(0).cast("bigint"))
@@ -145,8 +141,8 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     n = buckets or edge_buckets(spark, 2 * n_pairs)
     table = f"rank_edges_{uuid.uuid4().hex}"
     (edges.repartition(n, *_SRC_KEY).write.bucketBy(n, *_SRC_KEY)
-     .option("path", f"{folder}/edges").saveAsTable(table))
-    return RankGraph(spark.table(table), nodes, folder, table)
+     .option("path", scratch.path("edges")).saveAsTable(table))
+    return RankGraph(spark.table(table), nodes, scratch, table)
 
 
 def _target_nsalt(graph: RankGraph, target: int) -> int:
@@ -186,11 +182,11 @@ def personal_rank(graph: RankGraph, target: int, iterations: int = DEFAULT_ITERA
     spark = graph.edges.sparkSession
     tn = _target_nsalt(graph, target)
     pr = _restart(spark, target, tn, 1.0)
-    run, last = uuid.uuid4().hex, None
+    last = None
     for i in range(1, iterations + 1):
         pr = rank_step(pr, graph, target, tn, alpha)
         if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
-            path = f"{graph.folder}/rank-{run}-{i}"
+            path = graph.scratch.path(f"rank-{i}")
             pr.write.parquet(path)
             pr = spark.read.schema(pr.schema).parquet(path)
             if last:
@@ -245,7 +241,46 @@ def recommend(clean: DataFrame, target: int, n: int = DEFAULT_TOP_N,
     return clean.sparkSession.createDataFrame(rows, result.schema)
 
 
-def recommendation_line(top: DataFrame, target: int) -> DataFrame:
+def seen_items_text(lines: DataFrame, target: str) -> DataFrame:
+    """P11/A12 on lines of a clean log with text ids: the items of the lines that begin with the target
+    and a comma. Such a line without a second field fails the job."""
+    item = java_trim(F.get(F.split("value", ",", -1), F.lit(1)))
+    bad = F.raise_error(F.concat(F.lit("no item in clean log line: "), F.col("value")))
+    own = lines.where(F.startswith("value", F.lit(f"{target},")))
+    return own.select(F.when(F.rtrim(F.col("value"), F.lit(",")) == F.lit(target), bad).otherwise(item).alias("item_id")).distinct()
+
+
+def recommend_text(edges: DataFrame, seen: DataFrame, target: str, n: int = DEFAULT_TOP_N,
+                   iterations: int = DEFAULT_ITERATIONS, alpha: float = DEFAULT_ALPHA,
+                   max_fanout: int = DEFAULT_MAX_FANOUT) -> DataFrame:
+    """(user_id, rank, item_id, score) like ``recommend``, for text ids of items and users.
+
+    ``edges`` has the texts item_id and user_id, ``seen`` the texts item_id. The texts get dense numbers in their
+    own order, so equal scores are ordered by text; the n result rows are brought to the driver, and
+    the dictionaries and the graph are removed. A target without edges gets zero-score items.
+    """
+    spark = edges.sparkSession
+    with Scratch(spark, "text-ids") as scratch:
+        edges = scratch.cut(edges.select("item_id", "user_id"), "edges")
+        items = scratch.cut(node_ids.dictionary(edges.select("item_id"), scratch), "items")
+        users = scratch.cut(node_ids.dictionary(edges.select("user_id"), scratch), "users")
+        number = node_ids.number_of(users, target)
+        graph = build_graph(node_ids.encode(edges, items, users), max_fanout)
+        try:
+            pr = personal_rank(graph, -1 if number is None else number, iterations, alpha)
+            scores = node_scores(graph, pr).where(F.col("is_item")).select(F.col("node").alias("id"), "score")
+            known = seen.join(items, seen["item_id"] == items["text"]).select("id")
+            order = [significant(F.col("score"), SCORE_ORDER_DIGITS).desc(), F.col("id")]
+            top = scores.join(known, "id", "left_anti").orderBy(*order).limit(n) \
+                .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+            rows = top.join(items, "id").select("rank", "text", "score").collect()  # n rows
+        finally:
+            graph.release()
+    return spark.createDataFrame([(target, r["rank"], r["text"], r["score"]) for r in sorted(rows)],
+                                 "user_id string, rank int, item_id string, score double")
+
+
+def recommendation_line(top: DataFrame, target: int | str) -> DataFrame:
     """K7 text: ``target<TAB>item:score,...`` with three decimals; ``target<TAB>`` when empty."""
     parts = top.agg(F.sort_array(F.collect_list(F.struct(
         "rank", F.concat(F.col("item_id").cast("string"), F.lit(":"),

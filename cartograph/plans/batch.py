@@ -57,8 +57,7 @@ def run_jobs(spark: SparkSession, clean_or_raw: DataFrame, out_dir: str, target:
         fin = readers.read_features_text(spark, res.paths["features"])
     else:
         fin = spark.read.parquet(f"{out}/user_features_parquet")
-    fin = kmeans.cut_lineage(fin)
-    res.kmeans = kmeans.fit(fin, k, checkpoint=False)
+    res.kmeans = kmeans.fit(fin, k, cut=False)    # written already
     centres = kmeans.centers_frame(spark, res.kmeans.centers)
     res.paths["centers"] = writers.write_centers_text(centres, f"{out}/cluster_centers")
     res.paths["labels"] = writers.write_labels_text(kmeans.labels(fin, res.kmeans.centers),

@@ -18,6 +18,7 @@ from cartograph.operators import kmeans as km
 from cartograph.operators import personal_rank as prk
 from cartograph.functions.numeric import significant
 from cartograph.plans import exports
+from cartograph.scratch import Scratch
 from cartograph.plans.logs import events_clean, orders_clean, text_clean
 from cartograph.sinks import writers
 from cartograph.sources import readers
@@ -67,6 +68,9 @@ def queries() -> dict[str, Query]:
     q["recommend_chain"] = lambda s, d: _rounded(prk.recommend(_chain_log(s, d), TARGET_CHAIN, n=100))
     q["graph_repeated_edges"] = _repeated_edges
     q["index_text_ids"] = exports.index_text_ids
+    q["recommend_text_ids"] = lambda s, d: _rounded(exports.recommend_text_ids(s, d, TARGET_TEXT))
+    q["recommend_text_cold"] = lambda s, d: _rounded(exports.recommend_text_ids(s, d, "nobody"))
+    q["kmeans_labels_text_ids"] = lambda s, d: _fitted_labels(exports.text_features(s, d), K_EVENTS)
     q["clean_log_revalidated"] = exports.clean_log_revalidated
     q["recommend_line"] = lambda s, d: prk.recommendation_line(
         prk.recommend(orders_clean(s, d), TARGET), TARGET)
@@ -99,7 +103,8 @@ K = 5
 K_EVENTS = 4
 TARGET = 899          # binding B user with a full neighbourhood at sf0.01 and sf0.1
 TARGET_EVENTS = 7
-TARGET_CHAIN = 0      # its far items have scores below 1e-12
+TARGET_TEXT = "u-8"
+TARGET_CHAIN = 1      # its far items have scores below 1e-12
 COLD_TARGET = -1      # no row in the log: every item scores 0.0
 # ----
 
@@ -120,7 +125,7 @@ def _repeated_edges(s: SparkSession, d: str) -> DataFrame:
     log = events_clean(s, d).where(F.col("behavior_type") != "pv")
     path = writers.write_index_text(_repeated_lines(log), exports.export_dir(s, "repeated"))
     edges = readers.read_index_text(s, path, distinct=False)
-    return exports.materialised(prk.node_degrees(edges), lambda: prk.delete_path(s, path))
+    return exports.materialised(prk.node_degrees(edges), lambda: exports.delete_path(s, path))
 
 
 def _repeated_lines(log: DataFrame, width: int = ix.DEFAULT_PART_WIDTH) -> DataFrame:
@@ -132,12 +137,12 @@ def _repeated_lines(log: DataFrame, width: int = ix.DEFAULT_PART_WIDTH) -> DataF
 
 
 def _chain_log(s: SparkSession, d: str) -> DataFrame:
-    """A log from nation keys: user i touches the items i and i + 1 and six items of their own, so
+    """A log from customer keys: user i touches the items i and i + 1 and six items of their own, so
     scores fall steeply along the chain."""
-    n = F.col("n_nationkey").cast("bigint")
-    own = [100 * n + 100 + j for j in range(1, 7)]
+    n = F.col("c_custkey").cast("bigint")
+    own = [-(100 * n + j) for j in range(1, 7)]
     item = F.explode(F.array(n, n + 1, *own)).alias("item_id")
-    return read_table(s, d, "nation").select(n.alias("user_id"), item).select(
+    return read_table(s, d, "customer").select(n.alias("user_id"), item).select(
         "user_id", "item_id", F.lit(0).cast("bigint").alias("category_id"), F.lit("fav").alias("behavior_type"),
         F.lit(0).cast("bigint").alias("ts"))
 
@@ -162,9 +167,13 @@ def _kmeans_step(s: SparkSession, d: str) -> DataFrame:
 
 def _kmeans_labels(s: SparkSession, d: str, events: bool = False) -> DataFrame:
     f = feat.user_features(events_clean(s, d)) if events else _feats_b(s, d)
-    f = km.cut_lineage(f)
-    model = km.fit(f, K_EVENTS if events else K, checkpoint=False)
-    return km.labels(f, model.centers)
+    return _fitted_labels(f, K_EVENTS if events else K)
+
+
+def _fitted_labels(f: DataFrame, k: int) -> DataFrame:
+    scratch = Scratch(f.sparkSession, "features")
+    f = scratch.cut(f)
+    return exports.materialised(km.labels(f, km.fit(f, k, cut=False).centers), scratch.release)
 
 
 def _index_rows(index: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Registered queries that go through files: text round trips (K1-K6 -> S1-S4), streaming
 ingestion and the four-job batch run. Files go to the shared checkpoint folder; what was read
-back is cut by a reliable checkpoint, which Spark cleans up, and the files are deleted."""
+back is cut by a reliable checkpoint and the files are deleted. Spark removes the checkpoint of a result
+that is no longer used where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, as
+``build_session`` does."""
 
 from __future__ import annotations
 
@@ -19,7 +21,8 @@ from cartograph.session import ensure_checkpoint_dir
 from cartograph.sinks import writers
 from cartograph.sources import readers
 from cartograph.operators.clean import clean_text, clean_typed
-from cartograph.operators.personal_rank import delete_path
+from cartograph.operators import personal_rank as prk
+from cartograph.scratch import delete_path
 from cartograph.sources.bindings import events_text_lines, events_typed
 from cartograph.streaming.ingest import ingest_clean_log
 
@@ -111,6 +114,35 @@ def index_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _back(ix.index_lines(ix.inverted_index(log)), path)
 
 
+def with_text_ids(log: DataFrame) -> DataFrame:
+    """A log whose ids are texts, and partly no numbers: every third item, and every user of an even number."""
+    item, user = F.col("item_id"), F.col("user_id")
+    return log.withColumn("item_id", F.when(item % 3 == 0, F.concat(F.lit("item "), item.cast("string"))).otherwise(item.cast("string"))) \
+        .withColumn("user_id", F.when(user % 2 == 0, F.concat(F.lit("u-"), user.cast("string"))).otherwise(user.cast("string")))
+
+
+def recommend_text_ids(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
+    """S4, I5, I4, I6 from written index lines and a written clean log of binding A, both with text ids."""
+    log = with_text_ids(events_clean(spark, sf_dir))
+    part = F.pmod(F.xxhash64("user_id"), F.lit(8))
+    deep = log.where(F.col("behavior_type") != "pv").select("item_id", "user_id").distinct()
+    lines = deep.groupBy("item_id", part.alias("part")).agg(F.sort_array(F.collect_list("user_id")).alias("users"))
+    index = writers.write_index_text(lines, export_dir(spark, "text-index"))
+    clean = writers.write_clean_log_text(log, export_dir(spark, "text-clean"))
+    top = prk.recommend_text(readers.read_index_fields(spark, index),
+                             prk.seen_items_text(spark.read.text(clean), target), target)
+    for path in (index, clean):
+        delete_path(spark, path)
+    return top
+
+
+def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 with text ids: the features of binding A written and read back."""
+    feats = feat.user_features(events_clean(spark, sf_dir)).withColumn("item_id", F.lit(0))
+    path = writers.write_features_text(with_text_ids(feats).drop("item_id"), export_dir(spark, "text-features"))
+    return _back(readers.read_feature_fields(spark, path), path)
+
+
 def stream_clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream source -> binding A -> cleaning -> parquet (availableNow)."""
     base = export_dir(spark, "stream")

@@ -83,11 +83,17 @@ WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id IS NOT NULL
   AND item_id IS NOT NULL AND category_id IS NOT NULL AND ts IS NOT NULL
 """
 
-# A chain from nation keys: user i with the items i and i + 1 and six of their own.
+# A chain from customer keys: user i with the items i and i + 1 and six of their own.
 LOG_N = """
-SELECT CAST(n_nationkey AS BIGINT) AS user_id,
-       CAST(CASE WHEN i < 2 THEN n_nationkey + i ELSE 100 * n_nationkey + 99 + i END AS BIGINT) AS item_id,
-       'fav' AS behavior_type FROM nation CROSS JOIN range(8) v(i)
+SELECT CAST(c_custkey AS BIGINT) AS user_id,
+       CAST(CASE WHEN i < 2 THEN c_custkey + i ELSE -(100 * c_custkey + i - 1) END AS BIGINT) AS item_id,
+       'fav' AS behavior_type FROM customer CROSS JOIN range(8) v(i)
+"""
+
+# Binding A with text ids: every third item and every user of an even number are no numbers.
+LOG_T = f"""
+SELECT * REPLACE (CASE WHEN user_id % 2 = 0 THEN 'u-' ELSE '' END || user_id AS user_id,
+                  CASE WHEN item_id % 3 = 0 THEN 'item ' ELSE '' END || item_id AS item_id) FROM ({LOG_A}) t
 """
 
 # Clean-log lines of binding A with faults by user_id % 7, validated again.
@@ -98,7 +104,7 @@ SELECT CASE WHEN user_id % 7 = 3 THEN '-' ELSE '' END || user_id AS user_id,
 FROM ({LOG_A}) r WHERE user_id % 7 NOT IN (2, 3, 5)
 """
 
-LOGS = {"a": LOG_A, "b": LOG_B, "c": LOG_C, "n": LOG_N, "r": LOG_R}
+LOGS = {"a": LOG_A, "b": LOG_B, "c": LOG_C, "n": LOG_N, "r": LOG_R, "t": LOG_T}
 
 
 def with_log(log: str, body: str) -> str:
@@ -266,8 +272,13 @@ def kmeans_labels_sql(log: str, k: int, rounds: int = 30) -> str:
     return _kmeans_ctes(log, k, rounds) + _label_sql(f"c{rounds}")
 
 
-def _rank_ctes(log: str, target: int, rounds: int, alpha: float = 0.85, n: int = 10) -> str:
-    return f"""WITH RECURSIVE log AS ({LOGS[log]}), {EDGES.strip()},
+TEXT_EDGES = """
+edges AS (SELECT DISTINCT item_id, user_id FROM log WHERE behavior_type IN ('cart', 'fav', 'buy'))
+"""
+
+
+def _rank_ctes(log: str, target: int | str, rounds: int, alpha: float = 0.85, n: int = 10) -> str:
+    return f"""WITH RECURSIVE log AS ({LOGS[log]}), {(EDGES if isinstance(target, int) else TEXT_EDGES).strip()},
 g AS (SELECT true AS src_item, item_id AS src, false AS dst_item, user_id AS dst FROM edges
       UNION ALL
       SELECT false AS src_item, user_id AS src, true AS dst_item, item_id AS dst FROM edges),
@@ -300,6 +311,21 @@ SELECT CAST({target} AS BIGINT) AS user_id, CAST(rank AS INTEGER) AS rank, item_
        {significant('score', 7)} AS score FROM top"""
 
 
+def recommend_text_sql(log: str, target: str) -> str:
+    return _rank_ctes(log, f"'{target}'", 30) + f"""
+SELECT '{target}' AS user_id, CAST(rank AS INTEGER) AS rank, item_id, {significant('score', 7)} AS score FROM top"""
+
+
+def kmeans_labels_text_sql(log: str, k: int) -> str:
+    """Labels of the features as they are written, with the users of even numbers renamed."""
+    user = "CASE WHEN user_id % 2 = 0 THEN 'u-' ELSE '' END || user_id"
+    back = ", ".join(f"CAST({java_fixed(c, 4)} AS DOUBLE) AS {c}" for c in ("f1", "f2", "f3"))
+    whole = kmeans_labels_sql(log, k)
+    head, rest = whole.split(",\nc0 AS", 1)
+    head = head.replace("feat AS (", "feat0 AS (", 1)
+    return f"{head},\nfeat AS (SELECT {user} AS user_id, {back} FROM feat0),\nc0 AS{rest}"
+
+
 def recommend_line_sql(log: str, target: int) -> str:
     return _rank_ctes(log, target, 30) + f"""
 SELECT '{target}' || chr(9) || coalesce(
@@ -403,7 +429,10 @@ SELECT src_item AS is_item, src AS node, count(*) AS degree FROM g GROUP BY src_
     q["recommend_top10"] = recommend_sql("b", 899)
     q["recommend_top10_events"] = recommend_sql("a", 7)
     q["recommend_cold_user"] = recommend_sql("b", -1)
-    q["recommend_chain"] = recommend_sql("n", 0, 100)
+    q["recommend_chain"] = recommend_sql("n", 1, 100)
+    q["recommend_text_ids"] = recommend_text_sql("t", "u-8")
+    q["recommend_text_cold"] = recommend_text_sql("t", "nobody")
+    q["kmeans_labels_text_ids"] = kmeans_labels_text_sql("a", 4)
     q["graph_repeated_edges"] = with_log("a", """
 SELECT true AS is_item, item_id AS node, count(*) AS degree FROM log
 WHERE behavior_type <> 'pv' GROUP BY item_id

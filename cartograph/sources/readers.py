@@ -49,14 +49,18 @@ def read_clean_log_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features_text(spark: SparkSession, path: str) -> DataFrame:
-    """S3: ``uid,F1,F2,F3`` lines; blank lines skipped, extra fields ignored.
+    """S3 with numeric ids: ``uid,F1,F2,F3`` lines; blank lines skipped, extra fields ignored.
 
     A short or non-numeric row fails the job, as a feature file must be complete.
     """
+    return _features(spark, path, parse_long)
+
+
+def _features(spark: SparkSession, path: str, user_id) -> DataFrame:
     lines = spark.read.text(path).where(F.length(java_trim(F.col("value"))) > 0)
     parts = F.split(F.col("value"), ",", -1)
     out = lines.select(
-        parse_long(java_trim(F.try_element_at(parts, F.lit(1)))).alias("user_id"),
+        user_id(java_trim(F.try_element_at(parts, F.lit(1)))).alias("user_id"),
         *[java_trim(F.try_element_at(parts, F.lit(i + 2))).alias(f"_f{i + 1}") for i in range(3)],
         F.col("value"),
     )
@@ -71,17 +75,45 @@ def read_features_text(spark: SparkSession, path: str) -> DataFrame:
     return out.select(uid.alias("user_id"), *cols)
 
 
+def read_feature_fields(spark: SparkSession, path: str) -> DataFrame:
+    """S3 with user ids of any kind, kept as trimmed text; numbers are checked as in ``read_features_text``."""
+    return _features(spark, path, lambda raw: raw)
+
+
+def read_index_fields(spark: SparkSession, path: str, distinct: bool = False) -> DataFrame:
+    """S4 with ids of any kind: ``item<TAB>u1,u2,...`` lines -> (item_id, user_id) as trimmed texts.
+
+    Every token is used: an empty one between commas is the id ``''``. Empty fields at the end of a line or of
+    its users are no tokens, and a line without users has no edges. Repeated users weigh as often as they come
+    unless ``distinct`` is set.
+    """
+    lines = spark.read.text(path).where(F.length(java_trim(F.col("value"))) > 0)
+    parts = F.split(F.regexp_replace("value", "\t+\\z", ""), "\t", -1)
+    cut = lines.select(parts.alias("_p")).where(F.size("_p") >= 2) \
+        .select(java_trim(F.col("_p")[0]).alias("item_id"), F.col("_p")[1].alias("_users"))
+    some = cut.where(~F.col("_users").rlike("^,+\\z"))
+    user = F.explode(F.split(F.regexp_replace("_users", ",+\\z", ""), ",", -1))
+    edges = some.select("item_id", user.alias("user_id")).select("item_id", java_trim(F.col("user_id")).alias("user_id"))
+    return edges.distinct() if distinct else edges
+
+
 def read_index_text(spark: SparkSession, path: str, distinct: bool = True) -> DataFrame:
     """``item<TAB>u1,u2,...`` lines -> (item_id, user_id) edges.
 
-    Several lines for one item (its parts) add their users. Empty user tokens are skipped.
+    Several lines for one item (its parts) add their users. Empty user tokens are skipped; any other
+    token that is not a number fails the job (``read_index_fields`` takes ids of any kind).
     ``distinct=False`` keeps repeated users of a line, which weigh as often in the walk.
     """
     lines = spark.read.text(path).where(F.length(java_trim(F.col("value"))) > 0)
     parts = F.split(F.col("value"), "\t", -1)
     edges = (lines.where(F.size(parts) >= 2)
-             .select(parse_long(java_trim(F.try_element_at(parts, F.lit(1)))).alias("item_id"),
+             .select(_index_id(F.try_element_at(parts, F.lit(1))).alias("item_id"),
                      F.explode(F.split(F.try_element_at(parts, F.lit(2)), ",", -1)).alias("u"))
-             .select("item_id", parse_long(java_trim(F.col("u"))).alias("user_id")))
-    edges = edges.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
+             .where(java_trim(F.col("u")) != "").select("item_id", _index_id(F.col("u")).alias("user_id")))
     return edges.distinct() if distinct else edges
+
+
+def _index_id(raw):
+    number = parse_long(java_trim(raw))
+    return F.when(number.isNull(), F.raise_error(F.concat(
+        F.lit("not a numeric id in an index line: "), raw))).otherwise(number)

@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from cartograph.scratch import Scratch
 from cartograph.operators import cooccur as co
 from cartograph.operators import personal_rank as prk
 from cartograph.operators.clean import clean_text
@@ -65,5 +66,6 @@ def test_seen_set_filter_reaches_the_scan(spark):
 
 @needs_tables
 def test_top_pairs_is_take_ordered(spark):
-    df = co.top_pairs(orders_clean(spark, SF))
-    assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+    with Scratch(spark) as scratch:
+        df = co.top_pairs(orders_clean(spark, SF), scratch=scratch)
+        assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
