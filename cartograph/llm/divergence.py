@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.personal_rank import delete_path
+from ..scratch import delete_path
 from . import common
 
 LEAST_DOCS, TOP, UNIT = 10, 10, 1_000_000_000
