@@ -43,6 +43,46 @@ def test_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<form id=aspnetForm><article><p>{PROSE}</p></article></form>", PROSE),
+    (f"<form id=aspnetForm><nav>Menu</nav><div id=content><p>{PROSE}</p><p>{PROSE}</p></div></form>", f"{PROSE}\n{PROSE}"),
+    (f"<div role=dialog><article><p>{PROSE}</p></article></div>", PROSE),
+    (f"<nav><ul><li>Home<li>About</ul><article><p>{PROSE}</p></article>", PROSE),
+    (f"<aside>Links<main><p>{PROSE}</p></main>", PROSE),
+    (f"<article><p>{PROSE}</p><form>{PROSE}</form><div role=search>x</div></article>", PROSE),
+    *((f"<article><p>{PROSE}</p><section {a}><p>Short part.</p></section></article>", f"{PROSE}\nShort part.")
+      for a in ("class='search-algorithms'", "class='related-work'", "id='legal'", "id=discussion", "class=header")),
+    *((f"<article><p>{PROSE}</p><div {a}><p>Short part.</p></div></article>", PROSE)
+      for a in ("class='related'", "class='ad-slot-2'", "id=comments", "class='text newsletter-box'", "class='share-buttons'")),
+    (f"<article><ul><li>{PROSE}<li>Two<ul><li>Inner</ul><li>Three</ul><dl><dt>T<dd>D</dl><table><tr><td>a<td>b<tr><td>c</table></article>",
+     f"{PROSE}\nTwo\nInner\nThree\nT\nD\na\nb\nc"),
+])
+def test_articles_in_other_parts_and_parts_of_articles(page, want):
+    assert html_text.main_text(page) == want
+
+
+@pytest.mark.parametrize("part", ["<li>word", "<div>word", "<dd>word", "<div class=ad>word", "<nav>word", "<p>a</b>b"])
+def test_time_is_linear_in_unclosed_elements(part):
+    import time
+    import tracemalloc
+    tracemalloc.start()
+    t = time.process_time()
+    text = html_text.main_text("<article><p>" + PROSE + "</p><ul>" + part * 100_000)
+    used, peak = time.process_time() - t, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text.startswith(PROSE) and used < 25 and peak < 300e6, (used, peak)  # traced: several times slower
+
+
+def test_pages_table_edges(spark):
+    rows = [(1, "u", f"<article><p>{PROSE}</p></article>", "clash", 7), (1, "u", f"<article><p>{PROSE}</p></article>", "clash", 7),
+            (None, None, None, None, None), (2, "v", "", "x", 1), (3, "w", "<p>" + "long words " * 100_000, "y", 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    got = sorted(map(tuple, html_text.extract(pages).collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    long = ("long words " * 100_000).strip()
+    assert got == [(None, None, "", 0), (1, "u", PROSE, len(PROSE)), (1, "u", PROSE, len(PROSE)), (2, "v", "", 0), (3, "w", long, len(long))]
+    assert html_text.extract(pages.where("page_id > 9")).count() == 0
+
+
 LONG = "\n".join([PROSE * 3] * 8)
 PARAGRAPHS = f"<p>{PROSE * 3}</p>" * 8
 
