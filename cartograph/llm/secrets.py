@@ -93,8 +93,8 @@ def scan_blobs(addressed: DataFrame, ledger: str, rules: list = RULES) -> DataFr
     spark = addressed.sparkSession
     version = rule_version(rules)
     known = read_ledger(spark, ledger).where(F.col("rule_version") == version).select("blob")
-    # one row per blob and map task leaves for the shuffle, however often a text is repeated
-    unseen = addressed.join(known, "blob", "left_anti").groupBy("blob").agg(F.first("content").alias("content"))
+    # grouped before the anti join: one row per blob and map task is shuffled, however often a text is repeated
+    unseen = addressed.groupBy("blob").agg(F.first("content").alias("content")).join(known, "blob", "left_anti")
     common.map_arrow(unseen, _scan(rules), LEDGER).write.mode("append").parquet(ledger)
     return read_ledger(spark, ledger).where((F.col("rule_version") == version) & (F.size("spans") > 0)) \
         .groupBy("blob").agg(F.first("spans").alias("spans"))
