@@ -13,9 +13,9 @@ the input's rows):
 so that the bytes of an id follow from its number: any range of ids is read by a seek and unpacked
 by numpy without a loop over ids.
 
-Writing. Documents are encoded once into a staged table, which is range-partitioned and sorted by
-(doc_id, row): a doc_id that many rows share is split among tasks. A task cuts its rows into files of
-about ``file_bytes``. Files go to the shared folder under the name of the task's attempt; the rows
+Writing. Documents are range-partitioned and sorted by (doc_id, row), so a doc_id that many rows
+share is split among tasks; the bounds come from a sample of the keys, before any text is encoded. A
+task encodes its rows and cuts them into files of about ``file_bytes``. Files go to the shared folder under the name of the task's attempt; the rows
 that the task returns name them, so files of lost attempts are never read. The index table has one
 row per file with its first id in the whole data set, from the sums of the files before it.
 
@@ -149,24 +149,6 @@ def store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-STAGED = "doc_id long, row long, n long, ids binary"
-
-
-def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """The ids of every row, its end id with them, in the fewest whole bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, row = word_ids(path), TaskContext.get().partitionId() << 36
-        kind, end = ("<u2" if encode.size <= 1 << 16 else "<u4"), np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            found = [np.frombuffer(x + end, "<u4") for x in encode(b.column("text").to_pylist())]
-            columns = [b.column("doc_id").cast(pa.int64()), pa.array(range(row, row + len(found)), pa.int64()),
-                       pa.array([len(x) for x in found], pa.int64()),
-                       pa.array([x.astype(kind).tobytes() for x in found], pa.binary())]
-            row += len(found)
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "ids"])
-    return common.with_id_kept(docs).mapInArrow(run, STAGED)
-
-
 FILES = "file long, part int, place int, name string, documents long, ids long"
 
 
@@ -174,13 +156,11 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, file_by
           block_ids: int = BLOCK_IDS) -> DataFrame:
     """Writes the files below ``folder`` and returns their index: file, part, place, name, documents, ids, first_id."""
     spark = docs.sparkSession
-    encoded(docs, path, end_id).write.option("compression", "zstd").parquet(f"{folder}/staged")
-    staged = spark.read.schema(STAGED).parquet(f"{folder}/staged")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        vocabulary = word_ids(path).size
-        width, kind = width_of(vocabulary), "<u2" if vocabulary <= 1 << 16 else "<u4"
+        encode, end = word_ids(path), np.array([end_id], "<u4").tobytes()
+        width, kind = width_of(encode.size), "<u2" if encode.size <= 1 << 16 else "<u4"
         fs, root = store(f"{folder}/data")
         docs, ends, parts, rows, total = [], [], [], [], 0
 
@@ -191,15 +171,16 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, file_by
                 out.write(to_bytes(file, docs, ends, np.concatenate(parts), width, block_ids))
             rows.append((file, task.partitionId(), len(rows), name, len(docs), total))
         for b in batches:
-            for doc, n, ids in zip(b.column("doc_id").to_pylist(), b.column("n").to_pylist(),
-                                   b.column("ids").to_pylist(), strict=True):
+            for doc, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
+                ids = np.frombuffer(ids + end, "<u4").astype(kind)
+                n = len(ids)
                 if docs and 17 * len(docs) + (total + n) * width // 8 > file_bytes:
                     done()
                     docs, ends, parts, total = [], [], [], 0
                 total += n
                 docs.append(doc)
                 ends.append(total)
-                parts.append(np.frombuffer(ids, kind))
+                parts.append(ids)
         if docs:
             done()
         if rows:
@@ -208,7 +189,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, file_by
                                              [x.split()[0] for x in FILES.split(", ")])
     fs, root = store(f"{folder}/data")
     fs.create_dir(root)
-    ordered = staged.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
+    rows = common.with_id_kept(docs).withColumn("row", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
     files = common.cut(ordered.mapInArrow(run, FILES))
     # sums of whole parts first: one row per task of the write; then within each part
     parts = files.groupBy("part").agg(F.sum("ids").alias("all"))
