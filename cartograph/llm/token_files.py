@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from . import common
 from .word_ids import word_ids
 
@@ -224,6 +225,6 @@ def op12_bit_packed_ids(spark: SparkSession, sf_dir: str, path: str | None = Non
     """One row per document, read back from files with the ids of all documents."""
     import public_tokenizers
     common.prepare(spark)
-    folder = common.scratch(spark, "token-files")
-    write(common.read(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"), folder)
-    return read(spark, folder)
+    with Scratch(spark, "token-files") as scratch:
+        write(common.read(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"), scratch.folder)
+        return common.cut(read(spark, scratch.folder))  # four numbers a document; the files go

@@ -1,11 +1,12 @@
 """The pipeline's stages, each against brute force on its predecessor's rows."""
 import corpus_pipeline
 from cartograph.llm import secrets
+from cartograph.scratch import left_over
 
-from .conftest import SF
+from .conftest import SF, edge_texts
 from .test_scans import brute_hits
 from .test_similar import brute_classes
-from .test_tokens import check_places, expected_pieces
+from .test_tokens import check_places, expected_pieces, order
 
 
 def test_stages_take_effect(spark, tmp_path):
@@ -43,3 +44,41 @@ def test_run_is_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(rows.columns) and rows.count() > 0
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def folder(spark, tmp_path, name, docs):
+    """A data folder with these documents and the labels and benchmark of the test tables."""
+    at = f"{tmp_path}/{name}"
+    docs.write.parquet(f"{at}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{at}/{t}.parquet")
+    return at
+
+
+def test_edges_copies_and_repeated_rows(spark, edges, tmp_path):
+    """Null, empty and very long texts, null ids, copies, repeated rows and further columns."""
+    twice = edges.unionByName(edges)
+    rows = corpus_pipeline.run(spark, folder(spark, tmp_path, "edges", twice)).collect()
+    texts = dict(edge_texts()) | {9: f"[SECRET:{secrets.KINDS[2]}]"}    # 50,000 hexadecimal digits
+    kept = [1, 3, 4, 5, 6, 7, 9, 11, None]     # 2 is empty as 1 is; 8 is 7's copy, 10 is 4's
+    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+    assert sorted(got, key=order) == sorted(expected_pieces([(i, texts[i]) for i in kept]), key=order)
+    check_places(rows)
+
+
+def test_empty_tables(spark, nothing, tmp_path):
+    at = folder(spark, tmp_path, "nothing", nothing)
+    rows = corpus_pipeline.run(spark, at)
+    assert rows.count() == 0 and "sequence_id" in rows.columns
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{at}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
+    some = spark.read.parquet(f"{SF}/documents.parquet")
+    some.write.parquet(f"{tmp_path}/none/documents.parquet")
+    ids = {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/none").select("doc_id").collect()}
+    assert ids and ids <= {r.doc_id for r in some.collect()}
+
+
+def test_only_the_last_stage_is_left(spark):
+    before = set(left_over(spark))
+    corpus_pipeline.run(spark, SF)
+    assert [x.split("-")[1] for x in set(left_over(spark)) - before if x.startswith("stage-")] == ["best"]
