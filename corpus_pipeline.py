@@ -1,8 +1,13 @@
 """Corpus pipeline: filter, deduplicate, decontaminate, redact and pack the documents.
 
 ``run(spark, sf_dir)`` applies STAGES in order to ``documents``; each stage's rows are written
-as Parquet to the shared checkpoint folder and reread as the documents of the next one. All
-stages but the last return the columns of documents.
+as Parquet to the shared checkpoint folder and reread as the documents of the next one, and removed
+once that one has been written; the last one's rows stay for the caller. All stages but the last return
+the columns of documents.
+
+Defined cases: a null or empty text is scored, is its own class, holds no window and no secret, and is
+packed as the separator alone; copies and repeated rows are one class of the n-gram join, of which the
+least doc_id stays; rows with a null doc_id go on like others; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,6 +15,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cartograph.scratch import delete_path
 from cartograph.llm import common, decontaminate, ngram_join, packing, secrets, toxicity
 
 
@@ -57,9 +63,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows."""
-    docs = common.read(spark, sf_dir, "documents")
+    docs, last = common.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = common.scratch(spark, "stage-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if last:
+            delete_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
