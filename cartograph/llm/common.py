@@ -61,6 +61,14 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it where df has such a column (names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def with_id_kept(df: DataFrame, text: str = "text") -> DataFrame:
     """doc_id and text alone (null text: empty), whatever other columns there are."""
     return df.select(F.col("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

@@ -1,27 +1,33 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A lexical transducer maps words to weighted symbols: insults (stems and whole words whose
-weights, log odds, are learned from labels), threats, targets, negations and reported speech. A
-clause acceptor is composed with it: its states hold whether a negation, a report or a target
-has been read in the clause, and each insult or threat adds its weight to the total of the state
-it is read in. A document's clause totals, not its isolated words, are the inputs of a logistic
-score that is fitted to the same labels.
+A lexical transducer reads words and writes symbols with weights: insults (stems and whole words whose
+weights, log odds, are learned from labels), threats (weight 1), targets, negations, reported speech,
+ends of clauses and other words. Four pattern transducers read symbols and pass them on with marks: an
+insult or threat is `negated` or `targeted` after a negation or a target among the ``NEAR`` words before
+it, and `reported` after a report in its clause; a target is `addressed` after an insult or threat among
+the ``CLOSE`` words before it. Their composition is one clause acceptor, whose state decides under which
+marks a word's weight is added to its clause: "you are not an idiot", "you idiot are not" and "not idiot
+you" take three different paths. Matched clauses give their totals by marks and the weight of their
+strongest insult that is asserted, neither negated nor reported (a path's weight by maximum, not by sum).
+These are the inputs of a logistic score that is fitted to the same labels, so the fit weighs the arcs.
 
 An insult's weight depends on how often its stem occurs in the document, because a stem that is
 also an ordinary one marks a toxic text only by its number. For the fit, a document's own
 contribution is taken out of the weights it is scored with.
 
-The fit uses a bounded sample of ``SAMPLE`` labelled rows, those with the least hash of the
-doc_id; scoring reads every whole text. Labels, language, source and id are no inputs.
+The fit uses a bounded sample of ``SAMPLE`` labelled documents, those with the least hash of the
+doc_id, and brings at most that many rows of ``FEATURES`` numbers to the driver; scoring reads every
+whole text. Labels, language, source and id are no inputs.
 
 Defined cases: a null text is empty; an empty text has the score of no match; documents without
 usable labels (or with one class only) get the unfitted weights; a null toxic label is not used;
-a doc_id labelled twice is toxic if either row is; repeated rows are scored one by one; other
-columns are ignored.
+a doc_id labelled twice is toxic if either row is; a doc_id with several rows counts once in the fit,
+with its least text; repeated rows are scored one by one; other columns, of any name, are kept.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -51,9 +57,59 @@ THREATS = frozenset("""kill hurt destroy die murder beat burn shoot stab töten
 
 _TOKENS = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 _END = frozenset(".!?;:\n")
-FEATURES = 10
+SYMBOLS = ("other", "end", "negation", "report", "target", "threat", "insult")
+#: Words that a negation or target reaches over, and those between an insult and its address.
+NEAR, CLOSE = 4, 2
 #: Weights of the features where there is nothing to fit them to.
-UNFITTED = np.array([-4.0, 0.6, 0.8, 0.1, 0.1, 0.4, 0.5, 0.3, 0.6, 0.0])
+UNFITTED = np.array([-4.0, 0.6, 0.4, 0.8, 0.1, 0.1, 0.5, 0.3, 0.6, 0.4, 0.0])
+FEATURES = len(UNFITTED)
+
+#: Arcs of a transducer, by state and symbol read: the next state and the marks written with the symbol.
+#: State 0 is the first one.
+Arcs = dict[tuple[int, str], tuple[int, frozenset[str]]]
+
+
+def pattern(mark: str, opens: tuple[str, ...], marked: tuple[str, ...], scope: int | None) -> Arcs:
+    """Transducer that marks the symbols `marked` after one of `opens` among the `scope` words before
+    (None: anywhere before) in the clause. A state is the number of words that are still in reach."""
+    arcs: Arcs = {}
+    for state in range((scope or 1) + 1):
+        for x in SYMBOLS:
+            after = 0 if x == "end" else (scope or 1) if x in opens else state if scope is None else max(state - 1, 0)
+            arcs[state, x] = after, frozenset([mark] if state and x in marked else [])
+    return arcs
+
+
+def compose(first: Arcs, second: Arcs) -> Arcs:
+    """Transducer of the pairs of states that can be reached; its marks are those of both."""
+    number, arcs = {(0, 0): 0}, {}
+    pairs = [(0, 0)]
+    for pair in pairs:          # grows while it is read
+        for x in SYMBOLS:
+            (p, a), (q, b) = first[pair[0], x], second[pair[1], x]
+            if (p, q) not in number:
+                number[p, q] = len(number)
+                pairs.append((p, q))
+            arcs[number[pair], x] = number[p, q], a | b
+    return arcs
+
+
+_BLAMES = ("insult", "threat")
+CLAUSE = functools.reduce(compose, [
+    pattern("negated", ("negation",), _BLAMES, NEAR), pattern("reported", ("report",), _BLAMES, None),
+    pattern("targeted", ("target",), _BLAMES, NEAR), pattern("addressed", _BLAMES, ("target",), CLOSE)])
+
+
+def total_of(symbol: str, marks: frozenset[str]) -> str:
+    """The total that an arc adds to: one of plain, targeted, negated, reported, addressed, or none."""
+    if symbol in _BLAMES:
+        return next((x for x in ("negated", "reported", "targeted") if x in marks), "plain")
+    return "addressed" if "addressed" in marks else ""
+
+
+#: The acceptor by state, then by symbol: next state and total added to.
+ACCEPTOR = [{x: (CLAUSE[s, x][0], total_of(x, CLAUSE[s, x][1])) for x in SYMBOLS}
+            for s in range(len(CLAUSE) // len(SYMBOLS))]
 
 
 def stems_of(word: str) -> list[str]:
@@ -78,7 +134,7 @@ class Lexicon:
         self.counts: dict[str, list[tuple[int, int] | None]] = {}
         for entry, k, t, c in rows:
             self.counts.setdefault(entry, [None] * len(LEVELS))[k] = (t, c)
-        self.memo: dict[str, tuple[str, ...] | str] = {}
+        self.memo: dict[str, tuple[str, tuple[str, ...]]] = {}
 
     def weight(self, entry: str, n: int, label: int | None) -> float:
         """Greatest log odds among the levels that n occurrences reach, without the document itself."""
@@ -90,14 +146,14 @@ class Lexicon:
                 best = max(best, math.log(odds))
         return best
 
-    def symbol(self, word: str) -> tuple[str, ...] | str:
-        """The entries of an insult, or the name of another class, or nothing."""
+    def symbol(self, word: str) -> tuple[str, tuple[str, ...]]:
+        """The lexical transducer: a word's symbol, and its entries if it is an insult."""
         if len(self.memo) > CACHE_WORDS:
             self.memo.clear()
-        found: tuple[str, ...] | str = tuple(x for x in stems_of(word) if x in self.counts)
-        if not found:
-            found = ("end" if word in _END else "negation" if word in NEGATIONS else "report" if word in REPORTS
-                     else "threat" if word in THREATS else "target" if word in TARGETS else "")
+        entries = tuple(x for x in stems_of(word) if x in self.counts)
+        found = ("insult" if entries else "end" if word in _END else "negation" if word in NEGATIONS
+                 else "report" if word in REPORTS else "threat" if word in THREATS
+                 else "target" if word in TARGETS else "other"), entries
         self.memo[word] = found
         return found
 
@@ -105,38 +161,32 @@ class Lexicon:
         """Totals of the document's clauses; label: that of a row whose counts the weights hold."""
         words = _TOKENS.findall(text.lower())
         memo, symbol = self.memo, self.symbol
-        symbols = [x for x in [memo[w] if w in memo else symbol(w) for w in words] if x]
-        ends = symbols.count("end")
-        if not any(type(x) is tuple or x == "threat" for x in symbols):
-            return [1.0] + [0.0] * (FEATURES - 2) + [math.log1p(len(words) - ends) / 5]
-        number = Counter(e for x in symbols if type(x) is tuple for e in x)
+        symbols = [memo[w] if w in memo else symbol(w) for w in words]
+        ends = sum(x == "end" for x, _ in symbols)
+        size = math.log1p(len(words) - ends) / 5
+        if not any(x in _BLAMES for x, _ in symbols):
+            return [1.0] + [0.0] * (FEATURES - 2) + [size]
+        number = Counter(e for _, entries in symbols for e in entries)
         weight = {e: self.weight(e, n, label) for e, n in number.items()}
-        top = plain = negated = reported = targeted = 0.0
-        matched, threats, seen, state = 0, 0, set(), set()
-        pending: list[float] = []
-        for x in [*symbols, "end"]:
+        sums = dict.fromkeys(("plain", "targeted", "negated", "reported", "addressed"), 0.0)
+        matched, threats, strongest, hit, seen, state = 0, 0, 0.0, False, set(), 0
+        for x, entries in [*symbols, ("end", ())]:
+            state, total = ACCEPTOR[state][x]
             if x == "end":
-                total = sum(pending)
-                if total > 0:
-                    matched += 1
-                    plain += 0 if state & {"negation", "report"} else total
-                    negated += total if "negation" in state else 0
-                    reported += total if "report" in state else 0
-                    targeted += total if "target" in state else 0
-                pending, state = [], set()
-            elif x == "threat":
-                threats += 1
-                pending.append(1.0)
-            elif type(x) is str:
-                state.add(x)
-            else:
-                w = max(weight[e] for e in x)
-                if w > 0:
-                    top = max(top, w)
-                    seen.add(x[0])
-                    pending.append(w)
-        return [1.0, top, *map(math.log1p, (plain, negated, reported, targeted)), matched / (ends + 1),
-                math.log1p(len(seen)), math.log1p(threats), math.log1p(len(words) - ends) / 5]
+                matched += hit
+                hit = False
+            elif total:
+                w = max(weight[e] for e in entries) if entries else 1.0
+                sums[total] += w
+                if total != "addressed" and w > 0:
+                    hit = True
+                    threats += x == "threat"
+                    if entries and total in ("plain", "targeted"):
+                        strongest = max(strongest, w)
+                    seen.update(entries[:1])
+        totals = [sums[x] for x in ("plain", "targeted", "negated", "reported")]
+        return [1.0, strongest, *map(math.log1p, totals), matched / (ends + 1),
+                *map(math.log1p, (len(seen), threats, sums["addressed"])), size]
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -154,12 +204,13 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most `rows` labelled documents that are not held out."""
+    """doc_id, text and toxic of at most `rows` labelled documents that are not held out, one row of each."""
     ids = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
-        .join(F.broadcast(ids), "doc_id")  # at most `rows` ids
+        .join(F.broadcast(ids), "doc_id") \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # at most `rows` ids
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray]:
@@ -202,17 +253,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray]:
     return lexicon, fit(np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float))
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs with __score."""
+def scored(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
+    """The rows of docs with their score as column `name`, which replaces a column of that name."""
     lexicon, weights = learn(docs, labels)
 
     def make():
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             x = np.array([lexicon.features(t or "") for t in b.column("text").to_pylist()])
             score = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            return b.set_column(b.schema.get_field_index("__score"), "__score", pa.array(score))
+            return b.set_column(b.schema.get_field_index(name), name, pa.array(score))
         return step
-    df = docs.withColumn("__score", F.lit(0.0))
+    df = docs.withColumn(name, F.lit(0.0))
     return common.map_arrow(df, make, df.schema)
 
 
@@ -221,10 +272,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     common.prepare(spark)
     docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
     found = scored(docs, common.read(spark, sf_dir, "labels"))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
-                        (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs with a score below 0.5."""
-    return scored(docs, labels).where(F.col("__score") < 0.5).select(*docs.columns)
+    score = common.free_name(docs, "score")
+    return scored(docs, labels, score).where(F.col(score) < 0.5).select(*docs.columns)

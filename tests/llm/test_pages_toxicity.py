@@ -1,5 +1,6 @@
 """Main text of pages, and toxicity on held-out labels."""
 import html
+import random
 import re
 import zlib
 
@@ -65,12 +66,15 @@ def test_articles_in_other_parts_and_parts_of_articles(page, want):
 def test_time_is_linear_in_unclosed_elements(part):
     import time
     import tracemalloc
-    tracemalloc.start()
+    page = "<article><p>" + PROSE + "</p><ul>" + part * 100_000
     t = time.process_time()
-    text = html_text.main_text("<article><p>" + PROSE + "</p><ul>" + part * 100_000)
-    used, peak = time.process_time() - t, tracemalloc.get_traced_memory()[1]
+    text = html_text.main_text(page)
+    used = time.process_time() - t
+    tracemalloc.start()                                     # tracing takes several times as long
+    html_text.main_text(page[:len(page) // 4])
+    peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert text.startswith(PROSE) and used < 25 and peak < 300e6, (used, peak)  # traced: several times slower
+    assert text.startswith(PROSE) and used < 20 and peak < 75e6, (used, peak)
 
 
 def test_pages_table_edges(spark):
@@ -126,25 +130,62 @@ def test_held_out_labels_are_not_read(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     held = toxicity.held_out(labels["doc_id"])
     turned = labels.withColumn("toxic", toxicity.F.when(held, 1 - labels["toxic"]).otherwise(labels["toxic"]))
-    a, b = ({r.doc_id: r["__score"] for r in toxicity.scored(docs, x).collect()} for x in (labels, turned))
+    a, b = ({r.doc_id: r["score"] for r in toxicity.scored(docs, x).collect()} for x in (labels, turned))
     assert a == b
 
 
 def test_grammar_states():
     lexicon = toxicity.Lexicon([("=idiot", 0, 50, 0)], 100, 900)
-    plain, negated = lexicon.features("you are an idiot. the end"), lexicon.features("you are not an idiot. the end")
+    plain, negated = lexicon.features("an idiot. the end"), lexicon.features("you are not an idiot. the end")
     said, none = lexicon.features("she said: idiot. he said you idiot"), lexicon.features("a calm text. not bad")
-    assert plain[2] > 0 and plain[5] > 0 and plain[3] == 0
-    assert negated[2] == 0 and negated[3] > 0
-    assert said[4] > 0 and none[1:9] == [0.0] * 8
-    assert lexicon.features("I kill, destroy")[8] > 0
+    assert plain[1] > 0 and plain[2] > 0 and plain[3:6] == [0.0] * 3
+    assert negated[1:4] == [0.0] * 3 and negated[4] > 0
+    assert said[5] > 0 and said[2] > 0 and none[1:10] == [0.0] * 9
+    assert lexicon.features("I kill, destroy")[8] > 0 and lexicon.features("kill you")[9] > 0
     assert lexicon.weight("=idiot", 1, 1) < lexicon.weight("=idiot", 1, None)
+    paths = [lexicon.features(t) for t in ("you are not an idiot", "you idiot are not", "not idiot you")]
+    assert len({tuple(x) for x in paths}) == 3
+    assert paths[0][1] == paths[2][1] == 0 < paths[1][1] and paths[2][9] > 0
+
+
+def test_composed_acceptor_equals_its_definition():
+    rng = random.Random(3)
+    state = 0
+    read: list[str] = []                      # symbols of the clause
+    for _ in range(30_000):
+        x = rng.choices(toxicity.SYMBOLS, (8, 2, 1, 1, 2, 1, 2))[0]
+        state, total = toxicity.ACCEPTOR[state][x]
+        near, close = read[-toxicity.NEAR:], read[-toxicity.CLOSE:]
+        want = ""
+        if x in ("insult", "threat"):
+            want = ("negated" if "negation" in near else "reported" if "report" in read
+                    else "targeted" if "target" in near else "plain")
+        elif x == "target" and ("insult" in close or "threat" in close):
+            want = "addressed"
+        assert total == want
+        read = [] if x == "end" else [*read, x]
+
+
+def test_repeated_documents_count_once_in_the_fit(spark):
+    docs = spark.createDataFrame([(1, "b")] * 50 + [(1, "a"), (2, "c"), (2, None), (3, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    ids = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5]
+    got = {r.doc_id: (r.text, r.toxic) for r in toxicity.sample(docs, labels).collect()}
+    assert got == {i: {1: ("a", 1), 2: ("", 0), 3: ("d", 1)}[i] for i in ids}
+    assert toxicity.sample(docs, labels).count() == len(ids) and toxicity.sample(docs, labels, 1).count() == 1
+
+
+def test_score_columns_of_other_meaning_are_kept(spark):
+    docs = spark.createDataFrame([(1, "calm", "x", 2.0), (2, None, None, None)], "doc_id long, text string, Score string, _score double")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.collect() == docs.collect()
 
 
 def test_toxicity_edges(spark, edges, nothing):
     labels = spark.createDataFrame([(4, 1), (5, None), (None, 1), (10, 0), (4, 0)], "doc_id long, toxic int")
     for x in (labels, labels.limit(0)):
         found = toxicity.scored(edges, x).collect()
-        assert len(found) == len(edge_texts()) and all(0 <= r["__score"] <= 1 for r in found)
+        assert len(found) == len(edge_texts()) and all(0 <= r["score"] <= 1 for r in found)
     assert toxicity.drop_toxic(edges, labels.limit(0)).columns == edges.columns
     assert toxicity.scored(nothing, labels).count() == 0
