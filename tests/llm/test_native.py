@@ -99,3 +99,33 @@ def test_one_document_with_all_rows_is_divided(spark):
     frame = spark.range(4000).selectExpr("7 AS doc_id", "'same text' AS text", "'s' AS source", "'en' AS lang")
     rows = sharding.kd_shards(frame, shards=4).groupBy("shard").count().collect()
     assert len(rows) == 4 and max(r["count"] for r in rows) < 1200
+
+
+def split_by_definition(rows, leaves):
+    """Shards in order: rows (doc_id, size, tie, at) divided at the weighted median of their widest dimension."""
+    if leaves == 1:
+        return [{r[0] for r in rows}]
+    widths = [max(r[3][i] for r in rows) - min(r[3][i] for r in rows) for i in range(4)]
+    dim = widths.index(max(widths))
+    weights = Counter()
+    for r in rows:
+        weights[r[3][dim], r[2]] += r[1]
+    target, before = sum(weights.values()) * (leaves // 2) / leaves, 0
+    for key in sorted(weights):
+        if before + weights[key] >= target:
+            left = target - before >= weights[key] / 2
+            break
+        before += weights[key]
+    low = [r for r in rows if ((r[3][dim], r[2]) <= key if left else (r[3][dim], r[2]) < key)]
+    high = [r for r in rows if not ((r[3][dim], r[2]) <= key if left else (r[3][dim], r[2]) < key)]
+    return split_by_definition(low, leaves // 2) + split_by_definition(high, leaves - leaves // 2)
+
+
+def test_splits_are_weighted_medians_of_the_widest_dimension(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.size, r.tie, r["at"]) for r in sharding.narrow(docs).collect()]
+    for n in (5, 16):
+        got = {}
+        for r in sharding.kd_shards(docs, shards=n).collect():
+            got.setdefault(r.shard, set()).add(r.doc_id)
+        assert [got[i] for i in range(n)] == split_by_definition(rows, n)
