@@ -69,6 +69,18 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *own: str) -> DataFrame:
+    """df with the columns that are named like one of `own` renamed; ``toDF`` with df's columns undoes it."""
+    names = list(df.columns)
+    for i, c in enumerate(names):
+        if c.lower() in own:
+            new = "_" + c
+            while new.lower() in own or new.lower() in {x.lower() for x in names}:
+                new = "_" + new
+            names[i] = new
+    return df.toDF(*names)
+
+
 def with_id_kept(df: DataFrame, text: str = "text") -> DataFrame:
     """doc_id and text alone (null text: empty), whatever other columns there are."""
     return df.select(F.col("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

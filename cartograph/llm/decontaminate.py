@@ -156,4 +156,5 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without a window of the benchmark."""
-    return scan(docs, benchmark).where(F.size("__hits.words") == 0).select(*docs.columns)
+    rows = common.set_aside(docs, "__text", "__n_words", "__hits")
+    return scan(rows, benchmark).where(F.size("__hits.words") == 0).select(*rows.columns).toDF(*docs.columns)

@@ -290,5 +290,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     best = rooted(docs).groupBy("root").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "copy")).alias("best")) \
         .select(F.coalesce("best.rep", none).alias("__id"), F.col("best.copy").alias("__copy"))
     copy = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    rows = docs.withColumn("__id", F.coalesce("doc_id", none)).withColumn("__copy", copy)
-    return rows.join(best, ["__id", "__copy"], "left_semi").dropDuplicates(["__id", "__copy"]).select(*docs.columns)
+    named = common.set_aside(docs, "__id", "__copy")
+    rows = named.withColumn("__id", F.coalesce("doc_id", none)).withColumn("__copy", copy)
+    return rows.join(best, ["__id", "__copy"], "left_semi").dropDuplicates(["__id", "__copy"]) \
+        .select(*named.columns).toDF(*docs.columns)

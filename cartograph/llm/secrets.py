@@ -135,7 +135,9 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redact(docs: DataFrame, ledger: str, rules: list = RULES) -> DataFrame:
     """The documents with every span replaced by ``[SECRET:kind]`` and n_chars, where a text
     changed, counted anew. A null text stays null; all columns and rows are kept."""
-    columns, kinds = docs.columns, [k for k, *_ in rules]
+    names, kinds = docs.columns, [k for k, *_ in rules]
+    docs = common.set_aside(docs, "__blob", "__spans")
+    columns = docs.columns
 
     def cover(text: str, spans: list[dict] | None) -> str:
         parts, at = [], 0
@@ -159,4 +161,4 @@ def redact(docs: DataFrame, ledger: str, rules: list = RULES) -> DataFrame:
     done = common.map_arrow(joined.where(dirty), make, joined.schema)
     if "n_chars" in columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where(~dirty).unionByName(done).select(*columns)
+    return joined.where(~dirty).unionByName(done).select(*columns).toDF(*names)

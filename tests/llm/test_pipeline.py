@@ -1,6 +1,6 @@
 """The pipeline's stages, each against brute force on its predecessor's rows."""
 import corpus_pipeline
-from cartograph.llm import secrets
+from cartograph.llm import decontaminate, ngram_join, secrets
 from cartograph.scratch import left_over
 
 from .conftest import SF, edge_texts
@@ -82,3 +82,17 @@ def test_only_the_last_stage_is_left(spark):
     before = set(left_over(spark))
     corpus_pipeline.run(spark, SF)
     assert [x.split("-")[1] for x in set(left_over(spark)) - before if x.startswith("stage-")] == ["best"]
+
+
+def test_stages_keep_columns_named_like_their_own(spark, tmp_path):
+    names = ["__id", "__Copy", "___copy", "__text", "__n_words", "__hits", "__blob", "__spans", "score"]
+    text = "a plain text of more than ten words that holds no secret and no window"
+    docs = spark.createDataFrame([(1, text, *"abcdefghi"), (2, text, *"jklmnopqr"), (3, None, *[None] * 9)],
+                                 "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    benchmark = spark.createDataFrame([("q", "one two three")], "item_id string, text string")
+    kept = decontaminate.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
+    one = ngram_join.keep_one(docs)
+    assert one.columns == docs.columns and {tuple(r) for r in one.collect()} == {tuple(r) for r in docs.where("doc_id <> 2").collect()}
+    clean = secrets.redact(docs, f"{tmp_path}/ledger")
+    assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == sorted(map(tuple, docs.collect()))
