@@ -5,9 +5,11 @@ words of an item (the whole item when it is shorter) is a pattern of the automat
 is normalised the same way and scanned once; the words inside any match are hit, and their
 offsets in the original text are given.
 
-The benchmark is the stated query set and goes to the tasks in blocks of at most
-``BLOCK_CHARS`` pattern characters, one automaton each, so a worker's memory has a bound at any
-benchmark size; a benchmark that fits one block is scanned for in one pass.
+The benchmark is the stated query set. Its items are cut into pieces that overlap by nine words, and
+the pieces are dealt into blocks of at most ``BLOCK_CHARS`` pattern characters by running sums; both are
+written to the shared folder, so the driver and a worker hold one block at any benchmark size. A
+benchmark of one block is scanned for in one pass. A larger one takes a pass for a block, one after
+another: a pass writes the matches alone, and the texts meet the matches of all passes at the end.
 
 Defined cases: a null text has no words and no hits; an item without words has no window; a null
 item_id is left out; a window of several items counts for each; items with equal item_id count
@@ -22,7 +24,7 @@ import re
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -30,6 +32,8 @@ from . import common
 WINDOW = 10
 #: Pattern characters of one automaton: about 40 bytes of memory each.
 BLOCK_CHARS = 4 << 20
+#: Blocks whose pieces are put in order by one task, about.
+PART_BLOCKS = 16
 
 _WORD = bytes([c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
                for c in range(256)])
@@ -118,27 +122,86 @@ def _scan(items: tuple[tuple[str, str], ...]):
     return make
 
 
-def blocks(benchmark: DataFrame) -> list[tuple[tuple[str, str], ...]]:
-    """The items in blocks of at most BLOCK_CHARS pattern characters (or one item)."""
-    out, size = [], BLOCK_CHARS
-    for r in benchmark.where("item_id IS NOT NULL AND text IS NOT NULL") \
-            .select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator():
-        cost = sum(map(len, windows(normal_words(r[1]))))
-        if size + cost > BLOCK_CHARS:
-            out.append([])
-            size = 0
-        out[-1].append((r[0], r[1]))
-        size += cost
-    return [tuple(x) for x in out] or [()]
+def pieces(words: list[bytes], most: int) -> list[tuple[str, int]]:
+    """An item's words in pieces whose windows are the item's windows, and each piece's pattern
+    characters: at most ``most``, or one window."""
+    out: list[tuple[str, int]] = []
+    first = cost = 0
+    last = max(1, len(words) - WINDOW + 1) if words else 0
+    width = sum(map(len, words[:WINDOW])) + min(WINDOW, len(words)) + 1
+    for i in range(last):
+        if i > first and cost + width > most:
+            out.append((b" ".join(words[first:i + WINDOW - 1]).decode(), cost))
+            first, cost = i, 0
+        cost += width
+        if i + WINDOW < len(words):
+            width += len(words[i + WINDOW]) - len(words[i])
+    if last:
+        out.append((b" ".join(words[first:]).decode(), cost))
+    return out
+
+
+def _cut_items(most: int):
+    def make():
+        def step(b: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [(item, piece, cost) for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+                    for piece, cost in pieces(normal_words(text), most)]
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            types = pa.string(), pa.string(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)],
+                                              ["item", "piece", "cost"])
+        return step
+    return make
+
+
+def blocks(benchmark: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Pieces of the items (item, piece, cost, part, block) and the (part, block) there are.
+
+    A part is a hash class of about PART_BLOCKS blocks of pieces; its pieces are put in order and the running
+    sum of their costs gives the block, so no block has more than BLOCK_CHARS and a piece.
+    """
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL") \
+        .select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    most = max(1, BLOCK_CHARS // 8)
+    cut = common.cut(common.map_arrow(items, _cut_items(most), "item string, piece string, cost long").distinct())
+    total = cut.agg(F.sum("cost")).first()[0] or 0
+    if total <= BLOCK_CHARS:
+        return cut.select("*", F.lit(0).alias("part"), F.lit(0).cast("long").alias("block")), [(0, 0)]
+    part = F.pmod(F.xxhash64("item", "piece"), F.lit(-(-total // (PART_BLOCKS * BLOCK_CHARS)))).cast("int")
+    ahead = Window.partitionBy("part").orderBy("item", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("cost").over(ahead), F.lit(0))
+    dealt = common.cut(cut.withColumn("part", part).withColumn("block", F.floor(before / F.lit(BLOCK_CHARS))))
+    return dealt, [tuple(r) for r in dealt.select("part", "block").distinct().orderBy("part", "block").collect()]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs with __n_words and __hits (word ranges, code point ranges, item ids)."""
-    df = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit(""))) \
-        .withColumn("__n_words", F.lit(0).cast("long")).withColumn("__hits", F.lit(None).cast(HITS))
-    for items in blocks(benchmark):
-        df = common.map_arrow(df, _scan(items), df.schema)
-    return df.drop("__text")
+    """The rows of docs with __n_words and __hits (word ranges, code point ranges, item ids).
+
+    Runs jobs over the benchmark, and with more than one block over docs, while it builds the plan.
+    """
+    rows = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit(""))) \
+        .withColumn("__n_words", F.lit(0).cast("long"))
+    dealt, numbers = blocks(benchmark)
+
+    def through(df: DataFrame, number: tuple[int, int] | None) -> DataFrame:
+        items = () if number is None else tuple(
+            (r["item"], r["piece"]) for r in dealt.where(F.col("part") == number[0])
+            .where(F.col("block") == number[1]).select("item", "piece").orderBy("item", "piece").collect())  # one block
+        return common.map_arrow(df, _scan(items), df.schema)
+
+    if len(numbers) == 1:
+        return through(rows.withColumn("__hits", F.lit(None).cast(HITS)), numbers[0]).drop("__text")
+    # A pass reads the texts alone and writes the rows with matches; the row number is a written one.
+    rows = common.cut(rows.withColumn("__row", F.monotonically_increasing_id()))
+    texts = rows.select("__row", "__text", "__n_words").withColumn("__hits", F.lit(None).cast(HITS))
+    passes = [common.cut(through(texts, n).where(F.size("__hits.words") > 0)
+                         .select("__row", F.col("__hits.words").alias("w"), F.col("__hits.items").alias("i")))
+              for n in numbers]
+    found = functools.reduce(DataFrame.unionAll, passes).groupBy("__row").agg(F.struct(
+        F.flatten(F.collect_list("w")).alias("words"), F.expr("CAST(array() AS array<struct<start:int,end:int>>)").alias("chars"),
+        F.array_distinct(F.flatten(F.collect_list("i"))).alias("items")).alias("__hits"))
+    met = rows.join(found, "__row", "left").select(*rows.columns, F.col("__hits").cast(HITS).alias("__hits"))
+    return through(met, None).drop("__text", "__row")
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,5 +219,5 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without a window of the benchmark."""
-    rows = common.set_aside(docs, "__text", "__n_words", "__hits")
+    rows = common.set_aside(docs, "__text", "__n_words", "__hits", "__row")
     return scan(rows, benchmark).where(F.size("__hits.words") == 0).select(*rows.columns).toDF(*docs.columns)

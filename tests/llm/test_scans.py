@@ -124,6 +124,41 @@ def test_decontamination_edges_and_blocks(spark, edges, nothing, monkeypatch):
     assert decontaminate.drop_contaminated(edges, benchmark.limit(0)).count() == len(edge_texts())
 
 
+def test_pieces_have_the_windows_of_the_item():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 9, 10, 11, 30, 200):
+        words = [b"w%d" % x for x in rng.integers(0, 1000, n)]
+        for most in (1, 200, 1 << 20):
+            cut = decontaminate.pieces(words, most)
+            parts = [decontaminate.windows(decontaminate.normal_words(p)) for p, _ in cut]
+            assert set().union(*parts) == decontaminate.windows(words)
+            assert all(sum(map(len, p)) <= c and (c <= most or len(p) == 1) for p, (_, c) in zip(parts, cut, strict=True))
+            assert most < 1 << 20 or len(cut) == min(n, 1)
+
+
+def test_blocks_are_bounded_and_scanned_one_after_another(spark, documents, monkeypatch):
+    """A benchmark of several blocks, one item longer than a block, gives the rows of one automaton."""
+    docs = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    items.append(("long", " ".join(t for _, t in documents[:3])))
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    total = decontaminate.blocks(benchmark)[0].agg(F.sum("cost")).first()[0]
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", total // 3)
+    monkeypatch.setattr(decontaminate, "PART_BLOCKS", 2)
+    dealt, numbers = decontaminate.blocks(benchmark)
+    sums = dealt.groupBy("part", "block").agg(F.sum("cost").alias("c")).collect()
+    assert 3 <= len(numbers) == len(sums) and max(r.c for r in sums) <= total // 3 * 9 / 8
+    found = {r.doc_id: r for r in decontaminate.scan(docs, benchmark).collect()}
+    assert len(found) == len(documents)
+    for i, text in documents:
+        hits = found[i]["__hits"]
+        n_hit = sum(x.end - x.start for x in hits["words"])
+        digest = hashlib.sha256(",".join(hits["items"]).encode()).hexdigest()
+        assert (found[i]["__n_words"], n_hit, len(hits["items"]), digest) == brute_hits(text, items)
+        assert [plain_words(text[x.start:x.end]) for x in hits["chars"]] == \
+            [plain_words(text)[x.start:x.end] for x in hits["words"]]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(alphabet="ab é\n\t日", max_size=40)), max_size=8))
 def test_word_hashes_are_those_of_the_words(texts):
