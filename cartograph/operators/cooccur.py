@@ -3,19 +3,19 @@
 Items of a pair are compared as text (so "10" sorts before "9") and each unordered pair is
 counted once per user.
 
-Plan. The per-user basket is never collected. Pairs come from a join of the basket rows
-with themselves on (user, block_lo, block_hi):
-
-* a user with at most ``block_size`` distinct items is one block, so the join key is
-  (user, 0, 0) and this is the plain self-join on the user;
-* a hot basket is cut into ``ceil(n / block_size)`` blocks by a hash of the item; each item
-  is sent once as the left side of every block pair (its block, j >= its block) and once as
-  the right side of every (i <= its block, its block). Every block pair of the user is its
-  own join group, holding about 2 * block_size rows, so a basket with a third of all rows
-  is spread over many tasks instead of one.
-
-The pair rows feed a partial hash aggregate in the same stage, so only one partial count
-per pair and map task is shuffled.
+Plan. Pairs are made in the task from lists of bounded length, and counted there by item ids:
+
+* a user with at most ``block_size`` distinct items is one list, and every item of it is paired
+  with the items behind it;
+* a hot basket is cut into ``ceil(n / block_size)`` blocks by a hash of the item, and each item
+  is sent once for every block that its own one meets. Every block pair of the user is a group
+  of its own, of two lists of about block_size items, so a basket with a third of all rows is
+  spread over many tasks instead of one, and no list grows with the basket;
+* one shuffle brings the lists together; there is no join of basket rows. The pairs are
+  generated from the lists inside the stage of the partial aggregate and are never sent: a task
+  sends one partial count for each of its distinct pairs;
+* ids are the keys of that aggregate and its shuffle. An item has one text, so the counts by ids
+  are those by texts; the texts and their order are made once per counted pair.
 """
 
 from __future__ import annotations
@@ -34,49 +34,61 @@ DEFAULT_BLOCK_SIZE = 2_000
 DEFAULT_TOP_N = 1000
 
 
-def buy_baskets(clean: DataFrame) -> DataFrame:
-    """Distinct (user_id, item) of purchases; item as text; negative users dropped.
-
-    The distinct runs on the integer id (smaller shuffle rows); the text form, needed only
-    for the pair order, is made afterwards.
-    """
+def _bought(clean: DataFrame) -> DataFrame:
+    """Distinct (user_id, item) of purchases, item as its id; negative users dropped."""
     return (clean.where((F.col("behavior_type") == BUY) & (F.col("user_id") >= 0))
-            .select("user_id", "item_id").distinct()
-            .select("user_id", F.col("item_id").cast("string").alias("item")))
+            .select("user_id", F.col("item_id").alias("item")).distinct())
 
 
-def item_pairs(baskets: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE, items: int | None = None) -> DataFrame:
-    """One row (item_a, item_b) per user and unordered pair of distinct items, item_a < item_b.
+def buy_baskets(clean: DataFrame) -> DataFrame:
+    """Distinct (user_id, item) of purchases; item as text; negative users dropped."""
+    return _bought(clean).select("user_id", F.col("item").cast("string").alias("item"))
+
+
+def basket_lists(baskets: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE, items: int | None = None) -> DataFrame:
+    """(user_id, lo, hi, xs, ys): the items of two blocks of a user; ys is empty where lo = hi.
 
     ``items`` is the number of distinct items in the baskets where it is known; no basket of so few is cut.
     """
-    if block_size < 1:
-        raise ValueError("block_size must be >= 1")
+    zero = F.lit(0).cast("bigint")
     if items is not None and items <= block_size:
-        y = baskets.select("user_id", F.col("item").alias("item_b"))
-        return baskets.withColumnRenamed("item", "item_a").join(y, "user_id") \
-            .where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
+        lists = baskets.groupBy("user_id").agg(F.collect_list("item").alias("xs"))
+        return lists.select("user_id", zero.alias("lo"), zero.alias("hi"), "xs", F.slice("xs", 1, 0).alias("ys"))
     # Items are counted by (user, slice) first, then the slices of a user; the sum reaches the rows
     # by (user, slice), so a hot basket is never one group.
     sized = with_group_size(baskets, "user_id", "item", "n_items").select(
         "user_id", "item", F.ceil(F.col("n_items") / F.lit(float(block_size))).cast("bigint").alias("nb"))
-    blk = F.when(F.col("nb") > 1, F.pmod(F.xxhash64("item"), F.col("nb"))).otherwise(
-        F.lit(0).cast("bigint"))
-    sized = sized.withColumn("blk", blk)
-    left = sized.select("user_id", F.col("item").alias("x"), F.col("blk").alias("lo"),
-                        F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("hi"))
-    right = sized.select("user_id", F.col("item").alias("y"), F.col("blk").alias("hi"),
-                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blk"))).alias("lo"))
-    joined = left.join(right, ["user_id", "lo", "hi"])
-    keep = (F.col("lo") < F.col("hi")) | (F.col("x") < F.col("y"))
-    return joined.where(keep).select(F.least("x", "y").alias("item_a"),
-                                     F.greatest("x", "y").alias("item_b"))
+    blk = F.when(F.col("nb") > 1, F.pmod(F.xxhash64("item"), F.col("nb"))).otherwise(zero)
+    met = sized.withColumn("blk", blk).select(
+        "user_id", "item", "blk", F.explode(F.sequence(zero, F.col("nb") - 1)).alias("other"))
+    lo, hi = F.least("blk", "other"), F.greatest("blk", "other")
+    sides = met.select("user_id", lo.alias("lo"), hi.alias("hi"), F.when(F.col("blk") == lo, F.col("item")).alias("x"),
+                       F.when(F.col("blk") > lo, F.col("item")).alias("y"))
+    return sides.groupBy("user_id", "lo", "hi").agg(F.collect_list("x").alias("xs"), F.collect_list("y").alias("ys"))
+
+
+def item_pairs(baskets: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE, items: int | None = None) -> DataFrame:
+    """One row (item_a, item_b) per user and unordered pair of distinct items, item_a < item_b in the
+    order of the items' type; ``items`` as in ``basket_lists``."""
+    if block_size < 1:
+        raise ValueError("block_size must be >= 1")
+    lists = basket_lists(baskets, block_size, items)
+    behind = F.slice("xs", F.col("p") + 2, F.size("xs"))
+    y = F.explode(F.when(F.col("lo") == F.col("hi"), behind).otherwise(F.col("ys"))).alias("y")
+    return lists.select("lo", "hi", "xs", "ys", F.posexplode("xs").alias("p", "x")).select("x", y) \
+        .select(F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    """(item_a, item_b, cnt) of pairs of ids, the items as texts and in the order of texts."""
+    counts = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
+    a, b = F.col("item_a").cast("string"), F.col("item_b").cast("string")
+    return counts.select(F.least(a, b).alias("item_a"), F.greatest(a, b).alias("item_b"), "cnt")
 
 
 def pair_counts(clean: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """(item_a, item_b, cnt) for every pair bought by at least one user."""
-    return (item_pairs(buy_baskets(clean), block_size)
-            .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt")))
+    return _counted(item_pairs(_bought(clean), block_size))
 
 
 def _buyers(baskets: DataFrame) -> DataFrame:
@@ -123,12 +135,11 @@ def top_pairs(clean: DataFrame, n: int = DEFAULT_TOP_N,
         with Scratch(clean.sparkSession, "top-pairs") as own:
             top = top_pairs(clean, n, block_size, own)
             return clean.sparkSession.createDataFrame(top.collect(), top.schema)
-    baskets = scratch.cut(buy_baskets(clean), "baskets")
+    baskets = scratch.cut(_bought(clean), "baskets")
     t = count_lower_bound_frame(baskets, n)
     popular = (_buyers(baskets).crossJoin(F.broadcast(t))     # exactly one row
                .where(F.col("buyers") >= F.col("t")).select("item"))
-    counts = item_pairs(baskets.join(popular, "item", "left_semi"), block_size) \
-        .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = _counted(item_pairs(baskets.join(popular, "item", "left_semi"), block_size))
     order = [F.col("cnt").desc(), F.col("item_a"), F.col("item_b")]
     top = counts.orderBy(*order).limit(n)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))

@@ -102,3 +102,31 @@ def test_pruned_top_pairs_equal_unpruned(spark):
         got = [(-r["cnt"], r["item_a"], r["item_b"]) for r in co.top_pairs(log, n=n).orderBy("rank").collect()]
         assert got == every[:n]
     assert co.count_lower_bound(co.buy_baskets(log), 5) >= 2
+
+
+def test_lists_of_a_basket_are_bounded_and_meet_once(spark):
+    rows = [(1, i) for i in range(1000)] + [(2, 5), (2, 6), (3, 7)]
+    frame = spark.createDataFrame(rows, "user_id long, item long")
+    lists = co.basket_lists(frame, block_size=50).collect()
+    assert max(max(len(r["xs"]), len(r["ys"])) for r in lists) < 100
+    hot = [r for r in lists if r["user_id"] == 1]
+    assert sorted((r["lo"], r["hi"]) for r in hot) == [(a, b) for a in range(20) for b in range(a, 20)]
+    assert all(not r["ys"] for r in lists if r["lo"] == r["hi"])
+    assert sorted(i for r in hot if r["lo"] == r["hi"] for i in r["xs"]) == list(range(1000))
+    pairs = [tuple(r) for r in co.item_pairs(frame, block_size=50).collect()]
+    assert len(pairs) == 1000 * 999 // 2 + 1 and len(set(pairs)) == len(pairs) - 1    # (5, 6) is in two baskets
+    assert all(a < b for a, b in pairs)
+
+
+def test_pairs_are_counted_by_ids_in_the_stage_that_makes_them(spark, worked_clean):
+    plan = co.pair_counts(worked_clean)._jdf.queryExecution().sparkPlan().toString()
+    assert "keys=[item_a#" in plan and "Join" not in plan.split("Generate")[0]
+    ids = spark.createDataFrame([(u, i, "buy", 1) for u in (1, 2) for i in (9, 10, 100)],
+                                "user_id long, item_id long, behavior_type string, ts long")
+    got = sorted(tuple(r) for r in co.pair_counts(ids).collect())
+    assert got == [("10", "100", 2), ("10", "9", 2), ("100", "9", 2)]  # the order of texts
+
+
+def test_no_purchase_gives_no_pair(worked_clean):
+    assert co.pair_counts(worked_clean.where("false")).count() == 0
+    assert co.top_pairs(worked_clean.where("false")).count() == 0
