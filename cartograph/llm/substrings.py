@@ -12,8 +12,12 @@ ranges whose whole shingle sets are similar enough are the passages.
 
 The first member of a value and the neighbour may be strangers that have only the one shingle of
 it. So where a value has more members than these links join in all pairs, the members are also
-dealt by their blocks: all runs of 50 words around the shingle. Members of a block repeat a passage
-word by word.
+dealt by single shingles so near to it that a passage can hold both (of each four neighbours the one of
+least hash), and by runs of 45 words there. Texts that share a passage around a common sentence
+share shingles that the sentence does not have, most often with nobody else; two of these on one
+line are a candidate, and any eight neighbours hold two. Members of a run
+repeat a passage by the run alone. Of the runs in each 50 words the one of least hash is taken, which is
+the same one in all texts that repeat the 50 words.
 
 A passage has at least 50 words and a Jaccard similarity of 0.8 or more to its match. One that
 is repeated word by word shares the values of all hash functions.
@@ -45,8 +49,15 @@ NUMERATOR, DENOMINATOR = 4, 5
 #: Shingles from the first to the last match of the shortest passage.
 CORE = -(-LEAST * NUMERATOR // DENOMINATOR)
 FUNCTIONS, ENOUGH = 7, 2
-#: The number that blocks have in the place of a function's, and the bit of a crowded window.
-BLOCK, CROWDED = 8, 16
+#: Shingles of a run that makes a passage of whatever is around it (41 of at most 51 shingles).
+GRAM = -(-2 * LEAST * NUMERATOR // (NUMERATOR + DENOMINATOR))
+#: The numbers that blocks, single shingles and lines of these have in the place of a function's, and
+#: the bit of a crowded window.
+BLOCK, SINGLE, LINE, CROWDED = 8, 9, 10, 16
+#: One of so many neighbouring single shingles, that of least hash, is dealt.
+SPARSE = 4
+#: Rows of blocks and shingles that are reduced together.
+PLACED_ROWS = 1 << 20
 
 _U = np.uint64
 _SEED = np.random.Generator(np.random.PCG64(20240417))
@@ -103,11 +114,13 @@ def _edges(nid: np.ndarray, hub: np.ndarray, anchors: np.ndarray) -> Iterator[tu
         return
     order = np.lexsort((anchors[:, 1], anchors[:, 1] - anchors[:, 4], anchors[:, 0], hub, nid))
     nid, hub, anchors = nid[order], hub[order], anchors[order].astype("<i4")
-    # blocks one after another are one
-    block = anchors[1:, 0] == BLOCK
-    follows = block & (nid[1:] == nid[:-1]) & (hub[1:] == hub[:-1]) & (np.diff(anchors, axis=0)[:, [0, 1, 4]] == [0, 1, 1]).all(1)
+    # blocks one after another on a line are one, and single shingles with nothing else in between
+    f, step = anchors[1:, 0], np.diff(anchors, axis=0)
+    follows = (f >= BLOCK) & (nid[1:] == nid[:-1]) & (hub[1:] == hub[:-1]) & (step[:, 0] == 0) \
+        & (step[:, 1] > 0) & (step[:, 1] == step[:, 4]) & (step[:, 1] < np.where(f == BLOCK, LEAST - GRAM + 2, LEAST))
     head, tail = np.r_[True, ~follows], np.r_[~follows, True]
     anchors[np.ix_(head, [3, 6])] = anchors[np.ix_(tail, [3, 6])]
+    anchors[head & ~tail & (anchors[:, 0] == SINGLE), 0] = LINE
     nid, hub, anchors = nid[head], hub[head], anchors[head]
     new = np.flatnonzero(np.r_[True, (nid[1:] != nid[:-1]) | (hub[1:] != hub[:-1])])
     for a, b in zip(new, [*new[1:], len(nid)], strict=True):
@@ -184,6 +197,7 @@ def _reduced(key: np.ndarray, who: np.ndarray, where: np.ndarray, copies: list,
     links = list(_edges(np.r_[a, np.array([z[0] for z in copies], np.int64)],
                         np.r_[hub, np.array([z[1] for z in copies], np.int64)],
                         np.concatenate([anchors, np.array([z[2] for z in copies], np.int64).reshape(-1, ANCHOR)])))
+    first = first[np.lexsort((where[first, 1], who[first]))]  # rows of a text side by side: smaller shuffle files
     w = where[first].copy()
     if crowds and len(key):
         _, group, n = np.unique(key, return_inverse=True, return_counts=True)
@@ -198,27 +212,61 @@ def _reduced(key: np.ndarray, who: np.ndarray, where: np.ndarray, copies: list,
     return pa.RecordBatch.from_arrays([*map(pa.array, columns), anchors], [x.split()[0] for x in PLACED.split(", ")])
 
 
+def _around(c: np.ndarray, before: int, after: int, n: int) -> np.ndarray:
+    """Places under n from `before` before to `after` after one of c."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.clip(c - before, 0, n), 1)
+    np.subtract.at(edge, np.clip(c + after + 1, 0, n), 1)
+    return np.flatnonzero(np.cumsum(edge)[:n] > 0)
+
+
+def blocks(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, where): runs and some single shingles of a text around some places.
+
+    Of the runs in every block of 50 words around a place, the one of least hash. A run with a
+    shingle twice may have too few different ones for a passage, so there whole blocks are taken, too.
+    """
+    n = len(x) - LEAST + 1
+    at = _around(c, LEAST - 1, 0, n)
+    up, down = common._powers(len(x))
+    total = np.r_[_U(0), np.cumsum(x * up[:len(x)], dtype=_U)]
+    run = common.mix((total[GRAM:] - total[:-GRAM]) * down[:len(x) - GRAM + 1] + _U(BLOCK))
+    least = np.unique(at + np.lib.stride_tricks.sliding_window_view(run, LEAST - GRAM + 1)[at].argmin(1))
+    order = np.argsort(x, kind="stable")
+    same = x[order[1:]] == x[order[:-1]]
+    before = np.full(len(x), -1)
+    before[order[1:][same]] = order[:-1][same]
+    again = at[np.maximum.accumulate(before)[at + LEAST - 1] >= at]
+    whole = common.mix((total[again + LEAST] - total[again]) * down[again] + _U(LEAST))
+    near = _around(c, LEAST - 1, LEAST - 1, len(x))
+    single = common.mix(x + _U(SINGLE))
+    some = among(np.arange(len(x) - SPARSE + 1) + np.lib.stride_tricks.sliding_window_view(single, SPARSE).argmin(1), len(x))
+    near = near[some[near]]
+    where = [np.stack([np.full(len(p), BLOCK), p, p, p + k - 1], 1) for p, k in ((least, GRAM), (again, LEAST))]
+    where.append(np.stack([np.full(len(near), SINGLE), near, np.maximum(near - LEAST + 1, 0),
+                           np.minimum(near + LEAST, len(x)) - 1], 1))
+    return np.concatenate([run[least], whole, single[near]]).view(np.int64), np.concatenate(where)
+
+
 def placed_blocks(hot: DataFrame) -> DataFrame:
-    """Blocks of the texts (nid, body, places) around the places, as windows of exactly a block."""
-    def step(b: pa.RecordBatch) -> pa.RecordBatch:
-        nid, places = b.column("nid").to_pylist(), b.column("places").to_pylist()
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 4), np.int64))]
-        bodies = pa.array(map(zlib.decompress, b.column("body").to_pylist()), pa.binary())
-        for i, x in common.shingled(bodies, SHINGLE):
-            c = np.unique(np.frombuffer(b"".join(places[i]), "<i4"))
-            n = len(x) - LEAST + 1
-            if n < 1:
-                continue
-            edge = np.zeros(len(x) + 1, np.int64)
-            np.add.at(edge, np.maximum(c - LEAST + 1, 0), 1)
-            np.subtract.at(edge, c + 1, 1)
-            at = np.flatnonzero(np.cumsum(edge)[:n] > 0)
-            up, down = common._powers(len(x))
-            total = np.r_[_U(0), np.cumsum(x * up[:len(x)], dtype=_U)]
-            key = common.mix((total[at + LEAST] - total[at]) * down[at] + _U(BLOCK)).view(np.int64)
-            found.append((key, np.full(len(at), nid[i]), np.stack([np.full(len(at), BLOCK), at, at, at + LEAST - 1], 1)))
-        return _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False)
-    return common.map_arrow(hot, lambda: step, PLACED)
+    """Runs and shingles of the texts (nid, body, places) around the places, as windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for b in batches:
+            nid, places = b.column("nid").to_pylist(), b.column("places").to_pylist()
+            bodies = pa.array(map(zlib.decompress, b.column("body").to_pylist()), pa.binary())
+            for i, x in common.shingled(bodies, SHINGLE):
+                if len(x) < LEAST:
+                    continue
+                key, where = blocks(x, np.unique(np.frombuffer(b"".join(places[i]), "<i4")).astype(np.int64))
+                found.append((key, np.full(len(key), nid[i]), where))
+                size += len(key)
+                if size >= PLACED_ROWS:
+                    yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False)
+                    found, size = [], 0
+        if found:
+            yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False)
+    return hot.mapInArrow(run, PLACED)
 
 
 def linked(placed: DataFrame) -> DataFrame:
@@ -247,7 +295,7 @@ def linked(placed: DataFrame) -> DataFrame:
             found = list(_edges(a, hub, anchors))
             _, group, n = np.unique(key, return_inverse=True, return_counts=True)
             crowd = (np.bincount(group, marked, len(n)) > 0) & (n > 1) | (n > 2)  # two are linked, of three one text may have two
-            crowd = crowd[group] & (where[:, 0] != BLOCK) & ~marked
+            crowd = crowd[group] & (where[:, 0] < BLOCK) & ~marked
             found += _hot(nid[crowd], where[crowd, 1])
             for i in range(0, len(found), common.BATCH_ROWS):
                 part = zip(*found[i:i + common.BATCH_ROWS])
@@ -270,7 +318,8 @@ def densest(match: np.ndarray) -> tuple[int, int, int]:
 
 
 def joined_windows(anchors: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Ranges of a pair of texts where windows of enough hash functions overlap in both."""
+    """Ranges of a pair of texts where windows of enough hash functions overlap in both, or those of a
+    run or a line of single shingles are."""
     anchors = anchors[np.lexsort((anchors[:, 4], anchors[:, 1]))]
     groups: list[list] = []
     for f, _, l1, r1, _, l2, r2 in anchors.tolist():
@@ -280,7 +329,7 @@ def joined_windows(anchors: np.ndarray) -> list[tuple[int, int, int, int]]:
         met.append([l1, r1, l2, r2, {f}])
         low, high, low2, high2, functions = zip(*met, strict=True)
         groups = [*apart, [min(low), max(high), min(low2), max(high2), set().union(*functions)]]
-    return list(dict.fromkeys(tuple(g[:4]) for g in groups if len(g[4]) >= ENOUGH or BLOCK in g[4]))
+    return list(dict.fromkeys(tuple(g[:4]) for g in groups if len(g[4]) >= ENOUGH or g[4] & {BLOCK, LINE}))
 
 
 RANGES = "nid long, hub long, ranges binary"

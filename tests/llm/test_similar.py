@@ -263,6 +263,24 @@ def test_repeats_with_a_common_sentence(spark):
     assert {(r.doc_id, r.match_doc_id) for r in rows if r.doc_id < r.match_doc_id} >= {(1000 + k, 2000 + k) for k in range(60)}
 
 
+def test_near_copies_with_a_common_sentence(spark):
+    """One changed word in a passage around a sentence that many strangers have."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    some = lambda n: [word() for _ in range(n)]
+    hot = some(40)
+    texts = [(i, some(30) + hot + some(30)) for i in range(300)]
+    for k in range(100):
+        passage = some(10) + hot + some(10)
+        changed = passage[:30] + [word()] + passage[31:]
+        texts += [(1000 + k, some(20) + passage + some(20)), (2000 + k, some(20) + changed + some(20))]
+    texts = [(i, " ".join(w)) for i, w in texts]
+    rng.shuffle(texts)
+    rows = substrings.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()
+    check_rows(rows, texts)
+    assert {(r.doc_id, r.match_doc_id) for r in rows} >= {(1000 + k, 2000 + k) for k in range(100)}
+
+
 def test_passage_edges(spark, edges, nothing):
     rows = substrings.repeated_passages(edges).collect()
     assert {(r.doc_id, r.start_word, r.end_word) for r in rows} == {(7, 0, 30000), (8, 0, 30000)}
