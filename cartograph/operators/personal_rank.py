@@ -10,17 +10,21 @@ starting from 1.0 at the target, for exactly ``iterations`` rounds (no convergen
 Recommendation: item nodes not seen by the target in the whole clean log (any behaviour),
 highest score first, ties by item id; items the walk never reached score 0.0.
 
-Plan. The graph (pairs, node degrees, edges) is written once to the shared checkpoint folder;
-the edge table is bucketed by its source. The rank vector holds only nodes with mass (a zero
-spreads nothing, so it stays sparse while the walk spreads). A round joins it to the edges,
-which never move - AQE broadcasts the vector where it measures it small and hashes it onto the
-buckets otherwise - and sums ``alpha * pr / deg`` by destination, partially before the shuffle.
-The plan is the same at every size.
+Plan. The graph (pairs, node degrees, lists of neighbours) is written once to the shared checkpoint
+folder; the lists are kept apart by side and bucketed by their source, so a round joins one row per
+node, not one per edge, and only lists that mass reaches are unfolded. Edges lead from one side to
+the other, so the walk's k-th power from the target is on one side only, and
+
+    pr_n = (1 - alpha) * sum of alpha^k P^k over k < n  +  alpha^n P^n
+
+needs one direction of the edges a round. The vector of a power holds only nodes with mass, is hashed
+onto the buckets, built there as a hash table (no sort of the lists), and its shares are summed by
+destination, partially before the shuffle. The plan is the same at every size.
 
 A hot node (one node may own a third of all edges) is cut into ``ceil(deg / max_fanout)``
-salted groups, so no single task walks all of its edges. The vector is written to the graph's
-folder every ``checkpoint_every`` rounds, and the vector before it is deleted: the plan stays
-small, one vector is kept, and a lost executor restarts from it instead of round 0.
+salted lists, so no single task walks all of its edges; these nodes, at most 2 * edges / max_fanout,
+are broadcast. The powers are written to the graph's folder after each round and their
+sum every ``checkpoint_every`` rounds: the plan stays small, and a lost executor restarts from there.
 
 ``build_graph`` and ``personal_rank`` run jobs while they build their DataFrames; what they
 return is valid until ``RankGraph.release``. A graph can be used for many targets.
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +44,7 @@ from cartograph.functions.numeric import significant
 from cartograph.functions.text import java_trim
 from cartograph.operators import node_ids
 from cartograph.operators.index import deep_edges
-from cartograph.operators.skew import lookup
-from cartograph.scratch import Scratch, delete_path
+from cartograph.scratch import Scratch
 
 # ---- fixed values (defaults of the original job) ----
 DEFAULT_ALPHA = 0.85
@@ -54,25 +58,35 @@ DEFAULT_CHECKPOINT_EVERY = 5
 EDGES_PER_BUCKET = 2_000_000
 SCORE_ORDER_DIGITS = 12
 
-_SRC_KEY = ["src_item", "src", "salt"]
+_SRC_KEY = ["src", "salt"]
 
 
 @dataclass
 class RankGraph:
     """Walk graph materialised for the rounds.
 
-    ``edges``: (src_item, src, salt, dst_item, dst, dst_nsalt, deg) bucketed on (src_item, src,
-    salt). ``nodes``: (is_item, node, degree, nsalt).
+    ``lists``: (src, salt, deg, dsts, src_item) in a part for each src_item, bucketed on (src, salt).
+    ``nodes``: (is_item, node, degree, nsalt). ``hot``: the nodes with more than one salt.
     """
-    edges: DataFrame
+    lists: DataFrame
     nodes: DataFrame
+    hot: DataFrame
     scratch: Scratch | None = None
     table: str | None = None
 
+    @property
+    def edges(self) -> DataFrame:
+        """(src_item, src, salt, dst_item, dst, dst_nsalt, deg), one row per edge and direction."""
+        flat = self.lists.select("src_item", "src", "salt", (~F.col("src_item")).alias("dst_item"),
+                                 F.explode("dsts").alias("dst"), "deg")
+        salts = self.hot.select(F.col("is_item").alias("dst_item"), F.col("node").alias("dst"), F.col("nsalt").alias("dst_nsalt"))
+        return flat.join(F.broadcast(salts), ["dst_item", "dst"], "left").select(
+            "src_item", "src", "salt", "dst_item", "dst", F.coalesce("dst_nsalt", F.lit(1).cast("bigint")).alias("dst_nsalt"), "deg")
+
     def release(self) -> None:
         """Drop the materialised tables and rank vectors (they live in the checkpoint folder)."""
         if self.table:
-            self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+            self.lists.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
         if self.scratch:
             self.scratch.release()
         self.table = self.scratch = None
@@ -102,7 +116,7 @@ def edge_buckets(spark, n_edges: int) -> int:
 
 def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
                 buckets: int | None = None) -> RankGraph:
-    """Node and edge tables of the walk, written once to the shared checkpoint folder.
+    """Node and list tables of the walk, written once to the shared checkpoint folder.
 
     Every row of ``item_user`` is an edge, so a repeated one weighs as often as it comes.
     Written tables also cut the lineage: a lost executor re-reads files instead of recomputing
@@ -114,41 +128,28 @@ def build_graph(item_user: DataFrame, max_fanout: int = DEFAULT_MAX_FANOUT,
     nsalt = F.greatest(F.lit(1).cast("bigint"),
                        F.ceil(F.col("degree") / F.lit(float(max_fanout))).cast("bigint"))
     scratch = Scratch(spark, "rank-graph")
-    # The pairs are written once; nodes and edges both read them back instead of recomputing
+    # The pairs are written once; nodes and lists both read them back instead of recomputing
     # the log.
     item_user = scratch.cut(item_user.select("item_id", "user_id"), "pairs")
     n_pairs = item_user.count()                   # parquet footers only
     nodes = scratch.cut(node_degrees(item_user).withColumn("nsalt", nsalt), "nodes")
-    # Both degrees join onto the undirected pairs (E rows), a hot node's in slices of the other
-    # end; an explode emits the two directions.
-    items = nodes.where(F.col("is_item")).select(
-        F.col("node").alias("item_id"), F.col("degree").alias("i_deg"),
-        F.col("nsalt").alias("i_nsalt"))
-    users = nodes.where(~F.col("is_item")).select(
-        F.col("node").alias("user_id"), F.col("degree").alias("u_deg"),
-        F.col("nsalt").alias("u_nsalt"))
-    rich = lookup(lookup(item_user, items, "item_id", "user_id"), users, "user_id", "item_id")
-
-    def direction(src_item: bool, src: str, dst: str, deg: str, s_n: str, d_n: str):
-        salt = F.when(F.col(s_n) > 1, F.pmod(F.xxhash64(dst), F.col(s_n))).otherwise(F.lit(0).cast("bigint"))
-        return F.struct(F.lit(src_item).alias("src_item"), F.col(src).alias("src"), salt.alias("salt"),
-                        F.lit(not src_item).alias("dst_item"), F.col(dst).alias("dst"),
-                        F.col(d_n).alias("dst_nsalt"), F.col(deg).cast("double").alias("deg"))
-
-    edges = rich.select(F.inline(F.array(
-        direction(True, "item_id", "user_id", "i_deg", "i_nsalt", "u_nsalt"),
-        direction(False, "user_id", "item_id", "u_deg", "u_nsalt", "i_nsalt"))))
+    hot = nodes.where("nsalt > 1")
+    # A row's number deals a hot node's edges, repeated ones too, evenly to its lists.
+    salts = F.broadcast(hot.select(F.col("is_item").alias("src_item"), F.col("node").alias("src"), "degree", "nsalt"))
+    salt = F.coalesce(F.pmod(F.xxhash64("row"), F.col("nsalt")), F.lit(0).cast("bigint"))
+    rows = item_user.withColumn("row", F.monotonically_increasing_id())
+    ends = rows.select("row", F.inline(F.array(
+        F.struct(F.lit(True).alias("src_item"), F.col("item_id").alias("src"), F.col("user_id").alias("dst")),
+        F.struct(F.lit(False).alias("src_item"), F.col("user_id").alias("src"), F.col("item_id").alias("dst")))))
     n = buckets or edge_buckets(spark, 2 * n_pairs)
+    lists = (ends.join(salts, ["src_item", "src"], "left").select("src_item", "src", salt.alias("salt"), "degree", "dst")
+             .repartition(n, *_SRC_KEY).groupBy("src_item", *_SRC_KEY)
+             .agg(F.collect_list("dst").alias("dsts"), F.first("degree").alias("degree"))
+             .select(*_SRC_KEY, F.coalesce("degree", F.size("dsts")).cast("double").alias("deg"), "dsts", "src_item"))
     table = f"rank_edges_{uuid.uuid4().hex}"
-    (edges.repartition(n, *_SRC_KEY).write.bucketBy(n, *_SRC_KEY)
-     .option("path", scratch.path("edges")).saveAsTable(table))
-    return RankGraph(spark.table(table), nodes, scratch, table)
-
-
-def _target_nsalt(graph: RankGraph, target: int) -> int:
-    row = (graph.nodes.where(~F.col("is_item") & (F.col("node") == F.lit(target)))
-           .select("nsalt").limit(1).collect())
-    return int(row[0]["nsalt"]) if row else 1
+    (lists.write.partitionBy("src_item").bucketBy(n, *_SRC_KEY)
+     .option("path", scratch.path("lists")).saveAsTable(table))
+    return RankGraph(spark.table(table), nodes, hot, scratch, table)
 
 
 def _restart(spark, target: int, nsalt: int, mass: float) -> DataFrame:
@@ -159,40 +160,58 @@ def _restart(spark, target: int, nsalt: int, mass: float) -> DataFrame:
                                           F.lit(float(mass)).alias("pr"))
 
 
+def _shares(pr: DataFrame, graph: RankGraph, alpha: float, item: bool | None = None) -> DataFrame:
+    """(is_item, node, pr): what the mass (is_item, node, pr) hands on along every edge.
+
+    Where all mass is on one side, ``item`` names it, and only its lists are read.
+    """
+    hot = F.broadcast(graph.hot.select("is_item", "node", "nsalt"))
+    # The rank row of a hot node is repeated once per salt and meets that salt's list.
+    last = F.coalesce(F.col("nsalt"), F.lit(1).cast("bigint")) - 1
+    mass = (pr.select("is_item", "node", "pr").where(F.col("pr") != 0).join(hot, ["is_item", "node"], "left")
+            .select("is_item", F.col("node").alias("src"), "pr",
+                    F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("salt")))
+    lists = graph.lists if item is None else graph.lists.where(F.col("src_item") == F.lit(item))
+    # Not an equality, so that the join keys are the bucket's.
+    own = F.when(F.col("src_item"), F.col("is_item")).otherwise(~F.col("is_item"))
+    return lists.join(mass.hint("shuffle_hash"), _SRC_KEY).where(own).select(
+        (~F.col("src_item")).alias("is_item"), F.explode("dsts").alias("node"),
+        (F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
+
+
+def _with_salts(pr: DataFrame, graph: RankGraph) -> DataFrame:
+    """(is_item, node, nsalt, pr) of (is_item, node, pr)."""
+    hot = F.broadcast(graph.hot.select("is_item", "node", "nsalt"))
+    return pr.join(hot, ["is_item", "node"], "left").select(
+        "is_item", "node", F.coalesce("nsalt", F.lit(1).cast("bigint")).alias("nsalt"), "pr")
+
+
 def rank_step(pr: DataFrame, graph: RankGraph, target: int, target_nsalt: int = 1,
               alpha: float = DEFAULT_ALPHA) -> DataFrame:
     """One round: (is_item, node, nsalt, pr) -> the same for the next round."""
-    restart = _restart(pr.sparkSession, target, target_nsalt, 1.0 - alpha)
-    # The rank row of a hot node is repeated once per salt and meets that salt's edges.
-    spread = pr.where(F.col("pr") != 0).select(
-        F.col("is_item").alias("src_item"), F.col("node").alias("src"), F.col("pr"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nsalt") - 1)).alias("salt"))
-    share = graph.edges.join(spread, _SRC_KEY).select(
-        F.col("dst_item").alias("is_item"), F.col("dst").alias("node"),
-        F.col("dst_nsalt").alias("nsalt"),
-        (F.lit(alpha) * (F.col("pr") / F.col("deg"))).alias("pr"))
-    return (share.unionByName(restart).groupBy("is_item", "node", "nsalt")
-            .agg(F.sum("pr").alias("pr")))
+    restart = _restart(pr.sparkSession, target, target_nsalt, 1.0 - alpha).drop("nsalt")
+    return _with_salts(_total([_shares(pr, graph, alpha), restart]), graph)
+
+
+def _total(parts: list[DataFrame]) -> DataFrame:
+    """(is_item, node, pr): the sum of vectors."""
+    return reduce(DataFrame.unionByName, parts).groupBy("is_item", "node").agg(F.sum("pr").alias("pr"))
 
 
 def personal_rank(graph: RankGraph, target: int, iterations: int = DEFAULT_ITERATIONS,
                   alpha: float = DEFAULT_ALPHA,
                   checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
     """(is_item, node, nsalt, pr) after ``iterations`` rounds; nodes without mass are absent."""
-    spark = graph.edges.sparkSession
-    tn = _target_nsalt(graph, target)
-    pr = _restart(spark, target, tn, 1.0)
-    last = None
+    spark = graph.lists.sparkSession
+    power = _restart(spark, target, 1, 1.0).select("is_item", "node", "pr")
+    total = power.withColumn("pr", F.col("pr") * (1.0 - alpha if iterations else 1.0))
+    parts = [total]
     for i in range(1, iterations + 1):
-        pr = rank_step(pr, graph, target, tn, alpha)
+        power = graph.scratch.cut(_total([_shares(power, graph, alpha, item=i % 2 == 0)]), f"power-{i}")
+        parts.append(power.withColumn("pr", F.col("pr") * F.lit(1.0 - alpha if i < iterations else 1.0)))
         if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
-            path = graph.scratch.path(f"rank-{i}")
-            pr.write.parquet(path)
-            pr = spark.read.schema(pr.schema).parquet(path)
-            if last:
-                delete_path(spark, last)
-            last = path
-    return pr
+            parts = [graph.scratch.cut(_total(parts), f"total-{i}")]
+    return _with_salts(_total(parts), graph)
 
 
 def node_scores(graph: RankGraph, pr: DataFrame) -> DataFrame:

@@ -40,6 +40,21 @@ def test_rank_round_keeps_edges_in_place(worked_clean):
     g.release()
 
 
+def test_rank_round_has_a_row_per_node(worked_clean):
+    """A round joins one list per node, not one row per edge, and sorts none of them."""
+    spark = worked_clean.sparkSession
+    g = prk.build_graph(deep_edges(worked_clean))
+    assert g.lists.count() == g.nodes.count() < g.edges.count()
+    first = prk.rank_step(prk._restart(spark, 3, 1, 1.0), g, 3).checkpoint(eager=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(prk.rank_step(first, g, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "Bucketed: true" in plan
+    g.release()
+
+
 def test_one_split_per_line(spark, worked_lines):
     plan = clean_text(worked_lines)._jdf.queryExecution().optimizedPlan().toString()
     # one for each delimiter of the single choice
