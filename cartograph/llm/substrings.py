@@ -29,7 +29,6 @@ passages repeated only inside one text are not reported; other columns are ignor
 
 from __future__ import annotations
 
-import gc
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -69,7 +68,7 @@ def compact_windows(values: np.ndarray, off: np.ndarray, least: int = LEAST) ->
 
     A node has such a subtree exactly if it is the (leftmost) minimum of some `least` neighbouring
     values; these minima are found for all rows together, and as all ancestors of a node are among
-    them, a stack over them gives the subtrees.
+    them, a subtree ends before the next smaller one of them on either side.
     """
     n = len(values)
     if n < least:
@@ -84,28 +83,57 @@ def compact_windows(values: np.ndarray, off: np.ndarray, least: int = LEAST) ->
     at = (low & _U(0xFFFFFFFF)).astype(np.int64)  # the minimum of the values from each place on
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
     at = at[row[:len(at)] == row[least - 1:]]
-    at = np.unique(at)
     if not len(at):
         return tuple(np.zeros(0, np.int64) for _ in range(4))
-    value, rows = packed[at].tolist(), row[at]
-    left, right = off[rows].tolist(), (off[rows + 1] - 1).tolist()
-    stack: list[int] = []
-    last = -1
-    for i, (c, r) in enumerate(zip(at.tolist(), rows.tolist(), strict=True)):
-        if r != last:
-            stack, last = [], r
-        while stack and value[stack[-1]] > value[i]:
-            right[stack.pop()] = c - 1
-        if stack:
-            left[i] = int(at[stack[-1]]) + 1
-        stack.append(i)
-    base = off[rows]
-    return rows, np.array(left) - base, at - base, np.array(right) - base
+    at = at[np.r_[True, at[1:] != at[:-1]]]  # they are in order
+    rows = row[at]
+    left, right = _smaller(packed[at], rows, -1), _smaller(packed[at], rows, 1)
+    base, place = off[rows], np.r_[at, -1]
+    return (rows, np.where(left < 0, 0, place[left] + 1 - base), at - base,
+            np.where(right < 0, off[rows + 1] - 1, place[right] - 1) - base)
+
+
+def _smaller(value: np.ndarray, row: np.ndarray, step: int) -> np.ndarray:
+    """The next place before (step -1) or after (1) each value with a smaller one in its row, or -1.
+
+    All between a place and where it points are greater; it goes on from a greater one to where that
+    points, which doubles the way.
+    """
+    n = len(value)
+    value = np.r_[value, _U(0)]
+    to = np.arange(n + 1) + step
+    to[n] = -1
+    row = np.r_[row, -1]
+    to[:n][row[to[:n]] != row[:n]] = -1
+    on = np.arange(n)
+    while len(on):
+        on = on[value[to[on]] > value[on]]  # at -1 the value is 0
+        to[on] = to[to[on]]
+    return to[:n]
 
 
 ANCHOR = 7  # function, then c, l, r of the text and of its match
-#: A window: its places as c << 32 | r and f << 32 | l. A link: hub as the second of these, and anchors.
-PLACED = "key long, nid long, place long, other long, anchors binary"
+#: The windows of a batch for one part of the values, or (with nid) a link and its anchors.
+PLACED = "part int, nid long, hub long, data binary"
+
+
+def _packed(key: np.ndarray, nid: np.ndarray, where: np.ndarray) -> bytes:
+    """Windows in one value, column by column; f, c, l and r by bytes of equal weight, for the shuffle's
+    compression."""
+    places = np.ascontiguousarray(where.T, "<i4").view(np.uint8).reshape(4, len(key), 4)
+    return key.tobytes() + nid.tobytes() + places.transpose(0, 2, 1).tobytes()
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(data) // 32
+    places = np.frombuffer(data, np.uint8, offset=16 * n).reshape(4, 4, n).transpose(0, 2, 1)
+    return (np.frombuffer(data, np.int64, n), np.frombuffer(data, np.int64, n, 8 * n),
+            np.ascontiguousarray(places).view("<i4").reshape(4, n).T.astype(np.int64))
+
+
+def _parts(df: DataFrame) -> int:
+    """Parts that window values are dealt in."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _edges(nid: np.ndarray, hub: np.ndarray, anchors: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
@@ -147,8 +175,10 @@ def _stars(key: np.ndarray, nid: np.ndarray, where: np.ndarray) -> tuple[np.ndar
 
 
 def placed_windows(docs: DataFrame) -> DataFrame:
-    """Windows (key .. r) of the first text of each batch that has them, and links (nid, hub, anchors)
-    of the batch's other texts to it."""
+    """Windows of the first text of each batch that has them, and links (nid, hub, anchors) of the
+    batch's other texts to it."""
+    parts = _parts(docs)
+
     def step(b: pa.RecordBatch) -> pa.RecordBatch:
         nid = b.column("nid").to_numpy()
         data, off = common.utf8(b.column("text"))
@@ -174,7 +204,7 @@ def placed_windows(docs: DataFrame) -> DataFrame:
                 found.append((key, nid[x + row], np.stack([np.full(len(row), f), c, left, right], 1)))
         key, who, where = (np.concatenate(z) if z else np.zeros((0, 4) if k == 2 else 0, np.int64)
                            for k, z in enumerate(zip(*found) if found else ([], [], [])))
-        return _reduced(key, who, where, copies, True)
+        return _reduced(key, who, where, copies, True, parts)
     return common.map_arrow(docs.select("nid", "text"), lambda: step, PLACED)
 
 
@@ -188,7 +218,8 @@ def _hot(nid: np.ndarray, c: np.ndarray) -> list[tuple[int, int, bytes]]:
     return [(int(nid[a]), int(nid[a]), c[a:b].tobytes()) for a, b in zip(new, [*new[1:], len(nid)], strict=True)]
 
 
-def _reduced(key: np.ndarray, who: np.ndarray, where: np.ndarray, copies: list, crowds: bool) -> pa.RecordBatch:
+def _reduced(key: np.ndarray, who: np.ndarray, where: np.ndarray, copies: list, crowds: bool,
+             parts: int) -> pa.RecordBatch:
     """The first row of each value in a batch, and links of the others to it.
 
     With crowds, the windows of values with several rows are marked, and their places are told.
@@ -197,75 +228,95 @@ def _reduced(key: np.ndarray, who: np.ndarray, where: np.ndarray, copies: list,
     links = list(_edges(np.r_[a, np.array([z[0] for z in copies], np.int64)],
                         np.r_[hub, np.array([z[1] for z in copies], np.int64)],
                         np.concatenate([anchors, np.array([z[2] for z in copies], np.int64).reshape(-1, ANCHOR)])))
-    first = first[np.lexsort((where[first, 1], who[first]))]  # rows of a text side by side: smaller shuffle files
+    part = (key.view(_U) % _U(parts)).astype(np.int32)
+    first = first[np.lexsort((where[first, 1], who[first], part[first]))]
     w = where[first].copy()
     if crowds and len(key):
         _, group, n = np.unique(key, return_inverse=True, return_counts=True)
         crowd = n[group] > 1
         links += _hot(who[crowd], where[crowd, 1])
         w[:, 0] |= CROWDED * crowd[first]
-    ids = np.array([z[0] for z in links], np.int64)
-    columns = [np.r_[key[first], ids],  # links go anywhere
-               np.r_[who[first], ids], np.r_[w[:, 1] << 32 | w[:, 3], np.zeros(len(ids), np.int64)],
-               np.r_[w[:, 0] << 32 | w[:, 2], np.array([z[1] for z in links], np.int64)]]
-    anchors = pa.array([None] * len(first) + [z[2] for z in links], pa.binary())
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns), anchors], [x.split()[0] for x in PLACED.split(", ")])
-
-
-def _around(c: np.ndarray, before: int, after: int, n: int) -> np.ndarray:
-    """Places under n from `before` before to `after` after one of c."""
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, np.clip(c - before, 0, n), 1)
-    np.subtract.at(edge, np.clip(c + after + 1, 0, n), 1)
-    return np.flatnonzero(np.cumsum(edge)[:n] > 0)
+    key, who, part = key[first], who[first], part[first]
+    new = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(key) else []
+    data = [_packed(key[a:b], who[a:b], w[a:b]) for a, b in zip(new, [*new[1:], len(key)], strict=True)]
+    ids, none = np.array([z[0] for z in links], np.int64), [None] * len(data)
+    columns = [pa.array(np.r_[part[new], ids % parts].astype(np.int32) if len(data) else (ids % parts).astype(np.int32)),
+               pa.array([*none, *ids], pa.int64()), pa.array([*none, *(z[1] for z in links)], pa.int64()),
+               pa.array(data + [z[2] for z in links], pa.binary())]  # links go anywhere
+    return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in PLACED.split(", ")])
+
+
+def _around(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
+    """Places under n that are in one of the ranges."""
+    some = low < high
+    edge = np.bincount(low[some], minlength=n + 1) - np.bincount(high[some], minlength=n + 1)
+    return np.flatnonzero(np.cumsum(edge)[:n])
+
+
+def earlier(values: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
+    """The place of each value's last equal before it (in its row), or -1."""
+    order = np.argsort(values, kind="stable") if row is None else np.lexsort((values, row))
+    same = values[order[1:]] == values[order[:-1]]
+    if row is not None:
+        same &= row[order[1:]] == row[order[:-1]]
+    out = np.full(len(values), -1)
+    out[order[1:][same]] = order[:-1][same]
+    return out
 
 
-def blocks(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, where): runs and some single shingles of a text around some places.
+def blocks(x: np.ndarray, off: np.ndarray, row: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, row, where): runs and some single shingles of texts around some places c of their rows.
 
     Of the runs in every block of 50 words around a place, the one of least hash. A run with a
     shingle twice may have too few different ones for a passage, so there whole blocks are taken, too.
     """
-    n = len(x) - LEAST + 1
-    at = _around(c, LEAST - 1, 0, n)
-    up, down = common._powers(len(x))
-    total = np.r_[_U(0), np.cumsum(x * up[:len(x)], dtype=_U)]
-    run = common.mix((total[GRAM:] - total[:-GRAM]) * down[:len(x) - GRAM + 1] + _U(BLOCK))
-    least = np.unique(at + np.lib.stride_tricks.sliding_window_view(run, LEAST - GRAM + 1)[at].argmin(1))
-    order = np.argsort(x, kind="stable")
-    same = x[order[1:]] == x[order[:-1]]
-    before = np.full(len(x), -1)
-    before[order[1:][same]] = order[:-1][same]
-    again = at[np.maximum.accumulate(before)[at + LEAST - 1] >= at]
+    n, of = len(x), np.repeat(np.arange(len(off) - 1), np.diff(off))
+    first, end = off[row], off[row + 1]
+    c = c + first
+    at = _around(np.maximum(c - LEAST + 1, first), np.minimum(c, end - LEAST) + 1, n)
+    up, down = common._powers(n)
+    total = np.r_[_U(0), np.cumsum(x * up[:n], dtype=_U)]
+    run = common.mix((total[GRAM:] - total[:-GRAM]) * down[:max(0, n - GRAM + 1)] + _U(BLOCK))
+    least = among(at + run[at[:, None] + np.arange(LEAST - GRAM + 1)].argmin(1), n).nonzero()[0]
+    again = at[np.maximum.accumulate(earlier(x, of))[at + LEAST - 1] >= at]
     whole = common.mix((total[again + LEAST] - total[again]) * down[again] + _U(LEAST))
-    near = _around(c, LEAST - 1, LEAST - 1, len(x))
+    near = _around(np.maximum(c - LEAST + 1, first), np.minimum(c + LEAST, end), n)
     single = common.mix(x + _U(SINGLE))
-    some = among(np.arange(len(x) - SPARSE + 1) + np.lib.stride_tricks.sliding_window_view(single, SPARSE).argmin(1), len(x))
+    start = np.arange(max(0, n - SPARSE + 1))
+    start = start[of[start] == of[start + SPARSE - 1]]
+    some = among(start + single[start[:, None] + np.arange(SPARSE)].argmin(1), n)
     near = near[some[near]]
     where = [np.stack([np.full(len(p), BLOCK), p, p, p + k - 1], 1) for p, k in ((least, GRAM), (again, LEAST))]
-    where.append(np.stack([np.full(len(near), SINGLE), near, np.maximum(near - LEAST + 1, 0),
-                           np.minimum(near + LEAST, len(x)) - 1], 1))
-    return np.concatenate([run[least], whole, single[near]]).view(np.int64), np.concatenate(where)
+    first, end = off[of[near]], off[of[near] + 1]
+    where.append(np.stack([np.full(len(near), SINGLE), near, np.maximum(near - LEAST + 1, first),
+                           np.minimum(near + LEAST, end) - 1], 1))
+    where, row = np.concatenate(where), of[np.concatenate([least, again, near])]
+    where[:, 1:] -= off[row, None]
+    return np.concatenate([run[least], whole, single[near]]).view(np.int64), row, where
 
 
 def placed_blocks(hot: DataFrame) -> DataFrame:
     """Runs and shingles of the texts (nid, body, places) around the places, as windows."""
+    parts = _parts(hot)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
         for b in batches:
-            nid, places = b.column("nid").to_pylist(), b.column("places").to_pylist()
-            bodies = pa.array(map(zlib.decompress, b.column("body").to_pylist()), pa.binary())
-            for i, x in common.shingled(bodies, SHINGLE):
-                if len(x) < LEAST:
-                    continue
-                key, where = blocks(x, np.unique(np.frombuffer(b"".join(places[i]), "<i4")).astype(np.int64))
-                found.append((key, np.full(len(key), nid[i]), where))
+            nid = b.column("nid").to_numpy()
+            places = [np.unique(np.frombuffer(b"".join(x), "<i4")).astype(np.int64) for x in b.column("places").to_pylist()]
+            data, off = common.utf8(pa.array(map(zlib.decompress, b.column("body").to_pylist()), pa.binary()))
+            for x, y in common.chunks(off):
+                h, woff = common.word_hashes(data[off[x]:off[y]], off[x:y + 1] - off[x], common.SPACE_WORDS)
+                shingles, soff = common.shingle_hashes(h, woff, SHINGLE)
+                row = np.repeat(np.arange(y - x), [len(p) for p in places[x:y]])
+                key, row, where = blocks(shingles, soff, row, np.concatenate(places[x:y]))
+                found.append((key, nid[x + row], where))
                 size += len(key)
                 if size >= PLACED_ROWS:
-                    yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False)
+                    yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False, parts)
                     found, size = [], 0
         if found:
-            yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False)
+            yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False, parts)
     return hot.mapInArrow(run, PLACED)
 
 
@@ -278,15 +329,13 @@ def linked(placed: DataFrame) -> DataFrame:
         key, nid, where = [], [], []
         names = ["nid", "hub", "anchors"]
         for b in batches:
-            link = b.column("anchors").is_valid()
+            link = b.column("nid").is_valid()
             some = b.filter(link)
             if some.num_rows:
-                yield pa.RecordBatch.from_arrays([some.column(x) for x in ("nid", "other", "anchors")], names)
-            rest = b.filter(pa.compute.invert(link))
-            place, other = rest.column("place").to_numpy(), rest.column("other").to_numpy()
-            key.append(rest.column("key").to_numpy().copy())
-            nid.append(rest.column("nid").to_numpy().copy())
-            where.append(np.stack([other >> 32, place >> 32, other & 0xFFFFFFFF, place & 0xFFFFFFFF], 1))
+                yield pa.RecordBatch.from_arrays([some.column(x) for x in ("nid", "hub", "data")], names)
+            for data in b.column("data").filter(pa.compute.invert(link)).to_pylist():
+                for out, x in zip((key, nid, where), _unpacked(data), strict=True):
+                    out.append(x)
         if key:
             key, nid, where = map(np.concatenate, (key, nid, where))
             marked = where[:, 0] & CROWDED > 0
@@ -301,7 +350,7 @@ def linked(placed: DataFrame) -> DataFrame:
                 part = zip(*found[i:i + common.BATCH_ROWS])
                 types = (pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, types, strict=True)], names)
-    return placed.repartition("key").mapInArrow(run, "nid long, hub long, anchors binary")
+    return placed.repartitionById(_parts(placed), "part").mapInArrow(run, "nid long, hub long, anchors binary")
 
 
 def densest(match: np.ndarray) -> tuple[int, int, int]:
@@ -340,10 +389,16 @@ def candidate_ranges(links: DataFrame) -> DataFrame:
     before any text is moved."""
     def step(b: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for nid, hub, parts in zip(*(b.column(c).to_pylist() for c in ("nid", "hub", "anchors")), strict=True):
-            found = joined_windows(np.frombuffer(b"".join(parts), "<i4").reshape(-1, ANCHOR))
+        nid, hub, parts = (b.column(c).to_pylist() for c in ("nid", "hub", "anchors"))
+        parts = [b"".join(x) for x in parts]
+        pair = np.repeat(np.arange(len(parts)), [len(x) // (4 * ANCHOR) for x in parts])
+        anchors = np.frombuffer(b"".join(parts), "<i4").reshape(-1, ANCHOR).astype(np.int64)
+        for i, _, part in _edges(pair, pair, anchors):  # lines of single shingles from all batches and tasks
+            if len(part) == 4 * ANCHOR and part[0] not in (BLOCK, LINE):
+                continue
+            found = joined_windows(np.frombuffer(part, "<i4").reshape(-1, ANCHOR))
             if found:
-                rows.append((nid, hub, np.array(found, "<i4").tobytes()))
+                rows.append((nid[i], hub[i], np.array(found, "<i4").tobytes()))
         types = (pa.int64(), pa.int64(), pa.binary())
         columns = zip(*rows) if rows else [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
@@ -415,7 +470,9 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
 
     A range goes from the start of a piece to the end of a piece. Where the pieces are in order in
     both texts and no shingle comes twice, its counterpart has the same pieces; otherwise it is the
-    best one in y, and the best sum of a range that fails bounds that of its parts.
+    best one in y, and the best sum of a range that fails bounds that of its parts. Where x repeats
+    shingles, ranges count by their different ones: too many that y lacks, more than that bound, or
+    just those of a range that failed cannot be similar (one that is widened is always tried).
     """
     a, b = x[l1:r1], y[l2:r2]
     hits, first, last, at, once = pieces(a, b, n)
@@ -428,36 +485,66 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
     ordered = distinct and once and bool((np.diff(at) > 0).all())
     start, end = at - (last - first) + 1, at + 1  # of the pieces in b
     good = np.r_[0, np.cumsum(hits)]
-    bad = np.r_[0, np.cumsum(~hits & new)]  # another shingle counts once
+    if ordered:  # a range has matches enough if it gains: from its start to its end this doesn't fall
+        gain = [(NUMERATOR + DENOMINATOR) * good[p] - NUMERATOR * (p + q) for p, q in ((first, start), (last, end))]
+    else:  # another shingle counts once
+        bad = np.r_[0, np.cumsum(~hits & new)]
+        gain = [good[p] - NUMERATOR * bad[p] for p in (first, last)]
     taken = [(s - l1, e - l1) for s, e in taken]
     out: list[tuple[int, int, int, int, float]] = []
     failed: list[tuple[int, int, int]] = []
-    heap: list[tuple[int, int, int]] = []
+    heap: list[tuple[int, int, int, int]] = []
+    if not distinct:
+        prior = earlier(a)
+        wide = y[max(l2 - LEAST, 0):r2 + LEAST]  # with all that a counterpart can be widened by
+        near, weight = among(wide, n)[a], np.where(earlier(wide) < 0, -NUMERATOR, 0)
+        code, lost = common.mix(np.arange(n, dtype=_U) + _U(1)), set()
 
     def push(i: int, below: int, most: int | None = None) -> None:
         """The longest range from piece i that ends before piece `below` and has matches enough."""
-        ends, s = last[i:below], first[i]
-        shared = good[ends] - good[s]
-        if ordered:
-            ok = shared * DENOMINATOR >= (ends - s + end[i:below] - start[i] - shared) * NUMERATOR
-        else:
-            ok = shared >= NUMERATOR * (bad[ends] - bad[s])
+        s = int(first[i])
+        found = int(long[i]) + np.flatnonzero(gain[1][long[i]:below] >= gain[0][i])
+        size = length = last[found] - s
+        if distinct:
             if most is not None:
-                ok &= (ends - s) * NUMERATOR <= most
-        found = np.flatnonzero(ok & (ends - s >= CORE))
+                found = found[length * NUMERATOR <= most]
+        elif len(found):
+            fresh = prior[s:s + length[-1]] < s
+            size = np.cumsum(fresh)[length - 1]
+            fit = np.cumsum(fresh & near[s:s + length[-1]])[length - 1] * DENOMINATOR >= size * NUMERATOR
+            if most is not None:
+                fit &= size * NUMERATOR <= most
+            fit |= length < LEAST
+            found, size = found[fit], size[fit]
         if len(found):
-            heapq.heappush(heap, (int(s - ends[found[-1]]), i, i + int(found[-1])))
-    for i in range(len(first)):
+            heapq.heappush(heap, (int(s - last[found[-1]]), i, int(found[-1]), int(size[len(found) - 1])))
+    long = np.searchsorted(last, first + CORE)  # the first piece that ends a range from here
+    best = np.r_[np.maximum.accumulate(gain[1][::-1])[::-1], np.iinfo(np.int64).min]
+    for i in np.flatnonzero(best[long] >= gain[0]).tolist():
         push(i, len(last))
     while heap:
-        _, i, j = heapq.heappop(heap)
+        _, i, j, size = heapq.heappop(heap)
         s, e = int(first[i]), int(last[j])
+        counted = not distinct and e - s >= LEAST
         if any(p <= s < q for p, q in taken):
             continue
         if any(p < e and s < q for p, q in taken) or any(
-                p <= s and e <= q and (e - s) * NUMERATOR > most for p, q, most in failed[-64:]):
+                p <= s and e <= q and size * NUMERATOR > most for p, q, most in failed[-64:] if distinct or counted):
             push(i, j)
             continue
+        if counted:
+            here = a[s:e][prior[s:e] < s]
+            some = int(code[here].sum())
+            fewer = (size - 1) * NUMERATOR
+            if some in lost:
+                push(i, j, fewer)
+                continue
+            total = np.r_[0, np.cumsum(np.where(among(here, n)[wide], DENOMINATOR, weight))]
+            bound = int((total - np.minimum.accumulate(total)).max())
+            if size * NUMERATOR > bound:
+                failed.append((s, e, bound))
+                push(i, j, min(bound, fewer))
+                continue
         most = None
         if ordered:
             tries = [(int(start[i]), int(end[j]))]
@@ -478,6 +565,9 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
             if most is not None and distinct:
                 failed.append((s, e, most))
                 push(i, j, most)
+            elif counted:
+                lost.add(some)
+                push(i, j, fewer)
             else:
                 push(i, j)
     return out
@@ -515,11 +605,13 @@ RESULT = ("doc_id long, start_word int, end_word int, match_doc_id long, match_s
 
 def _verify(b: pa.RecordBatch) -> pa.RecordBatch:
     rows = []
-    left, right = (dict(common.shingled(pa.array(map(zlib.decompress, b.column(c).to_pylist()), pa.binary()), SHINGLE))
-                   for c in ("body", "hub_body"))
+    left, right = (b.column(c).to_pylist() for c in ("body", "hub_body"))
+    once = dict.fromkeys(left + right)  # a text is in many pairs
+    texts = common.shingled(pa.array(map(zlib.decompress, once), pa.binary()), SHINGLE)
+    once = {body: x for body, (_, x) in zip(once, texts, strict=True)}
     ids, hubs = b.column("doc_id").to_pylist(), b.column("hub_id").to_pylist()
     for i, ranges in enumerate(b.column("ranges").to_pylist()):
-        for s, e, u, v, j in passages(left[i], right[i], np.frombuffer(ranges, "<i4").reshape(-1, 4).tolist()):
+        for s, e, u, v, j in passages(once[left[i]], once[right[i]], np.frombuffer(ranges, "<i4").reshape(-1, 4).tolist()):
             rows += [(ids[i], s, e, hubs[i], u, v, j), (hubs[i], u, v, ids[i], s, e, j)]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
     columns = zip(*rows) if rows else [[]] * len(types)
@@ -536,14 +628,23 @@ def bodies(texts: DataFrame) -> DataFrame:
         .groupBy("nid").agg(F.first("doc_id").alias("doc_id"), F.first("body").alias("body"))
 
 
+#: Removes a query's shuffle files at its end.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint; then the driver's garbage is collected, so that the shuffle files of what
-    went before are removed as soon as nothing needs them."""
-    out = common.cut(df)
-    del df
-    gc.collect()
-    out.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    """Reliable checkpoint; the shuffle files of what went before are removed with its end, not when
+    the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, None)
+    conf.set(_CLEAN, "true")
+    try:
+        return common.cut(df.select("*"))  # planned anew, with the setting
+    finally:
+        if before is None:
+            conf.unset(_CLEAN)
+        else:
+            conf.set(_CLEAN, before)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
