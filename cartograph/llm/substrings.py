@@ -580,25 +580,79 @@ def passages(x: np.ndarray, y: np.ndarray, ranges: list[list[int]]) -> list[tupl
     Each range is tried as a whole first, then in parts: those of x and, for what is left of y (it
     may repeat a passage), those of y.
     """
-    out = []
-    values, number = np.unique(np.concatenate([x, y]), return_inverse=True)
-    n, x, y = len(values), number[:len(x)], number[len(x):]
-    for l1, r1, l2, r2 in ranges:
-        r1, r2 = r1 + 1, r2 + 1
-        both = among(x[l1:r1], n) & among(y[l2:r2], n)
-        p, q = np.flatnonzero(both[x[l1:r1]]), np.flatnonzero(both[y[l2:r2]])
-        if len(p) < 2 or p[-1] - p[0] + 1 < CORE and q[-1] - q[0] + 1 < CORE:
-            continue
-        whole = similar(x, y, n, l1 + int(p[0]), l1 + int(p[-1]) + 1, l2 + int(q[0]), l2 + int(q[-1]) + 1)
-        if whole:
-            out.append(grown(x, y, n, *whole))
-            continue
-        found = search(x, y, n, l1, r1, l2, r2, [])
-        back = search(y, x, n, l2, r2, l1, r1, [z[2:4] for z in found])
-        out += [grown(x, y, n, *z) for z in found + [(s, e, u, v, j) for u, v, s, e, j in back]]
+    n, x, y = numbered(x, y)
+    out = [grown(x, y, n, *z) for r in ranges for z in verified(x, y, n, *r)]
     return sorted({(s, e + SHINGLE - 1, u, v + SHINGLE - 1, j) for s, e, u, v, j in out})
 
 
+def numbered(x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of different values of both, and both with these numbered."""
+    values, number = np.unique(np.concatenate([x, y]), return_inverse=True)
+    return len(values), number[:len(x)], number[len(x):]
+
+
+def verified(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2: int,
+             one: bool = False) -> list[tuple[int, int, int, int, float]]:
+    """The similar ranges in x[l1:r1 + 1] and y[l2:r2 + 1]; with `one`, those of x will do."""
+    r1, r2 = r1 + 1, r2 + 1
+    both = among(x[l1:r1], n) & among(y[l2:r2], n)
+    p, q = np.flatnonzero(both[x[l1:r1]]), np.flatnonzero(both[y[l2:r2]])
+    if len(p) < 2 or p[-1] - p[0] + 1 < CORE and q[-1] - q[0] + 1 < CORE:
+        return []
+    whole = similar(x, y, n, l1 + int(p[0]), l1 + int(p[-1]) + 1, l2 + int(q[0]), l2 + int(q[-1]) + 1)
+    if whole:
+        return [whole]
+    found = search(x, y, n, l1, r1, l2, r2, [])
+    if one and found:
+        return found
+    back = search(y, x, n, l2, r2, l1, r1, [z[2:4] for z in found])
+    return found + [(s, e, u, v, j) for u, v, s, e, j in back]
+
+
+def _words(body: bytes, ranges: np.ndarray) -> tuple[int, bytes]:
+    """The first word, and the words that ranges (first and last shingle) and what they can be widened by have."""
+    first = max(0, int(ranges[:, 0].min()) - LEAST)
+    return first, b" ".join(zlib.decompress(body).split()[first:int(ranges[:, 1].max()) + LEAST + SHINGLE])
+
+
+def _sliced(b: pa.RecordBatch) -> pa.RecordBatch:
+    ranges = b.column("ranges").to_pylist()
+    found = [_words(x, np.frombuffer(r, "<i4").reshape(-1, 4)[:, :2])
+             for x, r in zip(b.column("body").to_pylist(), ranges, strict=True)]
+    first, words = zip(*found, strict=True)
+    columns = [b.column("nid"), b.column("hub"), b.column("ranges"), pa.array(first, pa.int32()),
+               pa.array([zlib.compress(x, 1) for x in words], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["nid", "hub", "ranges", "first", "words"])
+
+
+def _tried(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The ranges that have a passage; pairs without one end here."""
+    ranges = [np.frombuffer(r, "<i4").reshape(-1, 4) for r in b.column("ranges").to_pylist()]
+    found = [_words(x, r[:, 2:]) for x, r in zip(b.column("hub_body").to_pylist(), ranges, strict=True)]
+    first = np.stack([b.column("first").to_numpy(), [k for k, _ in found]], 1)
+    left, right = ([x for _, x in common.shingled(pa.array(z, pa.binary()), SHINGLE)] for z in (
+        map(zlib.decompress, b.column("words").to_pylist()), (z for _, z in found)))
+    keep, kept = [], []
+    for i, r in enumerate(ranges):
+        n, x, y = numbered(left[i], right[i])
+        moved = (r - np.repeat(first[i], 2)).tolist()
+        r = r[[bool(verified(x, y, n, *z, one=True)) for z in moved]]
+        if len(r):
+            keep.append(i)
+            kept.append(r.tobytes())
+    b = b.select(["nid", "hub"]).take(pa.array(keep, pa.int64()))
+    return pa.RecordBatch.from_arrays([*b.columns, pa.array(kept, pa.binary())], ["nid", "hub", "ranges"])
+
+
+def tried(pairs: DataFrame, body: DataFrame) -> DataFrame:
+    """The pairs and ranges that have a passage. Only the words of the ranges are moved; what a
+    passage can grow by is left to the pairs that have one."""
+    slices = common.map_arrow(pairs.join(body.select("nid", "body"), "nid"), lambda: _sliced,
+                              RANGES + ", first int, words binary")
+    both = slices.join(body.select(F.col("nid").alias("hub"), F.col("body").alias("hub_body")), "hub")
+    return common.map_arrow(both, lambda: _tried, RANGES)
+
+
 RESULT = ("doc_id long, start_word int, end_word int, match_doc_id long, match_start_word int, "
           "match_end_word int, similarity double")
 
@@ -661,6 +715,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     del blocks, crowds
     pairs = _cut(pairs)
     body = bodies(texts)  # one shuffle for both sides
+    pairs = _cut(tried(pairs, body))
     both = pairs.join(body, "nid").join(body.toDF("hub", "hub_id", "hub_body"), "hub")
     return common.map_arrow(both.select("doc_id", "body", "hub_id", "hub_body", "ranges"), lambda: _verify, RESULT) \
         .distinct()
