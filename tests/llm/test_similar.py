@@ -1,6 +1,7 @@
 """The n-gram join and repeated passages, against brute force."""
 import random
 import re
+import time
 from itertools import combinations
 from math import comb
 
@@ -281,6 +282,49 @@ def test_near_copies_with_a_common_sentence(spark):
     assert {(r.doc_id, r.match_doc_id) for r in rows} >= {(1000 + k, 2000 + k) for k in range(100)}
 
 
+def test_cuts_leave_no_shuffle_files(spark):
+    """Whatever is cut later must not lie on disk beside what it was made of."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in map(str, disk.getAllFiles().mkString("\n").split("\n")) if "/shuffle_" in x}
+    before = shuffled()
+    df = spark.range(20_000).selectExpr("id", "xxhash64(id) AS k").repartition(4, "k")
+    out = substrings._cut(df.mapInArrow(lambda batches: batches, "id long, k long"))
+    end = time.time() + 10
+    while not shuffled() <= before and time.time() < end:  # removed in the background
+        time.sleep(0.2)
+    assert shuffled() <= before and out.count() == 20_000
+
+
+def test_lines_of_single_shingles_from_several_tasks(spark):
+    """Two shingles on one line are a candidate wherever their links were made."""
+    anchor = lambda c, d: np.array([substrings.SINGLE, c, c - 45, c + 46, c + d, c + d - 45, c + d + 46], "<i4").tobytes()
+    links = [(1, 2, anchor(100, 7)), (1, 2, anchor(130, 7)), (3, 4, anchor(100, 7)), (3, 4, anchor(130, 8)), (5, 6, anchor(100, 7))]
+    rows = substrings.candidate_ranges(spark.createDataFrame(links, "nid long, hub long, anchors binary")).collect()
+    assert [(r.nid, r.hub, np.frombuffer(r.ranges, "<i4").tolist()) for r in rows] == [(1, 2, [55, 176, 62, 183])]
+
+
+@pytest.mark.parametrize("words", [40, 400, 10**9])
+def test_ranges_are_tried_on_their_words(spark, words):
+    """The words around a range decide as the whole texts do, also where texts repeat words."""
+    rng = random.Random(words)
+    rows, want = [], {}
+    for k in range(40):
+        some = lambda n: [f"w{rng.randrange(words)}" for _ in range(n)]
+        shared = some(rng.randrange(50, 90))
+        other = [w if rng.randrange(60) else "x" for w in shared]
+        at, to = rng.randrange(0, 200), rng.randrange(0, 200)
+        a, b = (some(n) + z + some(rng.randrange(0, 200)) for n, z in ((at, shared), (to, other)))
+        ranges = [[at + 9, at + 40, to + 9, to + 40], [at, at + len(shared) - 5, to, to + len(shared) - 5]]
+        x, y = (dict(substrings.common.shingled(substrings.pa.array([" ".join(z)]), 5))[0] for z in (a, b))
+        want[k] = [r for r in ranges if substrings.passages(x, y, [r])]
+        rows.append((k, " ".join(a), " ".join(b), bytearray(np.array(ranges, "<i4").tobytes())))
+    texts = [(i, i, bytearray(substrings.zlib.compress(t.encode()))) for k, a, b, _ in rows for i, t in ((k, a), (100 + k, b))]
+    body = spark.createDataFrame(texts, "nid long, doc_id long, body binary")
+    pairs = spark.createDataFrame([(k, 100 + k, r) for k, _, _, r in rows], substrings.RANGES)
+    got = {r.nid: np.frombuffer(r.ranges, "<i4").reshape(-1, 4).tolist() for r in substrings.tried(pairs, body).collect()}
+    assert got == {k: r for k, r in want.items() if r} and got
+
+
 def test_passage_edges(spark, edges, nothing):
     rows = substrings.repeated_passages(edges).collect()
     assert {(r.doc_id, r.start_word, r.end_word) for r in rows} == {(7, 0, 30000), (8, 0, 30000)}
