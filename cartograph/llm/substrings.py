@@ -155,23 +155,51 @@ def _edges(nid: np.ndarray, hub: np.ndarray, anchors: np.ndarray) -> Iterator[tu
         yield int(nid[a]), int(hub[a]), anchors[a:b].tobytes()
 
 
-def _stars(key: np.ndarray, nid: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Links of every value's members to its first one and to the one before, and the first rows.
+def grouped(values: np.ndarray) -> np.ndarray:
+    """The places of values of 64 bits with equal ones side by side, in order.
+
+    The place is sorted in the lowest bits of the value, which is faster than a sort of places; should values differ
+    in these alone, places are sorted.
+    """
+    values = values.view(_U)
+    low = _U(len(values).bit_length())
+    packed = np.sort(values >> low << low | np.arange(len(values), dtype=_U))
+    order = (packed & ((_U(1) << low) - _U(1))).astype(np.int64)
+    packed >>= low
+    if ((packed[1:] == packed[:-1]) & (values[order[1:]] != values[order[:-1]])).any():
+        return np.argsort(values, kind="stable")
+    return order
+
+
+def _crowds(key: np.ndarray, nid: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the values that have several, in the order of value, nid and place, whether each is the first of its
+    value, and the first row of every value."""
+    order = grouped(key)
+    same = key[order[1:]] == key[order[:-1]]
+    many = np.zeros(len(key) + 1, bool)
+    many[1:-1] = same
+    at = np.flatnonzero(many[:-1] | many[1:])
+    rows = order[at]
+    rows = rows[np.lexsort((c[rows], nid[rows], key.view(_U)[rows]))]
+    order[at] = rows
+    return rows, ~many[at], order[~many[:-1]]
+
+
+def _stars(rows: np.ndarray, first: np.ndarray, nid: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of every value's members to its first one and to the one before.
 
     where has f, c, l, r. Rows are taken in the order of nid. The second link finds a match for a
     member that shares a value, but no whole passage, with the first.
     """
-    order = np.lexsort((where[:, 1], nid, key))
-    key, nid, where = key[order], nid[order], where[order]
-    first = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
-    head = np.flatnonzero(first)[np.cumsum(first) - 1] if len(key) else np.zeros(0, np.int64)
-    row = np.arange(len(key))
+    nid, where = nid[rows], where[rows]
+    row = np.arange(len(rows))
+    head = np.maximum.accumulate(np.where(first, row, 0))
     before = np.where(first, row, row - 1)
     before = np.where(nid[before] == nid[head], row, before)
     row, to = np.r_[row, row], np.r_[head, before]
     differ = nid[row] != nid[to]
     row, to = row[differ], to[differ]
-    return nid[row], nid[to], np.concatenate([where[row], where[to, 1:]], 1), order[first]
+    return nid[row], nid[to], np.concatenate([where[row], where[to, 1:]], 1)
 
 
 def placed_windows(docs: DataFrame) -> DataFrame:
@@ -182,7 +210,7 @@ def placed_windows(docs: DataFrame) -> DataFrame:
     def step(b: pa.RecordBatch) -> pa.RecordBatch:
         nid = b.column("nid").to_numpy()
         data, off = common.utf8(b.column("text"))
-        found, copies, seen = [], [], {}
+        found, copies, seen = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 4), np.int64))], [], {}
         for x, y in common.chunks(off):
             h, woff = common.word_hashes(data[off[x]:off[y]], off[x:y + 1] - off[x], common.SPACE_WORDS)
             s, soff = common.shingle_hashes(h, woff, SHINGLE)
@@ -201,10 +229,8 @@ def placed_windows(docs: DataFrame) -> DataFrame:
                 use = once[row]
                 row, left, c, right = row[use], left[use], c[use], right[use]
                 key = common.mix(value[soff[row] + c] + _U(f)).view(np.int64)
-                found.append((key, nid[x + row], np.stack([np.full(len(row), f), c, left, right], 1)))
-        key, who, where = (np.concatenate(z) if z else np.zeros((0, 4) if k == 2 else 0, np.int64)
-                           for k, z in enumerate(zip(*found) if found else ([], [], [])))
-        return _reduced(key, who, where, copies, True, parts)
+                found.append((key, x + row, np.stack([np.full(len(row), f), c, left, right], 1)))
+        return _reduced(*map(np.concatenate, zip(*found, strict=True)), nid, copies, True, parts)
     return common.map_arrow(docs.select("nid", "text"), lambda: step, PLACED)
 
 
@@ -218,25 +244,27 @@ def _hot(nid: np.ndarray, c: np.ndarray) -> list[tuple[int, int, bytes]]:
     return [(int(nid[a]), int(nid[a]), c[a:b].tobytes()) for a, b in zip(new, [*new[1:], len(nid)], strict=True)]
 
 
-def _reduced(key: np.ndarray, who: np.ndarray, where: np.ndarray, copies: list, crowds: bool,
+def _reduced(key: np.ndarray, text: np.ndarray, where: np.ndarray, nid: np.ndarray, copies: list, crowds: bool,
              parts: int) -> pa.RecordBatch:
-    """The first row of each value in a batch, and links of the others to it.
+    """The first row of each value in a batch of texts (numbers in nid), and links of the others to it.
 
     With crowds, the windows of values with several rows are marked, and their places are told.
     """
-    a, hub, anchors, first = _stars(key, who, where)
+    who = nid[text]
+    rows, head, first = _crowds(key, who, where[:, 1])
+    a, hub, anchors = _stars(rows, head, who, where)
     links = list(_edges(np.r_[a, np.array([z[0] for z in copies], np.int64)],
                         np.r_[hub, np.array([z[1] for z in copies], np.int64)],
                         np.concatenate([anchors, np.array([z[2] for z in copies], np.int64).reshape(-1, ANCHOR)])))
-    part = (key.view(_U) % _U(parts)).astype(np.int32)
-    first = first[np.lexsort((where[first, 1], who[first], part[first]))]
-    w = where[first].copy()
-    if crowds and len(key):
-        _, group, n = np.unique(key, return_inverse=True, return_counts=True)
-        crowd = n[group] > 1
-        links += _hot(who[crowd], where[crowd, 1])
-        w[:, 0] |= CROWDED * crowd[first]
-    key, who, part = key[first], who[first], part[first]
+    part = key.view(_U) % _U(parts)
+    place = part[first] * _U(len(nid)) + text[first].astype(_U)
+    low = _U(len(first).bit_length())
+    first = first[(np.sort(place << low | np.arange(len(first), dtype=_U)) & ((_U(1) << low) - _U(1))).astype(np.int64)]
+    w = where[first]
+    if crowds:
+        links += _hot(who[rows], where[rows, 1])
+        w[:, 0] |= CROWDED * among(rows, len(key))[first]
+    key, who, part = key[first], who[first], part[first].astype(np.int32)
     new = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(key) else []
     data = [_packed(key[a:b], who[a:b], w[a:b]) for a, b in zip(new, [*new[1:], len(key)], strict=True)]
     ids, none = np.array([z[0] for z in links], np.int64), [None] * len(data)
@@ -253,17 +281,34 @@ def _around(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge)[:n])
 
 
-def earlier(values: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
-    """The place of each value's last equal before it (in its row), or -1."""
-    order = np.argsort(values, kind="stable") if row is None else np.lexsort((values, row))
+def earlier(values: np.ndarray) -> np.ndarray:
+    """The place of each value's last equal before it, or -1."""
+    order = grouped(common.mix(values.astype(_U)))
     same = values[order[1:]] == values[order[:-1]]
-    if row is not None:
-        same &= row[order[1:]] == row[order[:-1]]
     out = np.full(len(values), -1)
     out[order[1:][same]] = order[:-1][same]
     return out
 
 
+def _in(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    if not len(others):
+        return np.zeros(len(values), bool)
+    others = np.sort(others)
+    return others[np.minimum(np.searchsorted(others, values), len(others) - 1)] == values
+
+
+def earlier_in_rows(values: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The place of each value's last equal before it in its row, or -1."""
+    keys = values + row.astype(_U) * common._ODD  # equal values of a row have equal ones
+    ordered = np.sort(keys)
+    some = np.flatnonzero(_in(keys, ordered[1:][ordered[1:] == ordered[:-1]]))
+    some = some[np.lexsort((values[some], row[some]))]
+    equal = (values[some[1:]] == values[some[:-1]]) & (row[some[1:]] == row[some[:-1]])
+    out = np.full(len(values), -1)
+    out[some[1:][equal]] = some[:-1][equal]
+    return out
+
+
 def blocks(x: np.ndarray, off: np.ndarray, row: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
     """(key, row, where): runs and some single shingles of texts around some places c of their rows.
 
@@ -278,7 +323,7 @@ def blocks(x: np.ndarray, off: np.ndarray, row: np.ndarray, c: np.ndarray) -> tu
     total = np.r_[_U(0), np.cumsum(x * up[:n], dtype=_U)]
     run = common.mix((total[GRAM:] - total[:-GRAM]) * down[:max(0, n - GRAM + 1)] + _U(BLOCK))
     least = among(at + run[at[:, None] + np.arange(LEAST - GRAM + 1)].argmin(1), n).nonzero()[0]
-    again = at[np.maximum.accumulate(earlier(x, of))[at + LEAST - 1] >= at]
+    again = at[np.maximum.accumulate(earlier_in_rows(x, of))[at + LEAST - 1] >= at]
     whole = common.mix((total[again + LEAST] - total[again]) * down[again] + _U(LEAST))
     near = _around(np.maximum(c - LEAST + 1, first), np.minimum(c + LEAST, end), n)
     single = common.mix(x + _U(SINGLE))
@@ -300,7 +345,7 @@ def placed_blocks(hot: DataFrame) -> DataFrame:
     parts = _parts(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = [], 0
+        found, size, who = [], 0, np.zeros(0, np.int64)
         for b in batches:
             nid = b.column("nid").to_numpy()
             places = [np.unique(np.frombuffer(b"".join(x), "<i4")).astype(np.int64) for x in b.column("places").to_pylist()]
@@ -310,13 +355,14 @@ def placed_blocks(hot: DataFrame) -> DataFrame:
                 shingles, soff = common.shingle_hashes(h, woff, SHINGLE)
                 row = np.repeat(np.arange(y - x), [len(p) for p in places[x:y]])
                 key, row, where = blocks(shingles, soff, row, np.concatenate(places[x:y]))
-                found.append((key, nid[x + row], where))
+                found.append((key, len(who) + x + row, where))
                 size += len(key)
                 if size >= PLACED_ROWS:
-                    yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False, parts)
+                    yield _reduced(*map(np.concatenate, zip(*found, strict=True)), np.r_[who, nid], [], False, parts)
                     found, size = [], 0
+            who = np.r_[who, nid] if found else who[:0]
         if found:
-            yield _reduced(*map(np.concatenate, zip(*found, strict=True)), [], False, parts)
+            yield _reduced(*map(np.concatenate, zip(*found, strict=True)), who, [], False, parts)
     return hot.mapInArrow(run, PLACED)
 
 
@@ -340,12 +386,12 @@ def linked(placed: DataFrame) -> DataFrame:
             key, nid, where = map(np.concatenate, (key, nid, where))
             marked = where[:, 0] & CROWDED > 0
             where[:, 0] &= ~CROWDED
-            a, hub, anchors, _ = _stars(key, nid, where)
-            found = list(_edges(a, hub, anchors))
-            _, group, n = np.unique(key, return_inverse=True, return_counts=True)
-            crowd = (np.bincount(group, marked, len(n)) > 0) & (n > 1) | (n > 2)  # two are linked, of three one text may have two
-            crowd = crowd[group] & (where[:, 0] < BLOCK) & ~marked
-            found += _hot(nid[crowd], where[crowd, 1])
+            rows, first, _ = _crowds(key, nid, where[:, 1])
+            found = list(_edges(*_stars(rows, first, nid, where)))
+            group = np.cumsum(first) - 1
+            crowd = (np.bincount(group, marked[rows]) > 0) | (np.bincount(group) > 2)  # two are linked, of three one text may have two
+            rows = rows[crowd[group] & (where[rows, 0] < BLOCK) & ~marked[rows]]
+            found += _hot(nid[rows], where[rows, 1])
             for i in range(0, len(found), common.BATCH_ROWS):
                 part = zip(*found[i:i + common.BATCH_ROWS])
                 types = (pa.int64(), pa.int64(), pa.binary())
@@ -353,13 +399,20 @@ def linked(placed: DataFrame) -> DataFrame:
     return placed.repartitionById(_parts(placed), "part").mapInArrow(run, "nid long, hub long, anchors binary")
 
 
+def sums(values: np.ndarray) -> np.ndarray:
+    """The sums of the values before each place."""
+    out = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=out[1:])
+    return out
+
+
 def densest(match: np.ndarray) -> tuple[int, int, int]:
     """The range with the greatest sum of 1 per match and -t per other, and that sum, all times 5.
 
     With the shingles of a set A as matches it is A's best counterpart B: the sum is
     (1 + t) |A & B| - t |B|, and the Jaccard similarity is t or more if that is t |A| or more.
     """
-    total = np.r_[0, np.cumsum(np.where(match, DENOMINATOR, -NUMERATOR))]
+    total = sums(np.where(match, DENOMINATOR, -NUMERATOR))
     low = np.minimum.accumulate(total)
     end = int(np.argmax(total - low))
     start = int(np.flatnonzero(total[:end + 1] == low[end])[0])
@@ -370,15 +423,20 @@ def joined_windows(anchors: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Ranges of a pair of texts where windows of enough hash functions overlap in both, or those of a
     run or a line of single shingles are."""
     anchors = anchors[np.lexsort((anchors[:, 4], anchors[:, 1]))]
-    groups: list[list] = []
-    for f, _, l1, r1, _, l2, r2 in anchors.tolist():
-        met, apart = [], []
+    groups: list[tuple[int, int, int, int, int]] = []
+    functions = (1 << anchors[:, 0]).tolist()
+    for has, l1, r1, l2, r2 in zip(functions, *anchors[:, [2, 3, 5, 6]].T.tolist(), strict=True):
+        apart, low, high, low2, high2 = [], l1, r1, l2, r2
         for g in groups:
-            (met if l1 <= g[1] and r1 >= g[0] and l2 <= g[3] and r2 >= g[2] else apart).append(g)
-        met.append([l1, r1, l2, r2, {f}])
-        low, high, low2, high2, functions = zip(*met, strict=True)
-        groups = [*apart, [min(low), max(high), min(low2), max(high2), set().union(*functions)]]
-    return list(dict.fromkeys(tuple(g[:4]) for g in groups if len(g[4]) >= ENOUGH or g[4] & {BLOCK, LINE}))
+            p, q, u, v, others = g
+            if l1 <= q and r1 >= p and l2 <= v and r2 >= u:
+                low, high = p if p < low else low, q if q > high else high
+                low2, high2 = u if u < low2 else low2, v if v > high2 else high2
+                has |= others
+            else:
+                apart.append(g)
+        groups = [*apart, (low, high, low2, high2, has)]
+    return list(dict.fromkeys(g[:4] for g in groups if g[4].bit_count() >= ENOUGH or g[4] & (1 << BLOCK | 1 << LINE)))
 
 
 RANGES = "nid long, hub long, ranges binary"
@@ -415,9 +473,21 @@ def pieces(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
     at[b] = np.arange(len(b))
     hits, once, at = count[a] > 0, count[a] == 1, at[a]
     jump = hits[1:] & hits[:-1] & once[1:] & once[:-1] & (np.diff(at) != 1)
-    first = hits & np.r_[True, ~hits[:-1] | jump]
-    last = hits & np.r_[~hits[1:] | jump, True]
-    return hits, np.flatnonzero(first), np.flatnonzero(last) + 1, at[last], bool(once[hits].all())
+    first, last = hits.copy(), hits.copy()
+    first[1:] &= ~hits[:-1] | jump
+    last[:-1] &= ~hits[1:] | jump
+    return hits, first.nonzero()[0], last.nonzero()[0] + 1, at[last], bool(once[hits].all())
+
+
+def spread(a: np.ndarray, b: np.ndarray, n: int, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least place in b of a value of each piece of a or of a later one, and the place after the greatest of each."""
+    low, high = np.full(n, len(b)), np.zeros(n, np.int64)
+    low[b[::-1]] = np.arange(len(b))[::-1]
+    high[b] = np.arange(len(b)) + 1
+    edges = np.c_[first, last].ravel()
+    edges = edges[:-1] if edges[-1] == len(a) else edges
+    low, high = np.minimum.reduceat(low[a], edges)[::2], np.maximum.reduceat(high[a], edges)[::2]
+    return np.minimum.accumulate(low[::-1])[::-1], high
 
 
 def among(values: np.ndarray, n: int) -> np.ndarray:
@@ -444,7 +514,8 @@ def similar(x: np.ndarray, y: np.ndarray, n: int, s: int, e: int, u: int,
         p = among(x[s2:e2], n)
         for u2, v2 in widened(u, v, len(y)):
             q = among(y[u2:v2], n)
-            shared, total = np.count_nonzero(p & q), np.count_nonzero(p | q)
+            shared = np.count_nonzero(p & q)
+            total = np.count_nonzero(p) + np.count_nonzero(q) - shared
             if shared * DENOMINATOR >= total * NUMERATOR:
                 return s2, e2, u2, v2, float(shared / total)
     return None
@@ -454,10 +525,10 @@ def grown(x: np.ndarray, y: np.ndarray, n: int, s: int, e: int, u: int, v: int,
           j: float) -> tuple[int, int, int, int, float]:
     """The ranges with the equal shingles before and after them, which windows may have cut off."""
     k = min(s, u)
-    differ = np.flatnonzero(x[s - k:s] != y[u - k:u])
+    differ = (x[s - k:s] != y[u - k:u]).nonzero()[0]
     before = k - 1 - int(differ[-1]) if len(differ) else k
     k = min(len(x) - e, len(y) - v)
-    differ = np.flatnonzero(x[e:e + k] != y[v:v + k])
+    differ = (x[e:e + k] != y[v:v + k]).nonzero()[0]
     after = int(differ[0]) if len(differ) else k
     if not before and not after:
         return s, e, u, v, j
@@ -484,11 +555,11 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
     distinct = bool(new.all())
     ordered = distinct and once and bool((np.diff(at) > 0).all())
     start, end = at - (last - first) + 1, at + 1  # of the pieces in b
-    good = np.r_[0, np.cumsum(hits)]
+    good = sums(hits)
     if ordered:  # a range has matches enough if it gains: from its start to its end this doesn't fall
         gain = [(NUMERATOR + DENOMINATOR) * good[p] - NUMERATOR * (p + q) for p, q in ((first, start), (last, end))]
     else:  # another shingle counts once
-        bad = np.r_[0, np.cumsum(~hits & new)]
+        bad = sums(~hits & new)
         gain = [good[p] - NUMERATOR * bad[p] for p in (first, last)]
     taken = [(s - l1, e - l1) for s, e in taken]
     out: list[tuple[int, int, int, int, float]] = []
@@ -496,51 +567,73 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
     heap: list[tuple[int, int, int, int]] = []
     if not distinct:
         prior = earlier(a)
+        again = np.flatnonzero(prior >= 0)
         wide = y[max(l2 - LEAST, 0):r2 + LEAST]  # with all that a counterpart can be widened by
-        near, weight = among(wide, n)[a], np.where(earlier(wide) < 0, -NUMERATOR, 0)
+        hit = among(wide, n)[a]
+        near, weight = sums(hit), np.where(earlier(wide) < 0, -NUMERATOR, 0)
         code, lost = common.mix(np.arange(n, dtype=_U) + _U(1)), set()
+    if not ordered:
+        side, lack = (b, -NUMERATOR) if distinct else (wide, weight)
+        total = sums(np.where(among(a, n)[side], DENOMINATOR, lack))
+        low, high = spread(a, side, n, first, last)
+
+    def best_sum(i: int, below: int) -> np.ndarray:
+        """The greatest sums that y has from any part for ranges from piece i to each one before `below`."""
+        most = total[low[i]:]
+        most = np.maximum.accumulate(most - np.minimum.accumulate(most))
+        return most[np.maximum.accumulate(high[i:below])[long[i] - i:] - low[i]]
 
     def push(i: int, below: int, most: int | None = None) -> None:
         """The longest range from piece i that ends before piece `below` and has matches enough."""
         s = int(first[i])
-        found = int(long[i]) + np.flatnonzero(gain[1][long[i]:below] >= gain[0][i])
-        size = length = last[found] - s
+        found = (gain[1][long[i]:below] >= gain[0][i]).nonzero()[0]
+        size = length = last[long[i] + found] - s
         if distinct:
+            fit = np.ones(len(found), bool) if ordered or not len(found) else length * NUMERATOR <= best_sum(i, below)[found]
             if most is not None:
-                found = found[length * NUMERATOR <= most]
+                fit &= length * NUMERATOR <= most
+            found = found[fit]
+            size = length[fit]
         elif len(found):
-            fresh = prior[s:s + length[-1]] < s
-            size = np.cumsum(fresh)[length - 1]
-            fit = np.cumsum(fresh & near[s:s + length[-1]])[length - 1] * DENOMINATOR >= size * NUMERATOR
+            old = again[prior[again] >= s]  # not the first of their kind from s on
+            ends = s + length
+            size = length - np.searchsorted(old, ends)
+            fit = (near[ends] - near[s] - np.searchsorted(old[hit[old]], ends)) * DENOMINATOR >= size * NUMERATOR
+            fit &= size * NUMERATOR <= best_sum(i, below)[found]
             if most is not None:
                 fit &= size * NUMERATOR <= most
             fit |= length < LEAST
             found, size = found[fit], size[fit]
         if len(found):
-            heapq.heappush(heap, (int(s - last[found[-1]]), i, int(found[-1]), int(size[len(found) - 1])))
+            j = int(long[i] + found[-1])
+            heapq.heappush(heap, (int(s - last[j]), i, j, int(size[-1])))
     long = np.searchsorted(last, first + CORE)  # the first piece that ends a range from here
     best = np.r_[np.maximum.accumulate(gain[1][::-1])[::-1], np.iinfo(np.int64).min]
-    for i in np.flatnonzero(best[long] >= gain[0]).tolist():
-        push(i, len(last))
+    some = np.flatnonzero(best[long] >= gain[0])
+    heap += zip((first[some] - last[-1]).tolist(), some.tolist(), [-1] * len(some), [0] * len(some), strict=True)  # in order
     while heap:
         _, i, j, size = heapq.heappop(heap)
         s, e = int(first[i]), int(last[j])
         counted = not distinct and e - s >= LEAST
         if any(p <= s < q for p, q in taken):
             continue
-        if any(p < e and s < q for p, q in taken) or any(
-                p <= s and e <= q and size * NUMERATOR > most for p, q, most in failed[-64:] if distinct or counted):
-            push(i, j)
+        until = min((p for p, _ in taken if p > s), default=e)
+        if until < e or j < 0:  # with -1, it ends anywhere
+            push(i, int(np.searchsorted(last, until, "right")))
+            continue
+        most = min((m for p, q, m in failed[-64:] if p <= s and e <= q), default=None) if distinct or counted else None
+        if most is not None and size * NUMERATOR > most:
+            push(i, j, most)
             continue
         if counted:
             here = a[s:e][prior[s:e] < s]
-            some = int(code[here].sum())
+            these = int(code[here].sum())
             fewer = (size - 1) * NUMERATOR
-            if some in lost:
+            if these in lost:
                 push(i, j, fewer)
                 continue
-            total = np.r_[0, np.cumsum(np.where(among(here, n)[wide], DENOMINATOR, weight))]
-            bound = int((total - np.minimum.accumulate(total)).max())
+            part = sums(np.where(among(here, n)[wide], DENOMINATOR, weight))
+            bound = int((part - np.minimum.accumulate(part)).max())
             if size * NUMERATOR > bound:
                 failed.append((s, e, bound))
                 push(i, j, min(bound, fewer))
@@ -566,7 +659,7 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
                 failed.append((s, e, most))
                 push(i, j, most)
             elif counted:
-                lost.add(some)
+                lost.add(these)
                 push(i, j, fewer)
             else:
                 push(i, j)
@@ -575,102 +668,214 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
 
 def passages(x: np.ndarray, y: np.ndarray, ranges: list[list[int]]) -> list[tuple[int, int, int, int, float]]:
     """Verified passages of two shingle sequences, as word ranges and their similarity, in ranges
-    (first and last shingle) of both.
+    (first and last shingle) of both."""
+    return passages_of(x, y, ranges)[1]
+
+
+def passages_of(x: np.ndarray, y: np.ndarray, ranges: list[list[int]]) -> tuple[list[int], list[tuple[int, int, int, int, float]]]:
+    """The numbers of the ranges that have passages, and these.
 
     Each range is tried as a whole first, then in parts: those of x and, for what is left of y (it
     may repeat a passage), those of y.
     """
     n, x, y = numbered(x, y)
-    out = [grown(x, y, n, *z) for r in ranges for z in verified(x, y, n, *r)]
-    return sorted({(s, e + SHINGLE - 1, u, v + SHINGLE - 1, j) for s, e, u, v, j in out})
+    found = [verified(x, y, n, *r) for r in ranges]
+    out = {grown(x, y, n, *z) for zs in found for z in zs}
+    return ([i for i, zs in enumerate(found) if zs],
+            sorted((s, e + SHINGLE - 1, u, v + SHINGLE - 1, j) for s, e, u, v, j in out))
 
 
 def numbered(x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """The number of different values of both, and both with these numbered."""
-    values, number = np.unique(np.concatenate([x, y]), return_inverse=True)
-    return len(values), number[:len(x)], number[len(x):]
+    values = np.concatenate([x, y])
+    order = grouped(values)
+    number = np.zeros(len(values), np.int64)
+    number[order[1:]] = np.cumsum(values[order[1:]] != values[order[:-1]])
+    return int(number[order[-1:]].sum()) + min(1, len(values)), number[:len(x)], number[len(x):]
 
 
-def verified(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2: int,
-             one: bool = False) -> list[tuple[int, int, int, int, float]]:
-    """The similar ranges in x[l1:r1 + 1] and y[l2:r2 + 1]; with `one`, those of x will do."""
+def verified(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int,
+             r2: int) -> list[tuple[int, int, int, int, float]]:
+    """The similar ranges in x[l1:r1 + 1] and y[l2:r2 + 1]."""
     r1, r2 = r1 + 1, r2 + 1
     both = among(x[l1:r1], n) & among(y[l2:r2], n)
-    p, q = np.flatnonzero(both[x[l1:r1]]), np.flatnonzero(both[y[l2:r2]])
+    p, q = both[x[l1:r1]].nonzero()[0], both[y[l2:r2]].nonzero()[0]
     if len(p) < 2 or p[-1] - p[0] + 1 < CORE and q[-1] - q[0] + 1 < CORE:
         return []
     whole = similar(x, y, n, l1 + int(p[0]), l1 + int(p[-1]) + 1, l2 + int(q[0]), l2 + int(q[-1]) + 1)
     if whole:
         return [whole]
     found = search(x, y, n, l1, r1, l2, r2, [])
-    if one and found:
-        return found
     back = search(y, x, n, l2, r2, l1, r1, [z[2:4] for z in found])
     return found + [(s, e, u, v, j) for u, v, s, e, j in back]
 
 
-def _words(body: bytes, ranges: np.ndarray) -> tuple[int, bytes]:
-    """The first word, and the words that ranges (first and last shingle) and what they can be widened by have."""
-    first = max(0, int(ranges[:, 0].min()) - LEAST)
-    return first, b" ".join(zlib.decompress(body).split()[first:int(ranges[:, 1].max()) + LEAST + SHINGLE])
+#: Bytes of a shingle that are moved to find out which ranges can have a passage.
+BYTES = 3
+#: Shingles of ranges that are compared together, and places of the table that most strangers among them miss.
+COMPARED, TABLE = 1 << 18, 1 << 21
 
 
-def _sliced(b: pa.RecordBatch) -> pa.RecordBatch:
-    ranges = b.column("ranges").to_pylist()
-    found = [_words(x, np.frombuffer(r, "<i4").reshape(-1, 4)[:, :2])
-             for x, r in zip(b.column("body").to_pylist(), ranges, strict=True)]
-    first, words = zip(*found, strict=True)
-    columns = [b.column("nid"), b.column("hub"), b.column("ranges"), pa.array(first, pa.int32()),
-               pa.array([zlib.compress(x, 1) for x in words], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["nid", "hub", "ranges", "first", "words"])
+def _runs(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the run and the place of all that runs from `low` on hold."""
+    which = np.repeat(np.arange(len(size)), size)
+    return which, np.arange(len(which)) + np.repeat(low - (np.cumsum(size) - size), size)
 
 
-def _tried(b: pa.RecordBatch) -> pa.RecordBatch:
-    """The ranges that have a passage; pairs without one end here."""
-    ranges = [np.frombuffer(r, "<i4").reshape(-1, 4) for r in b.column("ranges").to_pylist()]
-    found = [_words(x, r[:, 2:]) for x, r in zip(b.column("hub_body").to_pylist(), ranges, strict=True)]
-    first = np.stack([b.column("first").to_numpy(), [k for k, _ in found]], 1)
-    left, right = ([x for _, x in common.shingled(pa.array(z, pa.binary()), SHINGLE)] for z in (
-        map(zlib.decompress, b.column("words").to_pylist()), (z for _, z in found)))
-    keep, kept = [], []
-    for i, r in enumerate(ranges):
-        n, x, y = numbered(left[i], right[i])
-        moved = (r - np.repeat(first[i], 2)).tolist()
-        r = r[[bool(verified(x, y, n, *z, one=True)) for z in moved]]
-        if len(r):
-            keep.append(i)
-            kept.append(r.tobytes())
-    b = b.select(["nid", "hub"]).take(pa.array(keep, pa.int64()))
-    return pa.RecordBatch.from_arrays([*b.columns, pa.array(kept, pa.binary())], ["nid", "hub", "ranges"])
+def _keys(which: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return which.astype(_U) << _U(32) | values
 
 
-def tried(pairs: DataFrame, body: DataFrame) -> DataFrame:
-    """The pairs and ranges that have a passage. Only the words of the ranges are moved; what a
-    passage can grow by is left to the pairs that have one."""
-    slices = common.map_arrow(pairs.join(body.select("nid", "body"), "nid"), lambda: _sliced,
-                              RANGES + ", first int, words binary")
-    both = slices.join(body.select(F.col("nid").alias("hub"), F.col("body").alias("hub_body")), "hub")
-    return common.map_arrow(both, lambda: _tried, RANGES)
+def _met(xof: np.ndarray, x: np.ndarray, yof: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of x's values are in y's run of the same number, and which of y's in x's."""
+    xslot, yslot = ((z + of.astype(np.uint32) * np.uint32(0x9E3779B1)) & np.uint32(TABLE - 1) for z, of in ((x, xof), (y, yof)))
+    ysome = np.flatnonzero(among(xslot, TABLE)[yslot])
+    xsome = np.flatnonzero(among(yslot[ysome], TABLE)[xslot])
+    left, right = _keys(xof[xsome], x[xsome]), _keys(yof[ysome], y[ysome])
+    return among(xsome[_in(left, right)], len(x)), among(ysome[_in(right, left)], len(y))
+
+
+def _spans(which: np.ndarray, hit: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per run, the number of hits and the places from the first to the last."""
+    at = np.flatnonzero(hit)
+    count = np.bincount(which[at], minlength=n)
+    end = np.cumsum(count)
+    some = count > 0
+    span = np.zeros(n, np.int64)
+    span[some] = at[end[some] - 1] - at[(end - count)[some]] + 1
+    return count, span
 
 
-RESULT = ("doc_id long, start_word int, end_word int, match_doc_id long, match_start_word int, "
-          "match_end_word int, similarity double")
+def _dense(which: np.ndarray, hit: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether a run holds LEAST neighbours or more of which enough are hits for a similar range."""
+    gain = np.where(hit, DENOMINATOR - NUMERATOR, -NUMERATOR)
+    # sums before each place; where a run begins they fall so far that no run's least is an earlier one's
+    total = np.cumsum(gain) - gain - which * (int(size.max()) * (DENOMINATOR + NUMERATOR) + 1)
+    n = max(0, len(hit) - LEAST + 1)
+    good = (total + gain)[LEAST - 1:] >= np.minimum.accumulate(total)[:n]
+    return among(which[:n][good & (which[:n] == which[LEAST - 1:])], len(size))
 
 
-def _verify(b: pa.RecordBatch) -> pa.RecordBatch:
-    rows = []
-    left, right = (b.column(c).to_pylist() for c in ("body", "hub_body"))
-    once = dict.fromkeys(left + right)  # a text is in many pairs
+def _twice(which: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Which runs have a value twice."""
+    keys = np.sort(_keys(which, values))
+    return among((keys[1:][keys[1:] == keys[:-1]] >> _U(32)).astype(np.int64), n)
+
+
+def possible(x: np.ndarray, y: np.ndarray, xrun: np.ndarray, yrun: np.ndarray, xwide: np.ndarray,
+             ywide: np.ndarray) -> np.ndarray:
+    """Which pairs of ranges can have a passage, by some bits of their shingles: the runs (start and size in x
+    and y) of the ranges and of these with what they can be widened by.
+
+    As in `verified`, what both ranges have must reach over a passage's core. A passage has a part
+    that is dense with what the other text has; where one of the texts has no shingle twice, its different
+    ones are its places. Equal bits of different shingles can only let more pairs pass.
+    """
+    n = len(xrun)
+    (xof, xat), (yof, yat) = (_runs(*z.T) for z in (xrun, yrun))
+    hit, back = _met(xof, x[xat], yof, y[yat])
+    count, span = _spans(xof, hit, n)
+    some = np.flatnonzero((count > 1) & ((span >= CORE) | (_spans(yof, back, n)[1] >= CORE)))
+    if not len(some):
+        return some
+    (xof, xat), (yof, yat) = (_runs(*z[some].T) for z in (xwide, ywide))
+    x, y = x[xat], y[yat]
+    hit, back = _met(xof, x, yof, y)
+    fit = (_dense(xof, hit, xwide[some, 1]) | _twice(xof, x, len(some))) \
+        & (_dense(yof, back, ywide[some, 1]) | _twice(yof, y, len(some)))
+    return some[fit]
+
+
+def _ranges(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<i4").reshape(-1, 4) for x in column.to_pylist()]
+
+
+def _shingles(column: pa.Array) -> list[np.ndarray]:
+    """Shingles of compressed texts; a text is in many neighbouring pairs."""
+    bodies = column.to_pylist()
+    once = dict.fromkeys(bodies)
     texts = common.shingled(pa.array(map(zlib.decompress, once), pa.binary()), SHINGLE)
     once = {body: x for body, (_, x) in zip(once, texts, strict=True)}
+    return [once[body] for body in bodies]
+
+
+def _sliced(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Bits of the shingles of the ranges and of what passages can be widened by."""
+    first, part = [], []
+    for x, r in zip(_shingles(b.column("body")), _ranges(b.column("ranges")), strict=True):
+        first.append(max(0, int(r[:, 0].min()) - LEAST))
+        some = x[first[-1]:int(r[:, 1].max()) + 1 + LEAST].astype("<u8")
+        part.append(some.view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes())
+    columns = [b.column("nid"), b.column("hub"), b.column("ranges"), pa.array(first, pa.int32()), pa.array(part, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["nid", "hub", "ranges", "first", "part"])
+
+
+def _kept(b: pa.RecordBatch, ranges: list[np.ndarray]) -> pa.RecordBatch:
+    """The pairs that have ranges left."""
+    keep = [i for i, r in enumerate(ranges) if len(r)]
+    left = pa.array([ranges[i].tobytes() for i in keep], pa.binary())
+    return pa.RecordBatch.from_arrays([*b.select(["nid", "hub"]).take(pa.array(keep, pa.int64())).columns, left],
+                                      ["nid", "hub", "ranges"])
+
+
+def _possible(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The ranges that can have a passage."""
+    ranges = _ranges(b.column("ranges"))
+    data, off = common.utf8(b.column("part"))
+    x = np.zeros((len(data) // BYTES, 4), np.uint8)
+    x[:, :BYTES] = data.reshape(-1, BYTES)
+    hubs = _shingles(b.column("hub_body"))
+    y = (np.concatenate(hubs) & _U((1 << 8 * BYTES) - 1)).astype(np.uint32)
+    row = np.repeat(np.arange(len(ranges)), [len(r) for r in ranges])
+    every = np.concatenate(ranges).astype(np.int64)
+    every[:, :2] -= b.column("first").to_numpy()[row, None]
+    runs = []
+    for (low, high), base in zip((every[:, :2].T, every[:, 2:].T), (off // BYTES, sums([len(z) for z in hubs])), strict=True):
+        start, size = base[row], np.diff(base)[row]
+        wide = np.maximum(low - LEAST, 0), np.minimum(high + 1 + LEAST, size)
+        runs.append([np.stack([start + p, q - p], 1) for p, q in ((low, high + 1), wide)])
+    (xrun, xwide), (yrun, ywide) = runs
+    ok = np.zeros(len(every), bool)
+    for i, j in common.chunks(sums(xwide[:, 1] + ywide[:, 1]), COMPARED):
+        ok[i + possible(x.view("<u4").ravel(), y, *(z[i:j] for z in (xrun, yrun, xwide, ywide)))] = True
+    end = np.cumsum([len(r) for r in ranges])
+    return _kept(b, [r[ok[e - len(r):e]] for r, e in zip(ranges, end.tolist(), strict=True)])
+
+
+FOUND = ("doc_id long, start_word int, end_word int, match_doc_id long, match_start_word int, "
+         "match_end_word int, similarity double")
+
+
+def _tried(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The ranges that have a passage, and the passages in both directions; pairs without one end here."""
+    left, right = _shingles(b.column("body")), _shingles(b.column("hub_body"))
     ids, hubs = b.column("doc_id").to_pylist(), b.column("hub_id").to_pylist()
-    for i, ranges in enumerate(b.column("ranges").to_pylist()):
-        for s, e, u, v, j in passages(once[left[i]], once[right[i]], np.frombuffer(ranges, "<i4").reshape(-1, 4).tolist()):
+    kept, rows, count = [], [], []
+    for i, ranges in enumerate(_ranges(b.column("ranges"))):
+        having, found = passages_of(left[i], right[i], ranges.tolist())
+        kept.append(ranges[having])
+        if having:
+            count.append(2 * len(found))
+        for s, e, u, v, j in found:
             rows += [(ids[i], s, e, hubs[i], u, v, j), (hubs[i], u, v, ids[i], s, e, j)]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
-    columns = zip(*rows) if rows else [[]] * len(types)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                                      [x.split()[0] for x in RESULT.split(", ")])
+    fields = [x.split() for x in FOUND.split(", ")]
+    types = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    values = pa.StructArray.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)],
+                                        [name for name, _ in fields])
+    out = _kept(b, kept)
+    return pa.RecordBatch.from_arrays([*out.columns, pa.ListArray.from_arrays(sums(count).astype(np.int32), values)],
+                                      [*out.schema.names, "found"])
+
+
+def tried(pairs: DataFrame, body: DataFrame) -> DataFrame:
+    """The pairs and ranges that have a passage, and the passages found. Bits of the ranges' shingles alone are moved first;
+    whole texts are moved for the pairs that can have a passage by these."""
+    hubs = body.select(F.col("nid").alias("hub"), F.col("doc_id").alias("hub_id"), F.col("body").alias("hub_body"))
+    slices = common.map_arrow(pairs.join(body, "nid"), lambda: _sliced, RANGES + ", first int, part binary")
+    pairs = common.map_arrow(slices.join(hubs, "hub"), lambda: _possible, RANGES)
+    return common.map_arrow(pairs.join(body, "nid").join(hubs, "hub"), lambda: _tried,
+                            RANGES + f", found array<struct<{FOUND.replace(' ', ': ').replace(',:', ',')}>>")
 
 
 def bodies(texts: DataFrame) -> DataFrame:
@@ -714,11 +919,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     pairs = candidate_ranges(links.where("nid <> hub").unionByName(blocks))
     del blocks, crowds
     pairs = _cut(pairs)
-    body = bodies(texts)  # one shuffle for both sides
-    pairs = _cut(tried(pairs, body))
-    both = pairs.join(body, "nid").join(body.toDF("hub", "hub_id", "hub_body"), "hub")
-    return common.map_arrow(both.select("doc_id", "body", "hub_id", "hub_body", "ranges"), lambda: _verify, RESULT) \
-        .distinct()
+    return tried(pairs, bodies(texts)).select(F.inline("found")).distinct()  # one shuffle of texts for all joins
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
