@@ -139,7 +139,7 @@ def word_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple
     n = len(data)
     if not n:
         return np.zeros(0, _U), np.zeros(len(off), np.int64)
-    inside = is_word[data]
+    inside = np.take(is_word, data)
     edge = np.empty(n + 1, bool)
     edge[0], edge[-1] = inside[0], inside[-1]
     np.not_equal(inside[1:], inside[:-1], out=edge[1:-1])
@@ -153,7 +153,9 @@ def word_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple
     up, down = _powers(n)
     total = np.empty(n + 1, _U)
     total[0] = 0
-    np.cumsum(_BYTE[data] * up[:n], out=total[1:])
+    each = np.take(_BYTE, data, mode="clip")  # several times as fast as _BYTE[data]
+    each *= up[:n]
+    np.cumsum(each, out=total[1:])
     h = mix((total[e] - total[s]) * down[s] + (e - s).astype(_U))
     return h, np.searchsorted(s, off)
 
@@ -171,8 +173,10 @@ def shingle_hashes(h: np.ndarray, woff: np.ndarray, k: int) -> tuple[np.ndarray,
     padded = np.concatenate([h, np.zeros(k, _U)])
     size = np.repeat(np.minimum(words, k), counts)
     out = size.astype(_U)
+    all_long = bool((size == k).all())
     for j in range(k):
-        out += np.where(size > j, padded[at + j], _U(0)) * odd[j]
+        word = np.take(padded, at + j)
+        out += (word if all_long else np.where(size > j, word, _U(0))) * odd[j]
     return mix(out), soff
 
 

@@ -521,7 +521,7 @@ def similar(x: np.ndarray, y: np.ndarray, n: int, s: int, e: int, u: int,
     return None
 
 
-def grown(x: np.ndarray, y: np.ndarray, n: int, s: int, e: int, u: int, v: int,
+def grown(x: np.ndarray, y: np.ndarray, s: int, e: int, u: int, v: int,
           j: float) -> tuple[int, int, int, int, float]:
     """The ranges with the equal shingles before and after them, which windows may have cut off."""
     k = min(s, u)
@@ -532,6 +532,7 @@ def grown(x: np.ndarray, y: np.ndarray, n: int, s: int, e: int, u: int, v: int,
     after = int(differ[0]) if len(differ) else k
     if not before and not after:
         return s, e, u, v, j
+    n, x, y = numbered(x, y)
     return similar(x, y, n, s - before, e + after, u - before, v + after) or (s, e, u, v, j)
 
 
@@ -562,6 +563,14 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
         bad = sums(~hits & new)
         gain = [good[p] - NUMERATOR * bad[p] for p in (first, last)]
     taken = [(s - l1, e - l1) for s, e in taken]
+    long = np.searchsorted(last, first + CORE)  # the first piece that ends a range from here
+    best = np.full(len(last) + 1, np.iinfo(np.int64).min)
+    best[:-1] = np.maximum.accumulate(gain[1][::-1])[::-1]
+    begin = (best[long] >= gain[0]).nonzero()[0]
+    for p, q in taken:
+        begin = begin[(first[begin] < p) | (first[begin] >= q)]
+    if not len(begin):
+        return []
     out: list[tuple[int, int, int, int, float]] = []
     failed: list[tuple[int, int, int]] = []
     heap: list[tuple[int, int, int, int]] = []
@@ -607,10 +616,7 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
         if len(found):
             j = int(long[i] + found[-1])
             heapq.heappush(heap, (int(s - last[j]), i, j, int(size[-1])))
-    long = np.searchsorted(last, first + CORE)  # the first piece that ends a range from here
-    best = np.r_[np.maximum.accumulate(gain[1][::-1])[::-1], np.iinfo(np.int64).min]
-    some = np.flatnonzero(best[long] >= gain[0])
-    heap += zip((first[some] - last[-1]).tolist(), some.tolist(), [-1] * len(some), [0] * len(some), strict=True)  # in order
+    heap += zip((first[begin] - last[-1]).tolist(), begin.tolist(), [-1] * len(begin), [0] * len(begin), strict=True)  # in order
     while heap:
         _, i, j, size = heapq.heappop(heap)
         s, e = int(first[i]), int(last[j])
@@ -645,7 +651,7 @@ def search(x: np.ndarray, y: np.ndarray, n: int, l1: int, r1: int, l2: int, r2:
             match = among(a[s:e], n)[b]
             u, v, most = densest(match)
             where = np.flatnonzero(match)
-            tries = [(u, v)] if distinct and once else [(u, v), (int(where[0]), int(where[-1]) + 1)]
+            tries = [(u, v)] if distinct and once else dict.fromkeys([(u, v), (int(where[0]), int(where[-1]) + 1)])
             if distinct and (e - s) * NUMERATOR > most:
                 tries = []
         for u, v in tries:
@@ -678,9 +684,12 @@ def passages_of(x: np.ndarray, y: np.ndarray, ranges: list[list[int]]) -> tuple[
     Each range is tried as a whole first, then in parts: those of x and, for what is left of y (it
     may repeat a passage), those of y.
     """
-    n, x, y = numbered(x, y)
-    found = [verified(x, y, n, *r) for r in ranges]
-    out = {grown(x, y, n, *z) for zs in found for z in zs}
+    z = np.array(ranges).reshape(-1, 4)
+    at, to = (max(0, int(z[:, k].min(initial=0x7FFFFFFF)) - LEAST) for k in (0, 2))
+    n, p, q = numbered(*(t[low:int(z[:, k].max(initial=0)) + 1 + LEAST] for t, low, k in ((x, at, 1), (y, to, 3))))  # with all they are widened by
+    found = [[(s + at, e + at, u + to, v + to, j) for s, e, u, v, j in verified(p, q, n, l1 - at, r1 - at, l2 - to, r2 - to)]
+             for l1, r1, l2, r2 in ranges]
+    out = {grown(x, y, *f) for zs in found for f in zs}
     return ([i for i, zs in enumerate(found) if zs],
             sorted((s, e + SHINGLE - 1, u, v + SHINGLE - 1, j) for s, e, u, v, j in out))
 
@@ -781,8 +790,11 @@ def possible(x: np.ndarray, y: np.ndarray, xrun: np.ndarray, yrun: np.ndarray, x
     (xof, xat), (yof, yat) = (_runs(*z[some].T) for z in (xwide, ywide))
     x, y = x[xat], y[yat]
     hit, back = _met(xof, x, yof, y)
-    fit = (_dense(xof, hit, xwide[some, 1]) | _twice(xof, x, len(some))) \
-        & (_dense(yof, back, ywide[some, 1]) | _twice(yof, y, len(some)))
+    fit = np.ones(len(some), bool)
+    for of, z, found, size in ((xof, x, hit, xwide[some, 1]), (yof, y, back, ywide[some, 1])):
+        dense = _dense(of, found, size)
+        sparse = ~dense[of]
+        fit &= dense | _twice(of[sparse], z[sparse], len(some))
     return some[fit]
 
 
