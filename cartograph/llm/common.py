@@ -156,7 +156,7 @@ def word_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple
     each = np.take(_BYTE, data, mode="clip")  # several times as fast as _BYTE[data]
     each *= up[:n]
     np.cumsum(each, out=total[1:])
-    h = mix((total[e] - total[s]) * down[s] + (e - s).astype(_U))
+    h = mix((np.take(total, e) - np.take(total, s)) * np.take(down, s) + (e - s).astype(_U))
     return h, np.searchsorted(s, off)
 
 
@@ -172,11 +172,15 @@ def shingle_hashes(h: np.ndarray, woff: np.ndarray, k: int) -> tuple[np.ndarray,
     odd = mix(np.arange(1, k + 1, dtype=_U) * _ODD) | _U(1)
     padded = np.concatenate([h, np.zeros(k, _U)])
     size = np.repeat(np.minimum(words, k), counts)
-    out = size.astype(_U)
-    all_long = bool((size == k).all())
-    for j in range(k):
-        word = np.take(padded, at + j)
-        out += (word if all_long else np.where(size > j, word, _U(0))) * odd[j]
+    every = padded[:len(h) + 1] * odd[0]  # k words from each place on, whichever row they are of
+    for j in range(1, k):
+        every += padded[j:j + len(h) + 1] * odd[j]
+    out = np.take(every, at) + size.astype(_U)
+    short = np.flatnonzero(size < k)
+    if len(short):
+        out[short] = size[short]
+        for j in range(k):
+            out[short] += np.where(size[short] > j, padded[at[short] + j], _U(0)) * odd[j]
     return mix(out), soff
 
 

@@ -445,24 +445,47 @@ RANGES = "nid long, hub long, ranges binary"
 def candidate_ranges(links: DataFrame) -> DataFrame:
     """(nid, hub, ranges): the interval join of every pair's windows; pairs without a range end here,
     before any text is moved."""
-    def step(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        nid, hub, parts = (b.column(c).to_pylist() for c in ("nid", "hub", "anchors"))
-        parts = [b"".join(x) for x in parts]
-        pair = np.repeat(np.arange(len(parts)), [len(x) // (4 * ANCHOR) for x in parts])
-        anchors = np.frombuffer(b"".join(parts), "<i4").reshape(-1, ANCHOR).astype(np.int64)
+    def step(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        b = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        nid, hub = b.column("nid").to_numpy(), b.column("hub").to_numpy()
+        data, off = common.utf8(b.column("anchors"))
+        new = np.r_[True, (nid[1:] != nid[:-1]) | (hub[1:] != hub[:-1])]
+        pair = np.repeat(np.cumsum(new) - 1, np.diff(off) // (4 * ANCHOR))
+        nid, hub = nid[new], hub[new]
+        which, ranges = [], []
+        anchors = data.view("<i4").reshape(-1, ANCHOR).astype(np.int64)
         for i, _, part in _edges(pair, pair, anchors):  # lines of single shingles from all batches and tasks
             if len(part) == 4 * ANCHOR and part[0] not in (BLOCK, LINE):
                 continue
             found = joined_windows(np.frombuffer(part, "<i4").reshape(-1, ANCHOR))
             if found:
-                rows.append((nid[i], hub[i], np.array(found, "<i4").tobytes()))
-        types = (pa.int64(), pa.int64(), pa.binary())
-        columns = zip(*rows) if rows else [[]] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                which.append(i)
+                ranges.append(np.array(found, "<i4").tobytes())
+        at = np.array(which, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(nid[at]), pa.array(hub[at]), pa.array(ranges, pa.binary())],
                                           ["nid", "hub", "ranges"])
-    return common.map_arrow(links.groupBy("nid", "hub").agg(F.collect_list("anchors").alias("anchors")),
-                            lambda: step, RANGES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # with the last pair, which may go on in the next batch
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            nid, hub = b.column("nid").to_numpy(), b.column("hub").to_numpy()
+            pair = int(nid[-1]), int(hub[-1])
+            other = np.flatnonzero((nid != pair[0]) | (hub != pair[1]))
+            start = int(other[-1]) + 1 if len(other) else 0
+            if held and (start or pair != last):
+                yield step([*held, b.slice(0, start)])
+                held = []
+            elif start:
+                yield step([b.slice(0, start)])
+            held.append(b.slice(start))
+            last = pair
+        if held:
+            yield step(held)
+    # sorted rows take less than lists that are collected
+    return links.repartition("nid", "hub").sortWithinPartitions("nid", "hub").mapInArrow(run, RANGES)
 
 
 def pieces(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
