@@ -325,6 +325,85 @@ def test_ranges_are_tried_on_their_words(spark, words):
     assert got == {k: r for k, r in want.items() if r} and got
 
 
+def random_texts(rng, words):
+    """Shingles of two texts that may share passages, with edits, repeats and moved parts."""
+    some = lambda n: [rng.randrange(words) for _ in range(n)]
+    shared = some(rng.randrange(30, 110))
+    other = [w if rng.randrange(25) else -rng.randrange(1, 10**9) for w in shared]
+    if rng.random() < 0.3:
+        other = other[40:] + other[:40]
+    a, b = (some(rng.randrange(120)) + z + some(rng.randrange(120)) for z in (shared, other))
+    return [np.array([hash(tuple(z[i:i + 5])) & (2**63 - 1) for i in range(len(z) - 4)], np.uint64) for z in (a, b)]
+
+
+@pytest.mark.parametrize("words", [4, 30, 10**9])
+def test_ranges_with_a_passage_are_possible(words):
+    """Bits of the shingles rule out no range that has a passage, and most that have none."""
+    rng = random.Random(words)
+    cases = [random_texts(rng, words) for _ in range(150)]
+    cases = [(x, y) for x, y in cases if min(len(x), len(y)) >= 46]
+    ranges = [[0, len(x) - 1, 0, len(y) - 1] for x, y in cases]
+    ranges = [r if rng.random() < 0.5 else [a := rng.randrange(r[1]), rng.randrange(a, r[1] + 1), b := rng.randrange(r[3]),
+                                            rng.randrange(b, r[3] + 1)] for r in ranges]
+    sides = []
+    for k, texts in enumerate(zip(*cases, strict=True)):
+        size = np.array([len(t) for t in texts])
+        base = np.cumsum(size) - size
+        low, high = np.array(ranges)[:, 2 * k], np.array(ranges)[:, 2 * k + 1] + 1
+        wide = np.maximum(low - 46, 0), np.minimum(high + 46, size)
+        bits = (np.concatenate(texts) & np.uint64(0xFFFFFF)).astype(np.uint32)
+        sides.append((bits, *(np.stack([base + p, q - p], 1) for p, q in ((low, high), wide))))
+    (x, xrun, xwide), (y, yrun, ywide) = sides
+    got = set(substrings.possible(x, y, xrun, yrun, xwide, ywide).tolist())
+    want = {i for i, ((a, b), r) in enumerate(zip(cases, ranges, strict=True)) if substrings.passages(a, b, [r])}
+    assert want and want <= got and (words < 10**9 or len(got) < len(cases) * 2 / 3)
+
+
+def test_search_does_not_step_through_every_end(monkeypatch):
+    """A long near copy with a repeated sentence takes few steps for its number of edits."""
+    rng = random.Random(1)
+    x = [rng.randrange(10**9) for _ in range(3000)]
+    x[2000:2020] = x[100:120]
+    y = [w if rng.randrange(30) else rng.randrange(10**9) for w in x]
+    a, b = (np.array([hash(tuple(z[i:i + 5])) & (2**63 - 1) for i in range(len(z) - 4)], np.uint64) for z in (x, y))
+    steps = []
+    real = substrings.heapq.heappush
+    monkeypatch.setattr(substrings.heapq, "heappush", lambda *z: (steps.append(1), real(*z)))
+    found = substrings.passages(a, b, [[0, len(a) - 1, 0, len(b) - 1]])
+    assert len(found) == 12 and len(steps) < 1000  # 2307 when it stepped through every end
+
+
+def test_equal_values_side_by_side():
+    rng = np.random.default_rng(4)
+    for most in (5, 1000, 1 << 62):
+        v = rng.integers(0, most, 700)
+        order = substrings.grouped(v)
+        assert sorted(order.tolist()) == list(range(700))
+        runs = np.count_nonzero(np.diff(v[order])) + 1
+        assert runs == len(np.unique(v)) and (np.diff(order)[v[order[1:]] == v[order[:-1]]] > 0).all()
+        row = np.sort(rng.integers(0, 4, 700))
+        last, want = {}, []
+        for i, key in enumerate(zip(row.tolist(), v.tolist(), strict=True)):
+            want.append(last.get(key, -1))
+            last[key] = i
+        assert substrings.earlier_in_rows(v.astype(np.uint64), row).tolist() == want
+
+
+def test_pairs_go_on_in_the_next_batch(spark):
+    """The links of a pair are read together, however many batches they fill."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        anchor = lambda f, c: np.array([f, c, c - 20, c + 60, c + 7, c - 13, c + 67], "<i4").tobytes()
+        links = [(n, 0, anchor(f, 100 + n)) for n, many in ((1, 1), (2, 8), (3, 2), (4, 20), (5, 1)) for f in [0, 1] * many]
+        rows = substrings.candidate_ranges(spark.createDataFrame(links, "nid long, hub long, anchors binary")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.nid, r.hub): np.frombuffer(r.ranges, "<i4").tolist() for r in rows} == {
+        (n, 0): [80 + n, 160 + n, 87 + n, 167 + n] for n in range(1, 6)}
+    assert len(rows) == 5
+
+
 def test_passage_edges(spark, edges, nothing):
     rows = substrings.repeated_passages(edges).collect()
     assert {(r.doc_id, r.start_word, r.end_word) for r in rows} == {(7, 0, 30000), (8, 0, 30000)}
